@@ -20,6 +20,7 @@ CheckpointValue = Union[int, float, Decimal, date, datetime, str]
 # The tags of the JSON form.
 TAG_INT, TAG_TS, TAG_STR = "int", "ts", "str"
 
+# The texts read as an integer, and as an ISO date or timestamp.
 _INT_TEXT = r"^[+-]?[0-9]+$"
 _ISO_TEXT = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
@@ -56,15 +57,19 @@ def field_type(df: DataFrame, column: str) -> T.DataType:
     return df.select(F.col(column)).schema[0].dataType
 
 
-def _tagged(text: Column) -> tuple[Column, Column, Column]:
-    as_int = F.when(text.rlike(_INT_TEXT), text.try_cast("bigint"))
-    as_ts = F.when(text.rlike(_ISO_TEXT), text.try_cast("timestamp"))
-    tag = (
-        F.when(as_int.isNotNull(), F.lit(TAG_INT))
-        .when(as_ts.isNotNull(), F.lit(TAG_TS))
-        .when(text.isNotNull(), F.lit(TAG_STR))
-    )
-    return tag, as_int, as_ts
+def _read_text(df: DataFrame, text: Column) -> tuple[DataFrame, Column, Column, Column]:
+    """Text as integer, else ISO timestamp, else itself.
+
+    Each step is a column of its own, so no branch repeats the work of another. A pattern
+    guards each cast, because a failing cast costs an exception per row.
+    """
+    df = df.withColumn("_text", F.trim(text))
+    raw, dashed = F.col("_text"), F.substring("_text", 5, 1) == "-"
+    df = df.withColumn("_int", F.when(raw.rlike(_INT_TEXT), raw.try_cast("bigint")))
+    stamp = F.col("_int").isNull() & dashed & raw.rlike(_ISO_TEXT)
+    df = df.withColumn("_ts", F.when(stamp, raw.try_cast("timestamp")))
+    plain = F.when(F.col("_int").isNull() & F.col("_ts").isNull(), raw)
+    return df, F.col("_int"), F.col("_ts"), plain
 
 
 def parse_checkpoint(df: DataFrame, column: str, into: str = "checkpoint") -> DataFrame:
@@ -74,25 +79,28 @@ def parse_checkpoint(df: DataFrame, column: str, into: str = "checkpoint") -> Da
     is trimmed and read as an integer, else as an ISO timestamp, else left as is.
     Null stays null. A boolean column is refused while the plan is built.
     """
-    kind, raw = field_type(df, column), F.col(column)
+    kind, raw, none = field_type(df, column), F.col(column), F.lit(None)
     if isinstance(kind, T.BooleanType):
         raise TypeError(f"column {column!r} is boolean and cannot hold a checkpoint")
-    none = F.lit(None)
+    columns = df.columns
     if isinstance(kind, T.NumericType):
-        tag, as_int, as_ts, as_str = F.lit(TAG_INT), raw.cast("bigint"), none, none
+        as_int, as_ts, as_str = raw, none, none
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        tag, as_int, as_ts, as_str = F.lit(TAG_TS), none, raw, none
+        as_int, as_ts, as_str = none, raw, none
     else:
-        text = F.trim(raw.cast("string"))
-        tag, as_int, as_ts = _tagged(text)
-        as_str = F.when(tag == TAG_STR, text)
+        df, as_int, as_ts, as_str = _read_text(df, raw.cast("string"))
+    tag = (
+        F.when(as_int.isNotNull(), TAG_INT)
+        .when(as_ts.isNotNull(), TAG_TS)
+        .when(as_str.isNotNull(), TAG_STR)
+    )
     parts = F.struct(
         tag.alias("t"),
         as_int.cast("bigint").alias("as_int"),
         as_ts.cast("timestamp").alias("as_ts"),
         as_str.cast("string").alias("as_str"),
     )
-    return df.withColumn(into, F.when(raw.isNotNull(), parts))
+    return df.select(*columns, F.when(raw.isNotNull(), parts).alias(into))
 
 
 def format_checkpoint(column: Column, data_type: T.DataType) -> Column:
@@ -123,19 +131,18 @@ def encode_checkpoint(parsed: Column) -> Column:
     )
 
 
-def decode_checkpoint(encoded: Column) -> Column:
+def decode_checkpoint(df: DataFrame, column: str, into: str = "checkpoint") -> DataFrame:
     """Inverse of :func:`encode_checkpoint`; an unknown tag or a non-object gives null."""
-    raw = F.from_json(encoded, "t string, v string")
-    known = raw["t"].isin(TAG_INT, TAG_TS, TAG_STR)
-    return F.when(
-        known,
-        F.struct(
-            raw["t"].alias("t"),
-            F.when(raw["t"] == TAG_INT, raw["v"].try_cast("bigint")).alias("as_int"),
-            F.when(raw["t"] == TAG_TS, raw["v"].try_cast("timestamp")).alias("as_ts"),
-            F.when(raw["t"] == TAG_STR, raw["v"]).alias("as_str"),
-        ),
+    tagged = df.withColumn("_raw", F.from_json(column, "t string, v string"))
+    tag, value = F.col("_raw.t"), F.col("_raw.v")
+    parts = F.struct(
+        tag.alias("t"),
+        F.when(tag == TAG_INT, value.try_cast("bigint")).alias("as_int"),
+        F.when(tag == TAG_TS, value.try_cast("timestamp")).alias("as_ts"),
+        F.when(tag == TAG_STR, value).alias("as_str"),
     )
+    known = F.when(tag.isin(TAG_INT, TAG_TS, TAG_STR), parts)
+    return tagged.select(*df.columns, known.alias(into))
 
 
 def utc_text(micros: int) -> str:

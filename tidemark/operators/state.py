@@ -7,13 +7,15 @@ as it was. Reads reduce the log to the newest entry per key.
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.session import path_exists
 
 CHECKPOINT_SCHEMA = "dag_id string, checkpoint_to string, updated_at timestamp, seq bigint"
 EVENT_SCHEMA = (
@@ -21,7 +23,8 @@ EVENT_SCHEMA = (
     "checkpoint_from string, checkpoint_to string, read_type string, ingestion_date date, "
     "record_count bigint, path string, error string, extra map<string,string>, seq bigint"
 )
-_EVENT_FIELDS = tuple(part.split()[0] for part in EVENT_SCHEMA.split(", "))
+
+Event = dict[str, Any]
 
 
 def now_utc() -> datetime:
@@ -37,19 +40,30 @@ class StateLog:
     """An append-only table at a path; absent means empty."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str) -> None:
-        self.spark, self.path, self.schema = spark, path, schema
+        self.spark, self.path = spark, path
+        self.schema = T.StructType.fromDDL(schema)
+
+    def exists(self) -> bool:
+        return path_exists(self.spark, self.path)
 
     def read(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.schema).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not self.exists():
             return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+    def append(self, entry: Mapping[str, Any]) -> None:
+        """Add one entry; fields it does not name are null."""
+        values = [_value(entry.get(f.name), f.dataType).alias(f.name) for f in self.schema]
+        self.spark.range(0, 1, 1, 1).select(*values).write.mode("append").parquet(self.path)
+
 
-    def append(self, rows: Sequence[tuple[Any, ...]]) -> None:
-        frame = self.spark.createDataFrame(list(rows), self.schema)
-        frame.coalesce(1).write.mode("append").parquet(self.path)
+def _value(value: Any, kind: T.DataType) -> Column:
+    if isinstance(value, Mapping):
+        pairs = [F.lit(part) for pair in value.items() for part in pair]
+        return F.create_map(*pairs).cast(kind)
+    if isinstance(value, datetime) and isinstance(kind, T.TimestampType):
+        return F.lit(value.isoformat(sep=" ")).cast(kind)
+    return F.lit(value).cast(kind)
 
 
 def latest_checkpoints(log: DataFrame, tie_break: str = "seq") -> DataFrame:
@@ -74,9 +88,11 @@ class RunState:
 
     def checkpoint(self, dag_id: str) -> str | None:
         """Text of the pipeline's checkpoint; null means it has never completed."""
+        if not self.checkpoint_log.exists():
+            return None
         mine = self.checkpoint_log.read().where(F.col("dag_id") == dag_id)
-        row = latest_checkpoints(mine).first()
-        return None if row is None else row.checkpoint_to
+        newest = F.max_by("checkpoint_to", F.struct("updated_at", "seq"))
+        return mine.agg(newest.alias("checkpoint_to")).first().checkpoint_to
 
     def checkpoints(self) -> DataFrame:
         return latest_checkpoints(self.checkpoint_log.read())
@@ -85,16 +101,17 @@ class RunState:
         """Insert or move the pipeline's checkpoint; an empty value changes nothing."""
         if not value:
             return False
-        self.checkpoint_log.append([(dag_id, value, now_utc(), sequence_number())])
+        entry = {"dag_id": dag_id, "checkpoint_to": value}
+        self.checkpoint_log.append(entry | {"updated_at": now_utc(), "seq": sequence_number()})
         return True
 
     def events(self) -> DataFrame:
         return self.event_log.read()
 
-    def append_event(self, event: Mapping[str, Any], extra: Mapping[str, Any] | None = None) -> None:
+    def append_event(self, event: Event, extra: Mapping[str, Any] | None = None) -> None:
         """Append one run event. ``extra`` overrides known fields; new names go to the map."""
-        merged = {**event, **(extra or {})}
-        known = {name: merged.pop(name) for name in _EVENT_FIELDS if name in merged}
-        known["extra"] = {k: None if v is None else str(v) for k, v in merged.items()} or None
-        known["seq"] = sequence_number()
-        self.event_log.append([tuple(known.get(name) for name in _EVENT_FIELDS)])
+        merged = event | dict(extra or {})
+        known = {f.name for f in self.event_log.schema}
+        entry = {name: value for name, value in merged.items() if name in known}
+        more = {k: None if v is None else str(v) for k, v in merged.items() if k not in known}
+        self.event_log.append(entry | {"extra": more or None, "seq": sequence_number()})

@@ -43,11 +43,15 @@ def upsert(
     """Whole-row upsert: update rows replace the target rows of their key, new keys are added.
 
     Several updates of one key are first reduced to the newest. Target rows whose key is
-    not updated are all kept, repeated keys included; a null key counts as a key.
+    not updated are all kept, repeated keys included; a null key counts as a key. The
+    updates are read twice: pass rows at rest, as :func:`upsert_into` does.
     """
-    if set(target.columns) != set(updates.columns):
+    return _replace_rows(target, newest_per_key(updates, keys, order_by), keys)
+
+
+def _replace_rows(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    if set(target.columns) != set(fresh.columns):
         raise ValueError("upsert needs the same columns on both sides; use merge_columns")
-    fresh = newest_per_key(updates.select(*target.columns), keys, order_by)
     marks = fresh.select(*keys)
     kept = target.join(marks, _same_key(target, marks, keys), "left_anti")
     return kept.unionByName(fresh)
@@ -58,13 +62,17 @@ def merge_columns(
 ) -> DataFrame:
     """Column-wise merge: updates may carry some of the columns, the others keep their value.
 
-    New keys are inserted with null in the columns the updates lack.
+    New keys are inserted with null in the columns the updates lack. As for
+    :func:`upsert`, the updates must be rows at rest.
     """
-    extra = set(updates.columns) - set(target.columns)
+    return _replace_columns(target, newest_per_key(updates, keys, order_by), keys)
+
+
+def _replace_columns(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    extra = set(fresh.columns) - set(target.columns)
     if extra:
         raise ValueError(f"columns unknown to the target: {sorted(extra)}")
-    fresh = newest_per_key(updates, keys, order_by)
-    changed = [c for c in updates.columns if c not in keys]
+    changed = [c for c in fresh.columns if c not in keys]
     side = fresh.select(
         *(F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)),
         F.struct(*changed).alias("_new"),
@@ -88,11 +96,22 @@ def merge_columns(
     return merged.unionByName(inserts, allowMissingColumns=True)
 
 
+def _pointed(spark: SparkSession, base: str, besides: str | None = None) -> str | None:
+    """Path of the newest version, or of the newest one not called ``besides``."""
+    pointer = StateLog(spark, f"{base}/pointer", VERSION_SCHEMA)
+    if not pointer.exists():
+        return None
+    entries = pointer.read()
+    if besides is not None:
+        entries = entries.where(F.col("version") != besides)
+    newest = F.max_by("path", F.struct("updated_at", "seq")).alias("path")
+    return entries.agg(newest).first().path
+
+
 def read_current(spark: SparkSession, base: str, file_format: str = "parquet") -> DataFrame | None:
     """The version a table's pointer names, or null before the first one."""
-    newest = StateLog(spark, f"{base}/pointer", VERSION_SCHEMA).read()
-    row = newest.agg(F.max_by("path", F.struct("updated_at", "seq")).alias("path")).first()
-    return None if row.path is None else read_landing(spark, row.path, file_format)
+    path = _pointed(spark, base)
+    return None if path is None else read_landing(spark, path, file_format)
 
 
 def upsert_into(
@@ -108,18 +127,25 @@ def upsert_into(
 ) -> str:
     """Write the next version of the table at ``base``, then move its pointer.
 
-    Readers see the old version until the pointer row is appended. A retry of the same
-    ``version`` rewrites its directory. One writer per table is assumed.
+    The updates are reduced and written down first, so the join that needs them twice sees
+    the same rows both times even over a live source, and plans with their true size.
+    Readers see the old version until the pointer row is appended. A retry of a ``version``
+    starts again from the one before it and writes to new folders, so nothing a reader may
+    hold is touched. One writer per table is assumed.
     """
     if mode not in ("upsert", "merge"):
         raise ValueError(f"unknown mode {mode!r}; use 'upsert' or 'merge'")
-    current = read_current(spark, base, file_format)
-    if current is None:
-        result = newest_per_key(updates, keys, order_by)
+    before, attempt = _pointed(spark, base, besides=version), sequence_number()
+    path = f"{base}/data/version={version}/attempt={attempt}"
+    fresh = newest_per_key(updates, keys, order_by)
+    if before is None:
+        land(fresh, path, file_format)
     else:
-        change = upsert if mode == "upsert" else merge_columns
-        result = change(current, updates, keys, order_by)
-    path = land(result, f"{base}/data/version={version}", file_format, "overwrite")
-    row = (version, path, now_utc(), sequence_number())
-    StateLog(spark, f"{base}/pointer", VERSION_SCHEMA).append([row])
+        staged = land(fresh, f"{base}/updates/version={version}/attempt={attempt}", file_format)
+        change = _replace_rows if mode == "upsert" else _replace_columns
+        current = read_landing(spark, before, file_format)
+        settled = read_landing(spark, staged, file_format, fresh.schema)
+        land(change(current, settled, keys), path, file_format)
+    entry = {"version": version, "path": path, "updated_at": now_utc(), "seq": attempt}
+    StateLog(spark, f"{base}/pointer", VERSION_SCHEMA).append(entry)
     return path

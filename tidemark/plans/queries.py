@@ -299,17 +299,12 @@ def checkpoint_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def checkpoint_serde(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_checkpoint(_checkpoint_texts(spark, sf_dir), "s")
-    encoded = parsed.withColumn("encoded", encode_checkpoint(F.col("checkpoint")))
-    back = decode_checkpoint(F.col("encoded"))
-    return encoded.select(
-        "event_id",
-        "n",
-        "encoded",
-        F.coalesce(
-            back["as_int"].cast("string"),
-            F.date_format(back["as_ts"], "yyyy-MM-dd'T'HH:mm:ss"),
-            back["as_str"],
-        ).alias("decoded"),
+    encoded = parsed.select("event_id", "n", encode_checkpoint(F.col("checkpoint")).alias("encoded"))
+    back = F.col("back")
+    whole, text = back["as_int"].cast("string"), back["as_str"]
+    stamp = F.date_format(back["as_ts"], "yyyy-MM-dd'T'HH:mm:ss")
+    return decode_checkpoint(encoded, "encoded", "back").select(
+        "event_id", "n", "encoded", F.coalesce(whole, stamp, text).alias("decoded")
     )
 
 

@@ -35,6 +35,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system behind ``path`` has it: one metadata call from the driver."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return jvm_path.getFileSystem(conf).exists(jvm_path)
+
+
 @contextmanager
 def runtime_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
     """Apply runtime SQL settings for one run and put the old values back."""
