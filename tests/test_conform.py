@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import pytest
+from helpers import rows
+from pyspark.sql import types as T
+
+from tidemark.operators.conform import SchemaMismatch, conform, schema_report, validate_schema
+
+
+@pytest.fixture(scope="module")
+def people(spark):
+    return spark.createDataFrame([("1", "a", 2.5), ("x", "b", 3.5)], "id string, name string, v double")
+
+
+def test_matching_schema_passes(people):
+    assert validate_schema(people, "name string, id string") is people
+    assert validate_schema(people, None) is people
+    not_null = T.StructType([T.StructField("id", T.StringType(), nullable=False)])
+    assert validate_schema(people, not_null) is people
+
+
+def test_all_mismatches_are_named_at_once(people):
+    with pytest.raises(SchemaMismatch) as error:
+        validate_schema(people, "id int, missing string, name string")
+    message = str(error.value)
+    assert message.startswith("Schema validation failed")
+    assert "id: expected int, found string" in message and "missing: expected string, found nothing" in message
+
+
+def test_report(people):
+    got = rows(schema_report(people, "id int, missing string, name string"))
+    assert got == [("id", "int", "string"), ("missing", "string", None)]
+    assert schema_report(people, "id string").count() == 0
+
+
+def test_conform_prunes_orders_and_casts(people):
+    got = conform(people, "v decimal(5,2), name string, absent int", "cast")
+    assert got.dtypes == [("v", "decimal(5,2)"), ("name", "string")]
+    assert conform(people, None) is people
+
+
+def test_bad_values(people):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        conform(people, "id int", "cast").collect()
+    assert rows(conform(people, "id int, name string", "try_cast").where("id IS NOT NULL")) == [(1, "a")]
+    assert conform(people, "id int", "try_cast").where("id IS NULL").count() == 1
+
+
+def test_fail_is_the_default(people):
+    with pytest.raises(SchemaMismatch):
+        conform(people, "id int")
+    assert conform(people, "name string").columns == ["name"]
+    with pytest.raises(ValueError):
+        conform(people, "id string", "ignore")

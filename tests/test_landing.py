@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+from types import SimpleNamespace
+
+import pytest
+from helpers import plan_text, rows
+from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from tidemark.operators.landing import balanced, land, read_landing
+from tidemark.session import path_exists, runtime_conf, scratch_path, scratch_root
+from tidemark.sources.files import file_inventory
+
+
+@pytest.fixture
+def frame(spark):
+    return spark.range(100).select("id", (F.col("id") % 3).cast("string").alias("g"))
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_formats_round_trip(spark, frame, fmt):
+    path = land(frame, scratch_path(spark, fmt), fmt)
+    assert rows(read_landing(spark, path, fmt, frame.schema)) == rows(frame)
+
+
+def test_append_and_overwrite(spark, frame):
+    path = scratch_path(spark, "modes")
+    land(frame, path)
+    land(frame, path)
+    assert read_landing(spark, path).count() == 200
+    land(frame.limit(5), path, mode="overwrite")
+    assert read_landing(spark, path).count() == 5
+
+
+@pytest.mark.parametrize("mode", ["upsert", "merge", "anything"])
+def test_other_modes_are_refused(spark, frame, mode):
+    with pytest.raises(ValueError, match="unknown mode"):
+        land(frame, scratch_path(spark, "bad"), mode=mode)
+
+
+def test_text_needs_one_string_column(spark, frame):
+    with pytest.raises(ValueError, match="one string column"):
+        land(frame, scratch_path(spark, "text"), "text")
+
+
+def test_partitioned_landing_makes_few_files(spark, frame):
+    spread = frame.repartition(16)
+    path = land(spread, scratch_path(spark, "by"), partition_by=["g"])
+    files = file_inventory(spark, path, recursive=True)
+    assert files.count() == 3
+    assert rows(read_landing(spark, path).select("id", F.col("g").cast("string"))) == rows(frame)
+    kept = land(spread, scratch_path(spark, "raw"), partition_by=["g"], rebalance=False)
+    assert file_inventory(spark, kept, recursive=True).count() > 3
+
+
+def test_hot_partition_is_split_over_tasks(spark):
+    """One value holds nearly all rows: adaptive execution splits it, nothing is lost."""
+    hot = spark.range(0, 400_000, 1, 8).select(
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("s"), F.when(F.col("id") < 9, "b").otherwise("a").alias("g")
+    )
+    with runtime_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}):
+        path = land(hot, scratch_path(spark, "hot"), partition_by=["g"])
+    files = file_inventory(spark, path, recursive=True)
+    assert files.where(F.col("path").contains("g=a")).count() > 4
+    assert read_landing(spark, path).count() == 400_000
+
+
+def test_unpartitioned_landing_adds_no_shuffle(frame):
+    assert "Exchange" not in plan_text(frame)
+    assert "REBALANCE" in plan_text(balanced(frame, ["g"]))
+
+
+def test_scattered_rows_land_in_few_files(spark, frame):
+    few = frame.repartition(16).where("id < 40")
+    assert file_inventory(spark, land(few, scratch_path(spark, "many"))).count() > 4
+    assert file_inventory(spark, land(few, scratch_path(spark, "few"), rebalance=True)).count() == 1
+
+
+def test_rows_are_counted_by_the_write(spark, frame):
+    seen = Observation()
+    land(frame, scratch_path(spark, "seen"), partition_by=["g"], observation=seen)
+    assert seen.get["record_count"] == 100
+
+
+def cluster(settings, checkpoint_dir=None):
+    """The parts of a cluster session that name its shared folder."""
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: checkpoint_dir)
+    return SimpleNamespace(conf=settings, sparkContext=context)
+
+
+def test_scratch_follows_the_session(spark):
+    assert scratch_path(spark, "a") != scratch_path(spark, "a")
+    assert scratch_root(cluster({"spark.checkpoint.dir": "/shared/folder/"}, "/other")) == "/shared/folder"
+    assert scratch_root(cluster({}, "/other/")) == "/other"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(cluster({}))
+
+
+def test_runtime_conf_is_put_back(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with pytest.raises(RuntimeError), runtime_conf(spark, {key: "3"}):
+        assert spark.conf.get(key) == "3"
+        raise RuntimeError
+    assert spark.conf.get(key) == before
+
+
+def test_path_exists(spark, sf_dir):
+    assert path_exists(spark, sf_dir) and not path_exists(spark, f"{sf_dir}/nothing")
+    with pytest.raises(AnalysisException):
+        read_landing(spark, f"{sf_dir}/nothing")

@@ -1,0 +1,312 @@
+from __future__ import annotations
+
+import json
+import os
+from datetime import datetime
+
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from tidemark.functions.envelope import event_envelope
+from tidemark.operators.conform import SchemaMismatch
+from tidemark.operators.landing import land, read_landing
+from tidemark.operators.state import RunState
+from tidemark.operators.upsert import read_current
+from tidemark.plans import pipeline
+from tidemark.plans.pipeline import run_pipeline
+from tidemark.plans.spec import PipelineSpec
+from tidemark.session import scratch_path
+
+DAY = datetime(2024, 1, 15, 14, 30)
+
+
+class Job:
+    """One pipeline over a growing source, with its landing and state."""
+
+    def __init__(self, spark, read_type="connector", source=None, sink=None, settings=None, **config):
+        self.spark, self.root = spark, scratch_path(spark, "job")
+        table = {"format": "parquet", "database": "d", "schema": "s", "table": "t", "checkpoint_column": "id"}
+        self.spec = PipelineSpec.from_dict(
+            "job",
+            {
+                "read_type": read_type,
+                "write_type": "hadoop",
+                "count_records": True,
+                "spark": settings or {},
+                "source": table if source is None else source,
+                "sink": {"endpoint": f"{self.root}/lake", "source_system_name": "sys"} | (sink or {}),
+            }
+            | config,
+        )
+        self.state = RunState(spark, f"{self.root}/state")
+
+    def run(self, run_id, frame=None, **more):
+        return run_pipeline(self.spark, self.spec, self.state, run_id, DAY, frame=frame, **more)
+
+    def landed(self):
+        return read_landing(self.spark, f"{self.root}/lake/sys/" + "/".join(self.spec.source.segments()))
+
+    def event(self, run_id):
+        return self.state.events().where(F.col("run_id") == run_id).first()
+
+
+def numbers(spark, n, nulls=0):
+    ids = spark.range(n).select(F.col("id"), F.lit("v").alias("v"))
+    return ids.unionByName(spark.range(nulls).select(F.lit(None).cast("bigint").alias("id"), F.lit("null").alias("v")))
+
+
+def test_consecutive_runs_are_gapless_and_disjoint(spark):
+    job = Job(spark)
+    first = job.run("r1", numbers(spark, 100, nulls=3))
+    second = job.run("r2", numbers(spark, 150, nulls=3))
+    third = job.run("r3", numbers(spark, 150, nulls=3))
+    assert (first.checkpoint_from, first.checkpoint_to, first.record_count) == (None, "99", 103)
+    assert (second.checkpoint_from, second.checkpoint_to, second.record_count) == ("99", "149", 50)
+    assert (third.checkpoint_from, third.checkpoint_to, third.record_count) == ("149", "149", 0)
+    assert rows(job.landed().where("id IS NOT NULL"), "id") == [(i,) for i in range(150)]
+    assert first.path.endswith("/sys/d/s/t/ingestion_date=2024-01-15/ingestion_time=14-30-00/run_id=r1")
+
+
+def test_rows_beyond_the_fixed_bound_wait_for_the_next_run(spark):
+    job = Job(spark)
+    job.run("r1", numbers(spark, 100), checkpoint_to=49)
+    assert job.landed().agg(F.max("id")).first()[0] == 49
+    job.run("r2", numbers(spark, 100))
+    assert job.landed().count() == 100
+
+
+def test_a_retry_of_the_same_run_does_not_duplicate(spark):
+    job = Job(spark)
+    job.run("r1", numbers(spark, 10))
+    again = Job.__new__(Job)
+    again.__dict__ = job.__dict__ | {"state": RunState(spark, f"{job.root}/other-state")}
+    again.run("r1", numbers(spark, 10))
+    assert job.landed().count() == 10
+
+
+def test_no_checkpoint_column_reads_everything_each_time(spark):
+    job = Job(spark, source={"format": "parquet", "database": "d", "table": "t"})
+    assert job.run("r1", numbers(spark, 10)).checkpoint_to is None
+    assert job.run("r2", numbers(spark, 10)).record_count == 10
+    assert job.state.checkpoints().count() == 0
+
+
+def test_source_without_values(spark):
+    job = Job(spark)
+    empty = job.run("r1", numbers(spark, 0, nulls=2))
+    assert (empty.checkpoint_to, empty.record_count) == (None, 2)
+    job.run("r2", numbers(spark, 5))
+    assert job.run("r3", numbers(spark, 0)).record_count == 0
+    assert job.state.checkpoint("job") == "4"
+
+
+def test_checkpoint_moves_past_filtered_rows(spark):
+    source = {"format": "parquet", "database": "d", "table": "t", "checkpoint_column": "id", "filters": {"id": "< 5"}}
+    job = Job(spark, source=source)
+    result = job.run("r1", numbers(spark, 10))
+    assert (result.checkpoint_to, result.record_count) == ("9", 5)
+
+
+def test_custom_query_is_windowed_too_unless_told_otherwise(spark):
+    source = {"format": "parquet", "database": "d", "table": "t", "checkpoint_column": "n",
+              "query": "SELECT id * 10 AS n FROM {source}"}
+    job = Job(spark, source=source)
+    job.run("r1", numbers(spark, 5))
+    assert job.run("r2", numbers(spark, 7)).record_count == 2
+    whole = Job(spark, source=source | {"incremental": False})
+    whole.run("r1", numbers(spark, 5))
+    assert whole.run("r2", numbers(spark, 7)).record_count == 7
+    assert whole.state.checkpoint("job") == "60"
+
+
+def test_connector_reads_by_itself(spark):
+    path = land(numbers(spark, 20), scratch_path(spark, "table"))
+    source = {"format": "parquet", "database": "d", "table": "t", "checkpoint_column": "id",
+              "read_options": {"path": path}}
+    assert Job(spark, source=source).run("r1").record_count == 20
+
+
+def test_transforms_run_before_conforming(spark):
+    job = Job(spark, sink={"schema": "id bigint, w string"})
+    result = job.run("r1", numbers(spark, 4), transforms=[lambda df: df.withColumn("w", F.upper("v")), lambda df: df.where("id > 0")])
+    assert result.record_count == 3 and set(job.landed().select("w").distinct().collect()[0]) == {"V"}
+
+
+def test_failure_is_recorded_and_raised_and_the_checkpoint_stays(spark):
+    job = Job(spark, sink={"schema": "id string"})
+    with pytest.raises(SchemaMismatch):
+        job.run("r1", numbers(spark, 4))
+    event = job.event("r1")
+    assert event.status == "failed" and "id: expected string, found bigint" in event.error
+    assert job.state.checkpoint("job") is None
+
+
+def test_a_failing_event_log_never_hides_the_error(spark, monkeypatch):
+    job = Job(spark, sink={"schema": "id string"})
+    monkeypatch.setattr(RunState, "append_event", lambda *a, **k: 1 / 0)
+    with pytest.raises(SchemaMismatch):
+        job.run("r1", numbers(spark, 4))
+
+
+def test_failing_mark_fails_the_run_unless_a_full_read_is_asked_for(spark, monkeypatch):
+    def broken(*_):
+        raise RuntimeError("source is down")
+
+    monkeypatch.setattr(pipeline, "high_water_text", broken)
+    job = Job(spark)
+    with pytest.raises(RuntimeError, match="down"):
+        job.run("r1", numbers(spark, 4))
+    assert job.run("r2", numbers(spark, 4), full_read_on_error=True).record_count == 4
+    assert job.state.checkpoint("job") is None
+
+
+def test_success_event(spark):
+    job = Job(spark)
+    result = job.run("r:1", numbers(spark, 4), extra={"owner": "me", "status": "done"})
+    event = job.event("r:1")
+    assert (event.dag_id, event.status, event.read_type) == ("job", "done", "connector")
+    assert (event.checkpoint_from, event.checkpoint_to, event.record_count) == (None, "3", 4)
+    assert event.path == result.path and event.path.endswith("run_id=r_1")
+    assert event.ingestion_date == DAY.date() and event.start_time <= event.stop_time
+    assert event.extra == {"owner": "me"}
+
+
+def test_the_event_can_be_published_before_the_checkpoint_moves(spark):
+    job, sent = Job(spark), []
+
+    def publish(event):
+        sent.append(event_envelope(event, ["run_id", "status", "checkpoint_to"]).first().value)
+
+    job.run("r1", numbers(spark, 4), publish=publish)
+    body = json.loads(bytes(sent[0]))
+    assert (body["run_id"], body["status"], body["checkpoint_to"]) == ("r1", "success", "3")
+    with pytest.raises(ZeroDivisionError):
+        job.run("r2", numbers(spark, 9), publish=lambda event: 1 / 0)
+    assert job.state.checkpoint("job") == "3"
+    assert job.run("r2", numbers(spark, 9)).record_count == 5
+    assert job.landed().count() == 9
+
+
+def test_counting_is_optional(spark):
+    assert Job(spark, count_records=False).run("r1", numbers(spark, 4)).record_count is None
+
+
+@pytest.mark.parametrize("mode", ["upsert", "merge"])
+def test_keyed_sink(spark, mode):
+    source = {"format": "parquet", "database": "d", "table": "t", "checkpoint_column": "at"}
+    job = Job(spark, source=source, sink={"mode": mode, "keys": ["k"], "order_by": ["at"]})
+    ddl = "k int, v string, at int"
+    job.run("r1", spark.createDataFrame([(1, "a", 1), (2, "b", 2)], ddl))
+    result = job.run("r2", spark.createDataFrame([(1, "a", 1), (2, "c", 4), (2, "x", 3), (3, "d", 4)], ddl))
+    assert result.record_count == 3
+    assert rows(read_current(spark, f"{job.root}/lake/sys/d/default/t")) == [(1, "a", 1), (2, "c", 4), (3, "d", 4)]
+
+
+def test_append_mode_and_partitions(spark):
+    job = Job(spark, sink={"mode": "append", "partition_by": ["v"]})
+    result = job.run("r1", numbers(spark, 4))
+    assert os.path.isdir(f"{result.path}/v=v")
+
+
+def test_rows_mode_of_a_file_source(spark):
+    path = land(numbers(spark, 30), scratch_path(spark, "in"), "json")
+    source = {"path": path, "file_format": "json", "mode": "rows", "checkpoint_column": "id",
+              "read_schema": "id bigint, v string"}
+    job = Job(spark, read_type="file", source=source)
+    job.run("r1", checkpoint_to=9)
+    assert job.run("r2").record_count == 20
+    assert job.landed().count() == 30
+
+
+def test_copy_mode_takes_whole_tree_or_only_new_files(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    for name, day in {"a.csv": 1, "b.csv": 2}.items():
+        (drop / name).write_text(name)
+        os.utime(drop / name, (day * 86400, day * 86400))
+    whole = Job(spark, read_type="file", source={"path": str(drop), "checkpoint_column": "any"})
+    fresh = Job(spark, read_type="file", source={"path": str(drop), "modified_only": True})
+    assert whole.run("r1").record_count == fresh.run("r1").record_count == 2
+    assert whole.state.checkpoint("job") == "1970-01-03 00:00:00+00:00"
+    (drop / "c.csv").write_text("c")
+    assert whole.run("r2").record_count == 3
+    assert fresh.run("r2").record_count == 1
+    assert sorted(os.listdir(fresh.event("r2").path)) == ["_SUCCESS", "c.csv"]
+
+
+def topic(spark, n):
+    return spark.range(n).select(
+        F.lit(None).cast("binary").alias("key"),
+        F.to_json(F.struct("id")).cast("binary").alias("value"),
+        F.lit("t").alias("topic"),
+        (F.col("id") % 2).cast("int").alias("partition"),
+        F.floor(F.col("id") / 2).alias("offset"),
+        F.lit(DAY).alias("timestamp"),
+    )
+
+
+def test_kafka_runs_follow_the_offsets(spark):
+    source = {"topic": "t", "value_format": "json", "value_schema": "id bigint"}
+    job = Job(spark, read_type="kafka", source=source)
+    first, second = job.run("r1", topic(spark, 10)), job.run("r2", topic(spark, 15))
+    assert first.checkpoint_to == '{"t": {"0": 5, "1": 5}}' and first.record_count == 10
+    assert second.checkpoint_to == '{"t": {"0": 8, "1": 7}}' and second.record_count == 5
+    assert rows(job.landed(), "id") == [(i,) for i in range(15)]
+    # A topic whose old records are gone keeps its place.
+    third = job.run("r3", topic(spark, 0))
+    assert third.checkpoint_to == second.checkpoint_to and third.record_count == 0
+
+
+def test_only_settings_a_running_session_takes_are_applied(spark):
+    key = "spark.sql.shuffle.partitions"
+    job = Job(spark, settings={key: "5", "spark.executor.memory": "1g", "spark.master": "x"})
+    inside = []
+    job.run("r1", numbers(spark, 4), transforms=[lambda df: inside.append(spark.conf.get(key)) or df])
+    assert inside == ["5"] and spark.conf.get(key) == "8"
+
+
+def test_jdbc_read_is_assembled_from_the_spec(spark, monkeypatch):
+    seen = []
+
+    def fake(_, read):
+        seen.append(read)
+        if "MAX(" in read.options.get("query", ""):
+            return spark.createDataFrame([(7,)], "checkpoint_to bigint")
+        return numbers(spark, 20)
+
+    bounds = []
+
+    def split(_, read, column, partitions):
+        bounds.append((column, partitions))
+        return read
+
+    monkeypatch.setattr(pipeline, "load", fake)
+    monkeypatch.setattr(pipeline, "split_read", split)
+    source = {"database": "d", "schema": "public", "table": "t", "host": "h", "port": 1,
+              "checkpoint_column": "id", "split_column": "id", "split_partitions": 4}
+    result = Job(spark, read_type="sql", source=source).run("r1")
+    assert (result.checkpoint_to, result.record_count) == ("7", 8)
+    assert seen[0].options["query"] == "SELECT MAX(id) AS checkpoint_to FROM public.t"
+    assert seen[-1].options["dbtable"] == "public.t" and bounds == [("id", 4)]
+
+
+@pytest.mark.parametrize(
+    ("kind", "fmt"),
+    [("nosql", "mongodb"), ("dynamodb", "dynamodb"), ("cassandra", "org.apache.spark.sql.cassandra")],
+)
+def test_store_reads_are_assembled_from_the_spec(spark, monkeypatch, kind, fmt):
+    seen = []
+
+    def fake(_, read):
+        seen.append(read.format)
+        pipeline_option = read.options.get("spark.mongodb.read.aggregation.pipeline", "")
+        if "$max" in pipeline_option:
+            return spark.createDataFrame([(7,)], "checkpoint_to bigint")
+        return numbers(spark, 20)
+
+    monkeypatch.setattr(pipeline, "load", fake)
+    source = {"database": "d", "table": "t", "checkpoint_column": "id"}
+    result = Job(spark, read_type=kind, source=source).run("r1")
+    assert set(seen) == {fmt}
+    assert result.checkpoint_to == ("7" if kind == "nosql" else "19")

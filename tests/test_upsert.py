@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from helpers import rows
+
+from tidemark.operators.upsert import (
+    merge_columns,
+    newest_per_key,
+    read_current,
+    upsert,
+    upsert_into,
+)
+from tidemark.session import scratch_path
+
+DDL = "k bigint, v string, at int"
+
+
+def frame(spark, data, ddl=DDL):
+    return spark.createDataFrame(data, ddl)
+
+
+def test_upsert_replaces_inserts_and_keeps(spark):
+    target = frame(spark, [(1, "a", 0), (2, "b", 0), (2, "b2", 0), (None, "n", 0), (3, "c", 0)])
+    updates = frame(spark, [(3, "old", 1), (3, "new", 2), (4, "d", 1), (None, "m", 1)])
+    got = upsert(target, updates, ["k"], ["at"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, frame(
+        spark, [(1, "a", 0), (2, "b", 0), (2, "b2", 0), (3, "new", 2), (4, "d", 1), (None, "m", 1)]
+    ).collect()))
+
+
+def test_upsert_against_brute_force_with_a_hot_key(spark):
+    rng = random.Random(7)
+    target = [(k, f"t{k}", 0) for k in range(200)]
+    updates = [(5 if rng.random() < 0.4 else rng.randrange(400), f"u{i}", i) for i in range(1000)]
+    expected = {k: (k, v, at) for k, v, at in target}
+    for row in updates:
+        expected[row[0]] = row
+    got = upsert(frame(spark, target), frame(spark, updates), ["k"], ["at"])
+    assert rows(got) == sorted(expected.values())
+
+
+def test_ties_are_settled_by_the_other_columns(spark):
+    df = frame(spark, [(1, "a", 5), (1, "b", 5)])
+    assert rows(newest_per_key(df, ["k"], ["at"])) == [(1, "b", 5)]
+    assert rows(newest_per_key(df.select("k"), ["k"])) == [(1,)]
+
+
+def test_column_sets_must_agree(spark):
+    with pytest.raises(ValueError):
+        upsert(frame(spark, []), frame(spark, [], "k bigint"), ["k"])
+    with pytest.raises(ValueError):
+        merge_columns(frame(spark, []), frame(spark, [], "k bigint, other int"), ["k"])
+
+
+def test_merge_changes_only_the_columns_given(spark):
+    target = frame(spark, [(1, "a", 10), (2, "b", 20)])
+    updates = frame(spark, [(2, "B"), (3, "C")], "k bigint, v string")
+    assert rows(merge_columns(target, updates, ["k"]).fillna(-1)) == [(1, "a", 10), (2, "B", 20), (3, "C", -1)]
+
+
+def test_merge_can_set_null(spark):
+    target = frame(spark, [(1, "a", 10)])
+    updates = frame(spark, [(1, None)], "k bigint, v string")
+    assert merge_columns(target, updates, ["k"]).first().v is None
+
+
+def test_versions_and_pointer(spark):
+    base = scratch_path(spark, "table")
+    assert read_current(spark, base) is None
+    first = upsert_into(spark, base, frame(spark, [(1, "a", 0), (1, "b", 1)]), ["k"], "r1", ["at"])
+    assert rows(read_current(spark, base)) == [(1, "b", 1)]
+    reader = read_current(spark, base)
+    second = upsert_into(spark, base, frame(spark, [(1, "c", 2), (2, "d", 2)]), ["k"], "r2", ["at"])
+    assert first != second
+    assert rows(reader) == [(1, "b", 1)]
+    assert rows(read_current(spark, base)) == [(1, "c", 2), (2, "d", 2)]
+
+
+def test_a_retry_starts_from_the_version_before(spark):
+    base = scratch_path(spark, "retry")
+    upsert_into(spark, base, frame(spark, [(1, "a", 0)]), ["k"], "r1")
+    upsert_into(spark, base, frame(spark, [(2, "wrong", 0)]), ["k"], "r2")
+    upsert_into(spark, base, frame(spark, [(3, "right", 0)]), ["k"], "r2")
+    assert rows(read_current(spark, base)) == [(1, "a", 0), (3, "right", 0)]
+
+
+def test_refusals(spark):
+    df = frame(spark, [(1, "a", 0)])
+    with pytest.raises(ValueError, match="keyed table"):
+        upsert_into(spark, scratch_path(spark, "x"), df, ["k"], "r", file_format="csv")
+    with pytest.raises(ValueError, match="unknown mode"):
+        upsert_into(spark, scratch_path(spark, "x"), df, ["k"], "r", mode="append")

@@ -29,14 +29,15 @@ def land(
     partition_by: Sequence[str] = (),
     options: Mapping[str, str] | None = None,
     *,
-    rebalance: bool = True,
+    rebalance: bool | None = None,
     observation: Observation | None = None,
 ) -> str:
     """Write the frame to ``path`` and return the path.
 
     With ``partition_by`` the rows are first rebalanced on those columns: adaptive
     execution merges small directories into few files and splits a hot one over many
-    tasks. Without it no shuffle is added. An ``observation`` receives ``record_count``
+    tasks. Without it no shuffle is added, unless ``rebalance=True`` asks for even files,
+    as is right for few rows left over from many tasks. An ``observation`` receives ``record_count``
     from the write itself; it sits in the writing stage, whose retried tasks Spark counts
     once.
     """
@@ -45,7 +46,8 @@ def land(
         raise ValueError(f"unknown mode {mode!r}; use 'append' or 'overwrite', or the upsert operator")
     if fmt == "text" and [f.dataType for f in df.schema] != [T.StringType()]:
         raise ValueError("the text format needs exactly one string column")
-    rows = balanced(df, partition_by) if partition_by and rebalance else df
+    even = bool(partition_by) if rebalance is None else rebalance
+    rows = balanced(df, partition_by) if even else df
     if observation is not None:
         rows = rows.observe(observation, F.count(F.lit(1)).alias("record_count"))
     out = rows.write.format(fmt).mode(mode).options(**dict(options or {}))
@@ -55,8 +57,8 @@ def land(
     return path
 
 
-def balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Even out the rows on ``columns``, splitting hot values, for a partitioned write."""
+def balanced(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """Even out the rows, by ``columns`` if any, splitting hot values."""
     return df.hint("rebalance", *columns)
 
 

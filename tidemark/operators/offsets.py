@@ -39,16 +39,19 @@ def offset_map_json(ends: DataFrame) -> DataFrame:
     return topics.agg(F.to_json(F.map_from_entries(pairs)).alias("offsets"))
 
 
-def _sentinel(bound: str | None) -> bool:
-    return bound is None or bound in (EARLIEST, LATEST)
+def _offsets(bound: str | None) -> OffsetMap | None:
+    return None if bound is None or bound in (EARLIEST, LATEST) else parse_offsets(bound)
 
 
-def _within(df: DataFrame, offsets: OffsetMap, name: str) -> DataFrame:
-    rows = [(t, p, o) for t, parts in offsets.items() for p, o in parts.items()]
-    table = df.sparkSession.createDataFrame(rows, f"topic string, partition int, {name} bigint")
-    if len(rows) <= BROADCAST_ENTRIES:
-        table = F.broadcast(table)
-    return df.join(table, ["topic", "partition"], "left")
+def _bounds(start: OffsetMap | None, end: OffsetMap | None) -> list[tuple[str, int, int, int]]:
+    """``(topic, partition, from, to)`` of every partition the deciding map names."""
+    rows = []
+    for topic, parts in (end if end is not None else start or {}).items():
+        for partition in parts:
+            low = (start or {}).get(topic, {}).get(partition, EARLIEST_OFFSET)
+            high = LATEST_OFFSET if end is None else end[topic][partition]
+            rows.append((topic, partition, low, high))
+    return rows
 
 
 def offset_range(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
@@ -62,12 +65,30 @@ def offset_range(df: DataFrame, start: str | None, end: str | None) -> DataFrame
         return df.limit(0)
     if end == EARLIEST:
         raise ValueError("the end of an offset range cannot be 'earliest'")
-    out = df
-    if not _sentinel(start):
-        low = F.coalesce(F.col("_from"), F.lit(EARLIEST_OFFSET))
-        keep = (low != LATEST_OFFSET) & (F.col("offset") >= low)
-        out = _within(out, parse_offsets(start), "_from").where(keep).drop("_from")
-    if not _sentinel(end):
-        keep = (F.col("_to") == LATEST_OFFSET) | (F.col("offset") < F.col("_to"))
-        out = _within(out, parse_offsets(end), "_to").where(keep).drop("_to")
-    return out.select(*df.columns)
+    low_map, high_map = _offsets(start), _offsets(end)
+    if low_map is None and high_map is None:
+        return df
+    bounds = _bounds(low_map, high_map)
+    if not bounds:
+        return df if high_map is None else df.limit(0)
+    table = df.sparkSession.createDataFrame(
+        bounds, "topic string, partition int, _from bigint, _to bigint"
+    )
+    if len(bounds) <= BROADCAST_ENTRIES:
+        table = F.broadcast(table)
+    offset, low, high = F.col("offset"), F.col("_from"), F.col("_to")
+    above = low.isNull() | ((low != LATEST_OFFSET) & (offset >= low))
+    below = high.isNull() | (high == LATEST_OFFSET) | (offset < high)
+    how = "left" if high_map is None else "inner"
+    rows = _outer_limits(df, bounds, how).join(table, ["topic", "partition"], how)
+    return rows.where(above & below).select(*df.columns)
+
+
+def _outer_limits(df: DataFrame, bounds: list[tuple[str, int, int, int]], how: str) -> DataFrame:
+    """Widest limits over all partitions, as plain predicates a scan of archived records can use."""
+    if how != "inner":
+        return df
+    lowest, highs = min(b[2] for b in bounds), [b[3] for b in bounds]
+    if all(b[2] != LATEST_OFFSET for b in bounds) and lowest > 0:
+        df = df.where(F.col("offset") >= lowest)
+    return df if LATEST_OFFSET in highs else df.where(F.col("offset") < max(highs))

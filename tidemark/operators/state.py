@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.paths import sanitize_run_id
 from tidemark.session import path_exists
 
 CHECKPOINT_SCHEMA = "dag_id string, checkpoint_to string, updated_at timestamp, seq bigint"
@@ -49,12 +50,15 @@ class StateLog:
     def read(self) -> DataFrame:
         if not self.exists():
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        entries = self.spark.read.schema(self.schema).parquet(self.path)
+        return entries.select(*self.schema.names)
 
-    def append(self, entry: Mapping[str, Any]) -> None:
-        """Add one entry; fields it does not name are null."""
+    def append(self, entry: Mapping[str, Any]) -> DataFrame:
+        """Add one entry, and return it as a frame; fields it does not name are null."""
         values = [_value(entry.get(f.name), f.dataType).alias(f.name) for f in self.schema]
-        self.spark.range(0, 1, 1, 1).select(*values).write.mode("append").parquet(self.path)
+        row = self.spark.range(0, 1, 1, 1).select(*values)
+        row.write.mode("append").parquet(self.path)
+        return row
 
 
 def _value(value: Any, kind: T.DataType) -> Column:
@@ -80,21 +84,32 @@ def latest_checkpoints(log: DataFrame, tie_break: str = "seq") -> DataFrame:
 
 
 class RunState:
-    """Checkpoints and run events below one root folder."""
+    """Checkpoints and run events below one root folder.
+
+    Each pipeline has a checkpoint folder of its own, so a lookup lists and reads only the
+    entries of that pipeline.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root
         self.checkpoint_log = StateLog(spark, f"{root}/checkpoints", CHECKPOINT_SCHEMA)
         self.event_log = StateLog(spark, f"{root}/run_events", EVENT_SCHEMA)
 
+    def _entries(self, dag_id: str) -> StateLog:
+        folder = f"{self.checkpoint_log.path}/pipeline={sanitize_run_id(dag_id)}"
+        return StateLog(self.spark, folder, CHECKPOINT_SCHEMA)
+
     def checkpoint(self, dag_id: str) -> str | None:
         """Text of the pipeline's checkpoint; null means it has never completed."""
-        if not self.checkpoint_log.exists():
+        own = self._entries(dag_id)
+        if not own.exists():
             return None
-        mine = self.checkpoint_log.read().where(F.col("dag_id") == dag_id)
         newest = F.max_by("checkpoint_to", F.struct("updated_at", "seq"))
+        mine = own.read().where(F.col("dag_id") == dag_id)
         return mine.agg(newest.alias("checkpoint_to")).first().checkpoint_to
 
     def checkpoints(self) -> DataFrame:
+        """Every pipeline's checkpoint."""
         return latest_checkpoints(self.checkpoint_log.read())
 
     def save_checkpoint(self, dag_id: str, value: str | None) -> bool:
@@ -102,16 +117,16 @@ class RunState:
         if not value:
             return False
         entry = {"dag_id": dag_id, "checkpoint_to": value}
-        self.checkpoint_log.append(entry | {"updated_at": now_utc(), "seq": sequence_number()})
+        self._entries(dag_id).append(entry | {"updated_at": now_utc(), "seq": sequence_number()})
         return True
 
     def events(self) -> DataFrame:
         return self.event_log.read()
 
-    def append_event(self, event: Event, extra: Mapping[str, Any] | None = None) -> None:
-        """Append one run event. ``extra`` overrides known fields; new names go to the map."""
+    def append_event(self, event: Event, extra: Mapping[str, Any] | None = None) -> DataFrame:
+        """Append one run event and return it as a one-row frame. ``extra`` overrides known fields; new names go to the map."""
         merged = event | dict(extra or {})
         known = {f.name for f in self.event_log.schema}
         entry = {name: value for name, value in merged.items() if name in known}
         more = {k: None if v is None else str(v) for k, v in merged.items() if k not in known}
-        self.event_log.append(entry | {"extra": more or None, "seq": sequence_number()})
+        return self.event_log.append(entry | {"extra": more or None, "seq": sequence_number()})

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.landing import land, read_landing
 from tidemark.operators.state import StateLog, now_utc, sequence_number
 
+# Formats whose files carry their own column types, as a table that is read back needs.
+TYPED_FORMATS = ("parquet", "orc", "avro", "delta")
 VERSION_SCHEMA = "version string, path string, updated_at timestamp, seq bigint"
 
 
@@ -135,6 +137,8 @@ def upsert_into(
     """
     if mode not in ("upsert", "merge"):
         raise ValueError(f"unknown mode {mode!r}; use 'upsert' or 'merge'")
+    if file_format not in TYPED_FORMATS:
+        raise ValueError(f"a keyed table needs one of {', '.join(TYPED_FORMATS)}, not {file_format!r}")
     before, attempt = _pointed(spark, base, besides=version), sequence_number()
     path = f"{base}/data/version={version}/attempt={attempt}"
     fresh = newest_per_key(updates, keys, order_by)

@@ -69,13 +69,15 @@ def run_pipeline(
     frame: DataFrame | None = None,
     transforms: Sequence[Transform] = (),
     extra: Mapping[str, Any] | None = None,
+    publish: Callable[[DataFrame], None] | None = None,
     full_read_on_error: bool = False,
 ) -> RunResult:
     """Run a pipeline once.
 
     ``checkpoint_to`` replaces the computed high-water mark, as for a backfill. ``frame`` stands
     in for the connector: any frame of the source's shape. ``transforms`` run after filters
-    and before conforming. A failing high-water query fails the run unless ``full_read_on_error``
+    and before conforming. ``publish`` receives the run's event as a one-row frame, to be
+    enveloped and sent, before the checkpoint moves; if it fails, so does the run. A failing high-water query fails the run unless ``full_read_on_error``
     asks for an unbounded read that leaves the checkpoint where it was.
     """
     run = _Run(spark, spec, state, run_id, moment, frame, tuple(transforms), full_read_on_error)
@@ -93,13 +95,17 @@ def run_pipeline(
             "record_count": result.record_count,
             "path": result.path,
         }
-        state.append_event(event, extra)
+        recorded = state.append_event(event, extra)
+        if publish is not None:
+            publish(recorded)
         state.save_checkpoint(spec.dag_id, result.checkpoint_to)
         return result
     except Exception as error:
         failed = event | {"status": "failed", "stop_time": now_utc(), "error": str(error)}
         try:
-            state.append_event(failed)
+            recorded = state.append_event(failed)
+            if publish is not None:
+                publish(recorded)
         except Exception:  # the original error must reach the caller
             log.exception("could not record the failure of %s", run_id)
         raise
@@ -223,7 +229,9 @@ class _Run:
                 rows = rows.where(F.col(column).isNull())
             else:
                 rows = incremental_window(rows, column, low, low if high is None else high)
-        return self._land(apply_filters(rows, source.filters), low, high)
+        # A later window keeps few of the rows its tasks scan: gather them into full files.
+        scattered = bounded and source.incremental and low is not None
+        return self._land(apply_filters(rows, source.filters), low, high, scattered)
 
     # Effects
 
@@ -233,7 +241,9 @@ class _Run:
             sink.endpoint, sink.source_system_name, self.spec.source.segments(), self.moment, self.run_id
         )
 
-    def _land(self, rows: DataFrame, low: str | None, high: str | None) -> RunResult:
+    def _land(
+        self, rows: DataFrame, low: str | None, high: str | None, scattered: bool = False
+    ) -> RunResult:
         sink, count = self.spec.sink, None
         for transform in self.transforms:
             rows = rows.transform(transform)
@@ -252,7 +262,7 @@ class _Run:
         seen = Observation() if self.spec.count_records else None
         land(
             rows, path, sink.file_format, sink.mode, sink.partition_by,
-            texts(sink.write_options), observation=seen,
+            texts(sink.write_options), rebalance=scattered or None, observation=seen,
         )
         if seen is not None:
             # A window folded to an empty relation leaves nothing to observe.

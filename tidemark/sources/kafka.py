@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.sql import DataFrame
+
 from tidemark.functions.kafka import OffsetMap, parse_offsets, render_offsets
 from tidemark.operators.offsets import EARLIEST, EARLIEST_OFFSET, LATEST
 from tidemark.sources.connector import Read, texts
@@ -13,14 +15,19 @@ def _connection(
     bootstrap_servers: str, topics: str, group_id: str | None, credentials: Mapping[str, str] | None
 ) -> dict[str, str]:
     who = credentials or {}
-    user, password = who.get("sasl_username"), who.get("sasl_password")
-    # Option names of Spark's Kafka source and of the Kafka client.
+    # Option names of Spark's Kafka source.
     options = {
-        "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topics,
         "failOnDataLoss": "false",
         "kafka.group.id": group_id or None,
     }
+    return _client(bootstrap_servers, who) | texts(options)
+
+
+def _client(bootstrap_servers: str, who: Mapping[str, str]) -> dict[str, str]:
+    # Settings of the Kafka client.
+    options = {"kafka.bootstrap.servers": bootstrap_servers}
+    user, password = who.get("sasl_username"), who.get("sasl_password")
     if user and password:
         login = "org.apache.kafka.common.security.plain.PlainLoginModule"
         options |= {
@@ -28,7 +35,20 @@ def _connection(
             "kafka.sasl.mechanism": "PLAIN",
             "kafka.sasl.jaas.config": f'{login} required username="{user}" password="{password}";',
         }
-    return texts(options)
+    return options
+
+
+def kafka_write_options(
+    bootstrap_servers: str, topic: str, credentials: Mapping[str, str] | None = None
+) -> dict[str, str]:
+    """Options for sending ``key`` and ``value`` columns to a topic."""
+    return _client(bootstrap_servers, credentials or {}) | {"topic": topic}
+
+
+def send(df: DataFrame, options: Mapping[str, str]) -> None:
+    """Send enveloped events; every task sends its own rows."""
+    wanted = [name for name in ("key", "value") if name in df.columns]
+    df.select(*wanted).write.format("kafka").options(**options).save()
 
 
 def kafka_read(
