@@ -33,6 +33,13 @@ def test_append_and_overwrite(spark, frame):
     assert read_landing(spark, path).count() == 5
 
 
+def test_overwrite_leaves_nothing_behind(spark, frame):
+    path = land(frame, scratch_path(spark, "static"), partition_by=["g"])
+    with runtime_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        land(frame.where("g = '1'"), path, mode="overwrite", partition_by=["g"])
+    assert read_landing(spark, path).count() == 33
+
+
 @pytest.mark.parametrize("mode", ["upsert", "merge", "anything"])
 def test_other_modes_are_refused(spark, frame, mode):
     with pytest.raises(ValueError, match="unknown mode"):

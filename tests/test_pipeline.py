@@ -76,13 +76,33 @@ def test_rows_beyond_the_fixed_bound_wait_for_the_next_run(spark):
     assert job.landed().count() == 100
 
 
-def test_a_retry_of_the_same_run_does_not_duplicate(spark):
+def test_a_run_that_fails_after_landing_is_repeated_in_place(spark):
     job = Job(spark)
-    job.run("r1", numbers(spark, 10))
-    again = Job.__new__(Job)
-    again.__dict__ = job.__dict__ | {"state": RunState(spark, f"{job.root}/other-state")}
-    again.run("r1", numbers(spark, 10))
-    assert job.landed().count() == 10
+    with pytest.raises(ZeroDivisionError):
+        job.run("r1", numbers(spark, 10), publish=lambda event: 1 / 0)
+    assert job.state.checkpoint("job") is None
+    again = job.run("r1", numbers(spark, 30))
+    assert (again.checkpoint_to, again.record_count) == ("9", 10)
+    assert job.state.checkpoint("job") == "9"
+    job.run("r2", numbers(spark, 30))
+    assert rows(job.landed(), "id") == [(i,) for i in range(30)]
+
+
+@pytest.mark.parametrize("sink", [{}, {"mode": "upsert", "keys": ["id"]}])
+def test_running_a_finished_run_again_changes_nothing(spark, sink):
+    job = Job(spark, sink=sink)
+    first = job.run("r1", numbers(spark, 10))
+    job.run("r2", numbers(spark, 20))
+    again = run_pipeline(spark, job.spec, job.state, "r1", datetime(2030, 1, 1), frame=numbers(spark, 30))
+    assert (again.checkpoint_from, again.checkpoint_to) == (None, "9")
+    assert job.state.checkpoint("job") == "19"
+    job.run("r3", numbers(spark, 25))
+    if sink:
+        landed = read_current(spark, f"{job.root}/lake/sys/d/s/t")
+    else:
+        assert again.path == first.path
+        landed = job.landed()
+    assert rows(landed, "id") == [(i,) for i in range(25)]
 
 
 def test_no_checkpoint_column_reads_everything_each_time(spark):

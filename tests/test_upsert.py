@@ -86,6 +86,14 @@ def test_a_retry_starts_from_the_version_before(spark):
     assert rows(read_current(spark, base)) == [(1, "a", 0), (3, "right", 0)]
 
 
+def test_an_older_version_changes_nothing(spark):
+    base = scratch_path(spark, "old")
+    upsert_into(spark, base, frame(spark, [(1, "a", 0)]), ["k"], "r1")
+    second = upsert_into(spark, base, frame(spark, [(1, "b", 1)]), ["k"], "r2")
+    assert upsert_into(spark, base, frame(spark, [(1, "a", 0)]), ["k"], "r1") == second
+    assert rows(read_current(spark, base)) == [(1, "b", 1)]
+
+
 def test_refusals(spark):
     df = frame(spark, [(1, "a", 0)])
     with pytest.raises(ValueError, match="keyed table"):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import high_water_text
 from tidemark.operators.window import apply_filters, filter_conjunction, incremental_window
+from tidemark.session import runtime_conf
 from tidemark.sources.files import read_files
 
 
@@ -94,6 +95,19 @@ def test_first_run_window_reaches_the_parquet_scan(spark, sf_dir):
     assert "Or(LessThanOrEqual(ts,2024-01-10T00:00),IsNull(ts))" in plan
 
 
+def test_not_a_number_is_treated_like_null(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "d double")
+    assert high_water_text(df, "d") == "2.0"
+    assert incremental_window(df, "d", None, "2.0").count() == 4
+    assert incremental_window(df, "d", "1.0", "2.0").count() == 1
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_bound_that_does_not_fit_is_an_error(spark, numbers, ansi):
+    with runtime_conf(spark, {"spark.sql.ansi.enabled": ansi}), pytest.raises(Exception, match="abc"):
+        incremental_window(numbers, "mark", "abc", "def").count()
+
+
 def test_nested_column(spark):
     df = spark.range(10).select(F.struct(F.col("id").alias("v")).alias("s"))
     assert incremental_window(df, "s.v", 3, 5).count() == 2

@@ -52,7 +52,8 @@ def land(
         rows = rows.observe(observation, F.count(F.lit(1)).alias("record_count"))
     out = rows.write.format(fmt).mode(mode).options(**dict(options or {}))
     if partition_by:
-        out = out.partitionBy(*partition_by)
+        # An overwrite replaces the whole path, whatever the session's default says.
+        out = out.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     out.save(path)
     return path
 

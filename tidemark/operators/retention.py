@@ -14,8 +14,8 @@ DEFAULT_MAX_LEN = 1000
 
 # Rows of one stream are spread over this many groups before the final ranking.
 SALTS = 256
-# Up to this length the final ranking of one stream sees at most SALTS times as many rows.
-WINDOW_LIMIT = 10_000
+# Spark trims ranked groups before the shuffle only up to this length (its own default).
+WINDOW_LIMIT = 1000
 _POSITION_BITS = 33
 
 

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,9 +40,9 @@ def sequence_number() -> int:
 class StateLog:
     """An append-only table at a path; absent means empty."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str) -> None:
         self.spark, self.path = spark, path
-        self.schema = T.StructType.fromDDL(schema)
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
@@ -86,8 +86,8 @@ def latest_checkpoints(log: DataFrame, tie_break: str = "seq") -> DataFrame:
 class RunState:
     """Checkpoints and run events below one root folder.
 
-    Each pipeline has a checkpoint folder of its own, so a lookup lists and reads only the
-    entries of that pipeline.
+    Each pipeline has folders of its own, so a lookup lists and reads only the entries of
+    that pipeline.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -95,13 +95,13 @@ class RunState:
         self.checkpoint_log = StateLog(spark, f"{root}/checkpoints", CHECKPOINT_SCHEMA)
         self.event_log = StateLog(spark, f"{root}/run_events", EVENT_SCHEMA)
 
-    def _entries(self, dag_id: str) -> StateLog:
-        folder = f"{self.checkpoint_log.path}/pipeline={sanitize_run_id(dag_id)}"
-        return StateLog(self.spark, folder, CHECKPOINT_SCHEMA)
+    def _own(self, log: StateLog, dag_id: str) -> StateLog:
+        folder = f"{log.path}/pipeline={sanitize_run_id(dag_id)}"
+        return StateLog(self.spark, folder, log.schema)
 
     def checkpoint(self, dag_id: str) -> str | None:
         """Text of the pipeline's checkpoint; null means it has never completed."""
-        own = self._entries(dag_id)
+        own = self._own(self.checkpoint_log, dag_id)
         if not own.exists():
             return None
         newest = F.max_by("checkpoint_to", F.struct("updated_at", "seq"))
@@ -117,16 +117,27 @@ class RunState:
         if not value:
             return False
         entry = {"dag_id": dag_id, "checkpoint_to": value}
-        self._entries(dag_id).append(entry | {"updated_at": now_utc(), "seq": sequence_number()})
+        self._own(self.checkpoint_log, dag_id).append(entry | {"updated_at": now_utc(), "seq": sequence_number()})
         return True
 
     def events(self) -> DataFrame:
         return self.event_log.read()
 
+    def landed_run(self, dag_id: str, run_id: str) -> Row | None:
+        """The newest event of a run that has landed its data, or null."""
+        own = self._own(self.event_log, dag_id)
+        if not own.exists():
+            return None
+        same = (F.col("dag_id") == dag_id) & (F.col("run_id") == run_id)
+        landed = own.read().where(same & F.col("path").isNotNull())
+        bounds = F.struct("checkpoint_from", "checkpoint_to", "path")
+        return landed.agg(F.max_by(bounds, "seq").alias("run")).first().run
+
     def append_event(self, event: Event, extra: Mapping[str, Any] | None = None) -> DataFrame:
         """Append one run event and return it as a one-row frame. ``extra`` overrides known fields; new names go to the map."""
         merged = event | dict(extra or {})
         known = {f.name for f in self.event_log.schema}
         entry = {name: value for name, value in merged.items() if name in known}
         more = {k: None if v is None else str(v) for k, v in merged.items() if k not in known}
-        return self.event_log.append(entry | {"extra": more or None, "seq": sequence_number()})
+        log = self._own(self.event_log, event["dag_id"])
+        return log.append(entry | {"extra": more or None, "seq": sequence_number()})

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.landing import land, read_landing
@@ -98,22 +98,22 @@ def _replace_columns(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -
     return merged.unionByName(inserts, allowMissingColumns=True)
 
 
-def _pointed(spark: SparkSession, base: str, besides: str | None = None) -> str | None:
-    """Path of the newest version, or of the newest one not called ``besides``."""
+def _versions(spark: SparkSession, base: str) -> DataFrame | None:
     pointer = StateLog(spark, f"{base}/pointer", VERSION_SCHEMA)
-    if not pointer.exists():
+    return pointer.read() if pointer.exists() else None
+
+
+def _newest(entries: DataFrame | None) -> Row | None:
+    if entries is None:
         return None
-    entries = pointer.read()
-    if besides is not None:
-        entries = entries.where(F.col("version") != besides)
-    newest = F.max_by("path", F.struct("updated_at", "seq")).alias("path")
-    return entries.agg(newest).first().path
+    order = F.struct("updated_at", "seq")
+    return entries.agg(F.max_by(F.struct("version", "path"), order).alias("entry")).first().entry
 
 
 def read_current(spark: SparkSession, base: str, file_format: str = "parquet") -> DataFrame | None:
     """The version a table's pointer names, or null before the first one."""
-    path = _pointed(spark, base)
-    return None if path is None else read_landing(spark, path, file_format)
+    newest = _newest(_versions(spark, base))
+    return None if newest is None else read_landing(spark, newest.path, file_format)
 
 
 def upsert_into(
@@ -131,15 +131,23 @@ def upsert_into(
 
     The updates are reduced and written down first, so the join that needs them twice sees
     the same rows both times even over a live source, and plans with their true size.
-    Readers see the old version until the pointer row is appended. A retry of a ``version``
-    starts again from the one before it and writes to new folders, so nothing a reader may
-    hold is touched. One writer per table is assumed.
+    Readers see the old version until the pointer row is appended. A retry of the newest
+    ``version`` starts again from the one before it and writes to new folders, so nothing a
+    reader may hold is touched; an older version is already contained in the table and
+    changes nothing. One writer per table is assumed.
     """
     if mode not in ("upsert", "merge"):
         raise ValueError(f"unknown mode {mode!r}; use 'upsert' or 'merge'")
     if file_format not in TYPED_FORMATS:
         raise ValueError(f"a keyed table needs one of {', '.join(TYPED_FORMATS)}, not {file_format!r}")
-    before, attempt = _pointed(spark, base, besides=version), sequence_number()
+    versions, attempt = _versions(spark, base), sequence_number()
+    newest = _newest(versions)
+    if newest is not None and newest.version != version:
+        if not versions.where(F.col("version") == version).isEmpty():
+            return newest.path
+    before = newest
+    if newest is not None and newest.version == version:
+        before = _newest(versions.where(F.col("version") != version))
     path = f"{base}/data/version={version}/attempt={attempt}"
     fresh = newest_per_key(updates, keys, order_by)
     if before is None:
@@ -147,7 +155,7 @@ def upsert_into(
     else:
         staged = land(fresh, f"{base}/updates/version={version}/attempt={attempt}", file_format)
         change = _replace_rows if mode == "upsert" else _replace_columns
-        current = read_landing(spark, before, file_format)
+        current = read_landing(spark, before.path, file_format)
         settled = read_landing(spark, staged, file_format, fresh.schema)
         land(change(current, settled, keys), path, file_format)
     entry = {"version": version, "path": path, "updated_at": now_utc(), "seq": attempt}

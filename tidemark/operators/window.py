@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.checkpoint import CheckpointValue, field_type, typed_literal
 
@@ -32,14 +33,35 @@ def incremental_window(
         return df
     value, kind = F.col(column), field_type(df, column)
     if low is None:
-        return df.where((value <= typed_literal(high, kind)) | value.isNull())
-    floor = typed_literal(low, kind)
+        return df.where((value <= _bound(df, high, kind)) | _unordered(value, kind))
+    floor = _bound(df, low, kind)
     if high is None:
         return df.where(value > floor)
-    ceiling = typed_literal(high, kind)
+    ceiling = _bound(df, high, kind)
     return df.where((floor < ceiling) & (value > floor) & (value <= ceiling))
 
 
+def _bound(df: DataFrame, value: CheckpointValue, kind: T.DataType) -> Column:
+    """A typed literal, refused when the value does not fit the column.
+
+    With ANSI casts Spark refuses it; without them it would turn into null and the window
+    would silently read nothing.
+    """
+    literal = typed_literal(value, kind)
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.ansi.enabled") == "false":
+        if spark.range(1).select(literal.isNull()).first()[0]:
+            raise ValueError(f"{value!r} is not a {kind.simpleString()} checkpoint")
+    return literal
+
+
+def _unordered(value: Column, kind: T.DataType) -> Column:
+    """Rows no window can reach: null, and not-a-number in floating-point columns."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return value.isNull() | F.isnan(value)
+    return value.isNull()
+
+
 def filter_conjunction(filters: Mapping[str, str]) -> Column:
     """One predicate from ``{"age": "> 18", "status": "= 'active'"}``."""
     terms = [F.expr(f"{column} {test}") for column, test in filters.items()]

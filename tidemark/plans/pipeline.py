@@ -2,7 +2,9 @@
 
 The upper bound is fixed before anything is read and is the value stored afterwards,
 so consecutive runs neither overlap nor leave a gap. The order of effects is data, event,
-checkpoint: a failure in between repeats the same window into the same directory.
+checkpoint. A run id that has landed before is repeated with the bounds and the path of its
+event, so running it again replaces its rows by the same rows and never moves a checkpoint
+that later runs have advanced.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.checkpoint import CheckpointValue, checkpoint_text
@@ -80,7 +82,10 @@ def run_pipeline(
     enveloped and sent, before the checkpoint moves; if it fails, so does the run. A failing high-water query fails the run unless ``full_read_on_error``
     asks for an unbounded read that leaves the checkpoint where it was.
     """
-    run = _Run(spark, spec, state, run_id, moment, frame, tuple(transforms), full_read_on_error)
+    before = state.landed_run(spec.dag_id, run_id)
+    run = _Run(
+        spark, spec, state, run_id, moment, frame, tuple(transforms), full_read_on_error, before
+    )
     event: dict[str, Any] = {"dag_id": spec.dag_id, "run_id": run_id, "start_time": now_utc()}
     try:
         with runtime_conf(spark, _runtime_settings(spark, spec)):
@@ -98,7 +103,8 @@ def run_pipeline(
         recorded = state.append_event(event, extra)
         if publish is not None:
             publish(recorded)
-        state.save_checkpoint(spec.dag_id, result.checkpoint_to)
+        if before is None or state.checkpoint(spec.dag_id) == before.checkpoint_from:
+            state.save_checkpoint(spec.dag_id, result.checkpoint_to)
         return result
     except Exception as error:
         failed = event | {"status": "failed", "stop_time": now_utc(), "error": str(error)}
@@ -126,6 +132,7 @@ class _Run:
     frame: DataFrame | None
     transforms: tuple[Transform, ...]
     full_read_on_error: bool
+    before: Row | None
 
     def execute(self, fixed: str | None) -> RunResult:
         spec = self.spec
@@ -134,6 +141,8 @@ class _Run:
         if spec.write_type == "s3":
             configure_s3a(self.spark, spec.sink_credentials, writing=True)
         low = self.state.checkpoint(spec.dag_id)
+        if self.before is not None:
+            low, fixed = self.before.checkpoint_from, self.before.checkpoint_to
         if isinstance(spec.source, KafkaSource):
             return self._kafka(spec.source, low, fixed)
         if isinstance(spec.source, PathSource):
@@ -236,6 +245,11 @@ class _Run:
     # Effects
 
     def _path(self) -> str:
+        if self.before is not None:
+            return self.before.path
+        return self._leaf()
+
+    def _leaf(self) -> str:
         sink = self.spec.sink
         return landing_path(
             sink.endpoint, sink.source_system_name, self.spec.source.segments(), self.moment, self.run_id
@@ -250,7 +264,7 @@ class _Run:
         rows = conform(rows, sink.schema, sink.on_mismatch)
         path = self._path()
         if sink.mode in ("upsert", "merge"):
-            base = path.rsplit("/", 3)[0]
+            base = self._leaf().rsplit("/", 3)[0]
             version = sanitize_run_id(self.run_id)
             if self.spec.count_records:
                 count = record_count(rows).first().cnt
