@@ -6,12 +6,13 @@ as it was. Reads reduce the log to the newest entry per key.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Mapping
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,19 +56,20 @@ class StateLog:
 
     def append(self, entry: Mapping[str, Any]) -> DataFrame:
         """Add one entry, and return it as a frame; fields it does not name are null."""
-        values = [_value(entry.get(f.name), f.dataType).alias(f.name) for f in self.schema]
-        row = self.spark.range(0, 1, 1, 1).select(*values)
+        text = json.dumps(entry, default=_json_text)
+        parsed = F.from_json(F.lit(text), self.schema, {"mode": "FAILFAST"})
+        row = self.spark.range(0, 1, 1, 1).select(parsed.alias("entry")).select("entry.*")
         row.write.mode("append").parquet(self.path)
         return row
 
 
-def _value(value: Any, kind: T.DataType) -> Column:
-    if isinstance(value, Mapping):
-        pairs = [F.lit(part) for pair in value.items() for part in pair]
-        return F.create_map(*pairs).cast(kind)
-    if isinstance(value, datetime) and isinstance(kind, T.TimestampType):
-        return F.lit(value.isoformat(sep=" ")).cast(kind)
-    return F.lit(value).cast(kind)
+def _json_text(value: Any) -> str:
+    return value.isoformat() if isinstance(value, (date, datetime)) else str(value)
+
+
+def newest(entries: DataFrame, *columns: str) -> Row | None:
+    """The last entry of a log, found without a shuffle; null when there is none."""
+    return entries.orderBy(*(F.col(c).desc() for c in columns)).limit(1).first()
 
 
 def latest_checkpoints(log: DataFrame, tie_break: str = "seq") -> DataFrame:
@@ -104,9 +106,8 @@ class RunState:
         own = self._own(self.checkpoint_log, dag_id)
         if not own.exists():
             return None
-        newest = F.max_by("checkpoint_to", F.struct("updated_at", "seq"))
-        mine = own.read().where(F.col("dag_id") == dag_id)
-        return mine.agg(newest.alias("checkpoint_to")).first().checkpoint_to
+        last = newest(own.read().where(F.col("dag_id") == dag_id), "updated_at", "seq")
+        return None if last is None else last.checkpoint_to
 
     def checkpoints(self) -> DataFrame:
         """Every pipeline's checkpoint."""
@@ -129,9 +130,7 @@ class RunState:
         if not own.exists():
             return None
         same = (F.col("dag_id") == dag_id) & (F.col("run_id") == run_id)
-        landed = own.read().where(same & F.col("path").isNotNull())
-        bounds = F.struct("checkpoint_from", "checkpoint_to", "path")
-        return landed.agg(F.max_by(bounds, "seq").alias("run")).first().run
+        return newest(own.read().where(same & F.col("path").isNotNull()), "seq")
 
     def append_event(self, event: Event, extra: Mapping[str, Any] | None = None) -> DataFrame:
         """Append one run event and return it as a one-row frame. ``extra`` overrides known fields; new names go to the map."""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.landing import land, read_landing
-from tidemark.operators.state import StateLog, now_utc, sequence_number
+from tidemark.operators.state import StateLog, newest, now_utc, sequence_number
 
 # Formats whose files carry their own column types, as a table that is read back needs.
 TYPED_FORMATS = ("parquet", "orc", "avro", "delta")
@@ -31,8 +31,8 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     rank = [*order_by, *(c for c in rest if c not in order_by)]
     if not rest:
         return df.select(*keys).distinct()
-    newest = F.max_by(F.struct(*rest), F.struct(*rank)).alias("_row")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*df.columns)
+    last = F.max_by(F.struct(*rest), F.struct(*rank)).alias("_row")
+    return df.groupBy(*keys).agg(last).select(*keys, "_row.*").select(*df.columns)
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -104,16 +104,13 @@ def _versions(spark: SparkSession, base: str) -> DataFrame | None:
 
 
 def _newest(entries: DataFrame | None) -> Row | None:
-    if entries is None:
-        return None
-    order = F.struct("updated_at", "seq")
-    return entries.agg(F.max_by(F.struct("version", "path"), order).alias("entry")).first().entry
+    return None if entries is None else newest(entries, "updated_at", "seq")
 
 
 def read_current(spark: SparkSession, base: str, file_format: str = "parquet") -> DataFrame | None:
     """The version a table's pointer names, or null before the first one."""
-    newest = _newest(_versions(spark, base))
-    return None if newest is None else read_landing(spark, newest.path, file_format)
+    current = _newest(_versions(spark, base))
+    return None if current is None else read_landing(spark, current.path, file_format)
 
 
 def upsert_into(
@@ -141,12 +138,11 @@ def upsert_into(
     if file_format not in TYPED_FORMATS:
         raise ValueError(f"a keyed table needs one of {', '.join(TYPED_FORMATS)}, not {file_format!r}")
     versions, attempt = _versions(spark, base), sequence_number()
-    newest = _newest(versions)
-    if newest is not None and newest.version != version:
+    before = _newest(versions)
+    if before is not None and before.version != version:
         if not versions.where(F.col("version") == version).isEmpty():
-            return newest.path
-    before = newest
-    if newest is not None and newest.version == version:
+            return before.path
+    elif before is not None:
         before = _newest(versions.where(F.col("version") != version))
     path = f"{base}/data/version={version}/attempt={attempt}"
     fresh = newest_per_key(updates, keys, order_by)

@@ -47,13 +47,12 @@ _ORACLES: dict[str, str] = {}
 SPLITS = 16
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function name, with the SQL it must agree with."""
+def query(oracle: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, by default under its function name, with the SQL it must agree with."""
 
     def add(fn: Query) -> Query:
-        _QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            _ORACLES[fn.__name__] = oracle
+        _QUERIES[name or fn.__name__] = fn
+        _ORACLES[name or fn.__name__] = oracle
         return fn
 
     return add
@@ -338,7 +337,8 @@ def scheme_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "SELECT event_id, 's3a://landing/erp/db1/public/' || event_type || '/ingestion_date=' || "
     "strftime(ts, '%Y-%m-%d') || '/ingestion_time=' || strftime(ts, '%H-%M-%S') || '/run_id=' || "
-    "regexp_replace('run:' || event_id, '[^a-zA-Z0-9]', '_', 'g') AS path FROM events"
+    "regexp_replace('run:' || event_id, '[^a-zA-Z0-9]', '_', 'g') AS path FROM events",
+    name="landing_path",
 )
 def landing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = [F.lit("db1"), F.lit("public"), F.col("event_type")]
@@ -350,9 +350,9 @@ def landing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Landing
 
 _TWO_LANDINGS = (
-    "SELECT supplier.*, DATE '2024-01-15' AS ingestion_date, '14-30-00' AS ingestion_time, "
+    "SELECT supplier.*, '2024-01-15' AS ingestion_date, '14-30-00' AS ingestion_time, "
     "'scheduled__2024_01_15' AS run_id FROM supplier UNION ALL "
-    "SELECT supplier.*, DATE '2024-01-16', '09-00-00', 'scheduled__2024_01_16' FROM supplier "
+    "SELECT supplier.*, '2024-01-16', '09-00-00', 'scheduled__2024_01_16' FROM supplier "
     "WHERE s_acctbal > 1000"
 )
 
@@ -365,7 +365,8 @@ def land_and_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = landing_path(root, "pg", segments, datetime(2024, 1, 16, 9), "scheduled__2024-01-16")
     land(suppliers, first)
     land(apply_filters(suppliers, {"s_acctbal": "> 1000"}), second)
-    return read_landing(spark, f"{root}/pg/erp/public/supplier")
+    landed = read_landing(spark, f"{root}/pg/erp/public/supplier")
+    return landed.withColumn("ingestion_date", F.date_format("ingestion_date", "yyyy-MM-dd"))
 
 
 @query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
@@ -391,12 +392,14 @@ def schema_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_totalprice AS DECIMAL(18, 2)) AS o_totalprice, "
-    "CAST(o_orderdate AS DATE) AS o_orderdate FROM orders"
+    "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, "
+    "CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS o_totalprice, "
+    "CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate FROM orders"
 )
 def prewrite_prune_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = "o_orderkey string, o_totalprice decimal(18,2), o_orderdate date, absent string"
-    return conform(_table(spark, sf_dir, "orders"), expected, "cast")
+    landed = conform(_table(spark, sf_dir, "orders"), expected, "cast")
+    return landed.select(*(F.col(c).cast("string").alias(c) for c in landed.columns))
 
 
 _LINE_UPDATES = (
