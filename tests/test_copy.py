@@ -2,12 +2,15 @@ from __future__ import annotations
 
 import hashlib
 import os
+import pickle
 import random
 from datetime import datetime
 
 import pytest
 from helpers import rows
+from pyspark import cloudpickle
 
+from tidemark.operators import copy
 from tidemark.operators.copy import copy_files
 from tidemark.operators.landing import land
 from tidemark.session import scratch_path
@@ -38,7 +41,7 @@ def test_bytes_names_and_sizes_are_preserved(spark, tree, tmp_path):
     manifest = copy_files(spark, tree, target, chunk_bytes=1 << 20)
     before, after = digests(tree), digests(target)
     assert before == after and "_SUCCESS" in after
-    sizes = {os.path.relpath(r.dst, target): r.bytes for r in manifest.collect()}
+    sizes = {os.path.relpath(r.dst.removeprefix("file:"), target): r.bytes for r in manifest.collect()}
     assert sizes == {"a.bin": 5_000_000, "p=1/b c.csv": 10, "p=2/deep/d%20e.json": 1, "z": 1_048_576}
 
 
@@ -51,6 +54,28 @@ def test_copy_overwrites_longer_files_and_can_be_repeated(spark, tree, tmp_path)
     assert digests(tree) == digests(target)
 
 
+def test_whole_file_streams_go_through_a_temporary_name(tmp_path, monkeypatch):
+    """The way taken on file systems that cannot write at an offset."""
+    source, target = tmp_path / "a", tmp_path / "sub" / "a"
+    source.write_bytes(b"new bytes")
+    monkeypatch.setattr(copy, "_is_posix", lambda uri: False)
+    for _ in range(2):
+        assert copy._copy_chunk(f"file://{source}", f"file://{target}", 0, 9, 9) == 9
+        assert target.read_bytes() == b"new bytes" and os.listdir(target.parent) == ["a"]
+
+
+def test_a_source_that_changes_fails_the_copy(tmp_path):
+    (tmp_path / "a").write_bytes(b"grown")
+    with pytest.raises(OSError, match="changed"):
+        copy._copy_chunk(str(tmp_path / "a"), str(tmp_path / "b"), 0, 3, 3)
+
+
+def test_executors_need_no_installed_package(spark):
+    """A worker that cannot import the package still runs the task function."""
+    shipped = pickle.loads(cloudpickle.dumps(copy._copy_batches))
+    assert shipped is not copy._copy_batches and shipped.__module__ == copy.__name__
+
+
 def test_single_file(spark, tree, tmp_path):
     copy_files(spark, f"{tree}/a.bin", str(tmp_path / "one"))
     assert digests(tmp_path / "one")["a.bin"] == digests(tree)["a.bin"]

@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import os
+import re
+import sys
+import uuid
 from collections.abc import Iterator
 from datetime import datetime
-from urllib.parse import urlsplit
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.window import incremental_window
-from tidemark.session import scratch_path
+from tidemark.session import qualified, scratch_path
 from tidemark.sources.files import file_inventory
 
+# The task function travels whole, so executors need not have this package installed.
+register_pickle_by_value(sys.modules[__name__])
+
 CHUNK_BYTES = 256 << 20
 TASK_BYTES = 1 << 30
 _BUFFER = 8 << 20
@@ -24,11 +30,11 @@ MANIFEST = "src string, dst string, offset bigint, bytes bigint"
 
 
 def _is_posix(uri: str) -> bool:
-    return urlsplit(uri).scheme in ("", "file")
+    return uri.startswith(("/", "file:"))
 
 
 def _posix(uri: str) -> str:
-    return uri[len("file:"):].replace("//", "/", 1) if uri.startswith("file:") else uri
+    return "/" + uri.removeprefix("file:").lstrip("/")
 
 
 def _arrow_fs(uri: str):
@@ -73,9 +79,11 @@ def _copy_chunk(src: str, dst: str, offset: int, count: int, size: int) -> int:
             with target_fs.open_output_stream(target_path) as sink:
                 return _pump(source.read, sink.write, count)
         target_fs.create_dir(folder, recursive=True)
-        partial = f"{folder}/.{name}.{os.getpid()}.partial"
+        partial = f"{folder}/.{name}.{uuid.uuid4().hex}.partial"
         with target_fs.open_output_stream(partial) as sink:
             _pump(source.read, sink.write, count)
+        if target_fs.get_file_info(target_path).is_file:
+            target_fs.delete_file(target_path)
         target_fs.move(partial, target_path)
         return count
 
@@ -91,7 +99,7 @@ def _copy_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _relative(root: str) -> Column:
     """Path below ``root``; the bare file name when ``root`` itself is a file."""
     plain = F.regexp_replace("path", _SCHEME, "")
-    base = "/" + "/".join(p for p in urlsplit(root).path.split("/") if p)
+    base = "/" + "/".join(p for p in re.sub(_SCHEME, "", root).split("/") if p)
     below = F.substring(plain, F.lit(len(base) + 2), F.length(plain))
     return F.when(plain == base, F.element_at(F.split(plain, "/"), -1)).otherwise(below)
 
@@ -113,7 +121,7 @@ def copy_files(
     files (names starting with ``_`` or ``.``) and empty files are not listed by Spark and
     not copied; ``_SUCCESS`` is written anew.
     """
-    target = destination.rstrip("/")
+    target = qualified(spark, destination.rstrip("/"))
     files = incremental_window(
         file_inventory(spark, source, recursive=True), "modificationTime", modified_after, modified_until
     )

@@ -35,11 +35,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """A Hadoop path and the file system behind it, as the session is configured."""
+    parsed = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return parsed, parsed.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the file system behind ``path`` has it: one metadata call from the driver."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return jvm_path.getFileSystem(conf).exists(jvm_path)
+    parsed, file_system = _hadoop_path(spark, path)
+    return file_system.exists(parsed)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme Spark would read it by; bare paths get the default file system."""
+    if "://" in path:
+        return path
+    parsed, file_system = _hadoop_path(spark, path)
+    return file_system.makeQualified(parsed).toString()
 
 
 @contextmanager
