@@ -33,6 +33,16 @@ def test_append_and_overwrite(spark, frame):
     assert read_landing(spark, path).count() == 5
 
 
+def test_numeric_run_ids_stay_text(spark):
+    base = scratch_path(spark, "runs")
+    for run_id in ("007", "8"):
+        land(spark.range(1), f"{base}/ingestion_date=2024-01-15/run_id={run_id}")
+    got = read_landing(spark, base)
+    assert rows(got.select("run_id", F.col("ingestion_date").cast("string"))) == [
+        ("007", "2024-01-15"), ("8", "2024-01-15"),
+    ]
+
+
 def test_overwrite_leaves_nothing_behind(spark, frame):
     path = land(frame, scratch_path(spark, "static"), partition_by=["g"])
     with runtime_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):

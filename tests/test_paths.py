@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.functions.paths import (
+    bucket_of,
     key_path,
     landing_path,
     landing_path_column,
@@ -44,6 +45,11 @@ def test_file_source_path_nests_without_scheme_and_bucket():
     assert got.startswith("s3a://lake/sftp/exports/ingestion_date=2024-01-15/")
 
 
+def test_bucket():
+    assert bucket_of("s3://raw/in") == bucket_of("s3a://raw") == "raw"
+    assert bucket_of("hdfs://n/x") is None and bucket_of("/x") is None
+
+
 def test_column_form_agrees_with_string_form(spark):
     df = spark.createDataFrame([("sys", "t", MOMENT, "a:b")], "s string, t string, m timestamp_ntz, r string")
     column = landing_path_column("s3://lake/", F.col("s"), [F.lit("db"), F.col("t")], F.col("m"), F.col("r"))

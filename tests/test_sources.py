@@ -27,7 +27,7 @@ from tidemark.sources.jdbc import (
 )
 from tidemark.sources.kafka import complete_start, kafka_read, kafka_stream, kafka_write_options, send
 from tidemark.sources.nosql import cassandra_read, dynamodb_read, mongodb_above, mongodb_max, mongodb_read
-from tidemark.sources.storage import s3a_settings
+from tidemark.sources.storage import configure_s3a, s3a_settings
 
 WHO = {"username": "u", "password": "p"}
 
@@ -191,6 +191,17 @@ def test_s3a():
     assert own["fs.s3a.fast.upload"] == "true" and own["fs.s3a.fast.upload.buffer"] == "bytebuffer"
 
 
+def test_s3a_per_bucket(spark):
+    secret = {"aws_access_key_id": "a", "aws_secret_access_key": "s"}
+    settings = s3a_settings(secret, writing=True, bucket="raw")
+    assert settings["fs.s3a.bucket.raw.access.key"] == "a"
+    assert settings["fs.s3a.bucket.raw.fast.upload"] == "true"
+    assert [k for k in settings if not k.startswith("fs.s3a.bucket.raw.")] == ["fs.s3a.impl"]
+    configure_s3a(spark, secret, bucket="raw")
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    assert hadoop.get("fs.s3a.bucket.raw.secret.key") == "s" and hadoop.get("fs.s3a.access.key") is None
+
+
 def test_connector_read_applies_schema_and_options(spark, sf_dir):
     read = Read("parquet", {"path": f"{sf_dir}/supplier.parquet"}, "s_suppkey bigint")
     assert load(spark, read).columns == ["s_suppkey"]

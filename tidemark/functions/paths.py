@@ -35,6 +35,12 @@ def key_path(uri: str) -> str:
     return rest.partition("/")[2].strip("/")
 
 
+def bucket_of(uri: str) -> str | None:
+    """Bucket of an S3 URI; null for any other path."""
+    scheme, _, rest = normalize_scheme(uri).partition("://")
+    return rest.partition("/")[0] if scheme == "s3a" else None
+
+
 def landing_path(
     endpoint: str, system: str, segments: Sequence[str], moment: datetime, run_id: str
 ) -> str:
@@ -46,7 +52,7 @@ def landing_path(
         f"run_id={sanitize_run_id(run_id)}",
     ]
     root = normalize_scheme(endpoint).rstrip("/")
-    return "/".join([root, *(p.strip("/") for p in parts if p), *tail])
+    return "/".join([root, *filter(None, (p.strip("/") for p in parts)), *tail])
 
 
 def landing_path_column(

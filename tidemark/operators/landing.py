@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import PySparkAssertionError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +59,17 @@ def land(
     return path
 
 
+def counted(observation: Observation) -> int | None:
+    """Rows an observed landing wrote; null when nothing was written with it.
+
+    A window folded to an empty relation leaves nothing to observe, which counts as zero.
+    """
+    try:
+        return observation.get.get("record_count") or 0
+    except PySparkAssertionError:
+        return None
+
+
 def balanced(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """Even out the rows, by ``columns`` if any, splitting hot values."""
     return df.hint("rebalance", *columns)
@@ -70,6 +82,19 @@ def read_landing(
     schema: T.StructType | str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Read a landing tree; ingestion date, time and run id come back from the directories."""
+    """Read a landing tree; ingestion date, time and run id come back from the directories.
+
+    A run id stays text even when all of them look like numbers, which Spark would infer.
+    """
     reader = spark.read.format(check_format(file_format)).options(**dict(options or {}))
-    return (reader.schema(schema) if schema is not None else reader).load(base)
+    if schema is not None:
+        return reader.schema(schema).load(base)
+    found = reader.load(base)
+    guessed = [f.name for f in found.schema if f.name == "run_id" and f.dataType != T.StringType()]
+    if not guessed:
+        return found
+    fields = [
+        T.StructField(f.name, T.StringType() if f.name in guessed else f.dataType, f.nullable, f.metadata)
+        for f in found.schema
+    ]
+    return reader.schema(T.StructType(fields)).load(base)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.landing import land, read_landing
@@ -123,6 +123,7 @@ def upsert_into(
     *,
     mode: str = "upsert",
     file_format: str = "parquet",
+    observation: Observation | None = None,
 ) -> str:
     """Write the next version of the table at ``base``, then move its pointer.
 
@@ -131,7 +132,8 @@ def upsert_into(
     Readers see the old version until the pointer row is appended. A retry of the newest
     ``version`` starts again from the one before it and writes to new folders, so nothing a
     reader may hold is touched; an older version is already contained in the table and
-    changes nothing. One writer per table is assumed.
+    changes nothing. One writer per table is assumed. An ``observation`` receives
+    ``record_count``, the number of keys updated.
     """
     if mode not in ("upsert", "merge"):
         raise ValueError(f"unknown mode {mode!r}; use 'upsert' or 'merge'")
@@ -147,9 +149,10 @@ def upsert_into(
     path = f"{base}/data/version={version}/attempt={attempt}"
     fresh = newest_per_key(updates, keys, order_by)
     if before is None:
-        land(fresh, path, file_format)
+        land(fresh, path, file_format, observation=observation)
     else:
-        staged = land(fresh, f"{base}/updates/version={version}/attempt={attempt}", file_format)
+        staged = f"{base}/updates/version={version}/attempt={attempt}"
+        land(fresh, staged, file_format, observation=observation)
         change = _replace_rows if mode == "upsert" else _replace_columns
         current = read_landing(spark, before.path, file_format)
         settled = read_landing(spark, staged, file_format, fresh.schema)

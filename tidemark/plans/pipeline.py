@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.checkpoint import CheckpointValue, checkpoint_text
 from tidemark.functions.kafka import decode_kafka, parse_offsets, render_offsets
-from tidemark.functions.paths import landing_path, sanitize_run_id
+from tidemark.functions.paths import bucket_of, landing_path, sanitize_run_id
 from tidemark.operators.aggregates import high_water_text, record_count
 from tidemark.operators.conform import conform
 from tidemark.operators.copy import copy_files
-from tidemark.operators.landing import land
+from tidemark.operators.landing import counted, land
 from tidemark.operators.offsets import end_offsets, offset_map_json, offset_range
 from tidemark.operators.state import RunState, now_utc
 from tidemark.operators.upsert import upsert_into
@@ -136,10 +136,12 @@ class _Run:
 
     def execute(self, fixed: str | None) -> RunResult:
         spec = self.spec
-        if spec.read_type == "s3":
-            configure_s3a(self.spark, spec.source_credentials)
+        if spec.read_type == "s3" and isinstance(spec.source, PathSource):
+            bucket = bucket_of(spec.source.path)
+            configure_s3a(self.spark, spec.source_credentials, bucket=bucket)
         if spec.write_type == "s3":
-            configure_s3a(self.spark, spec.sink_credentials, writing=True)
+            bucket = bucket_of(spec.sink.endpoint)
+            configure_s3a(self.spark, spec.sink_credentials, writing=True, bucket=bucket)
         low = self.state.checkpoint(spec.dag_id)
         if self.before is not None:
             low, fixed = self.before.checkpoint_from, self.before.checkpoint_to
@@ -258,30 +260,25 @@ class _Run:
     def _land(
         self, rows: DataFrame, low: str | None, high: str | None, scattered: bool = False
     ) -> RunResult:
-        sink, count = self.spec.sink, None
+        sink = self.spec.sink
         for transform in self.transforms:
             rows = rows.transform(transform)
         rows = conform(rows, sink.schema, sink.on_mismatch)
+        seen = Observation() if self.spec.count_records else None
         path = self._path()
         if sink.mode in ("upsert", "merge"):
             base = self._leaf().rsplit("/", 3)[0]
             version = sanitize_run_id(self.run_id)
-            if self.spec.count_records:
-                count = record_count(rows).first().cnt
             path = upsert_into(
                 self.spark, base, rows, sink.keys, version, sink.order_by,
-                mode=sink.mode, file_format=sink.file_format,
+                mode=sink.mode, file_format=sink.file_format, observation=seen,
             )
-            return RunResult(path, low, high, count)
-        seen = Observation() if self.spec.count_records else None
-        land(
-            rows, path, sink.file_format, sink.mode, sink.partition_by,
-            texts(sink.write_options), rebalance=scattered or None, observation=seen,
-        )
-        if seen is not None:
-            # A window folded to an empty relation leaves nothing to observe.
-            count = seen.get.get("record_count") or 0
-        return RunResult(path, low, high, count)
+        else:
+            land(
+                rows, path, sink.file_format, sink.mode, sink.partition_by,
+                texts(sink.write_options), rebalance=scattered or None, observation=seen,
+            )
+        return RunResult(path, low, high, None if seen is None else counted(seen))
 
     def _copy(self, source: PathSource, low: str | None, fixed: str | None) -> RunResult:
         high, bounded = None, False

@@ -407,7 +407,7 @@ _LINE_UPDATES = (
 )
 
 
-def _line_updates(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+def _line_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many updates per order, half of them for orders that do not exist."""
     return _table(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 2).alias("o_orderkey"),
