@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 from datetime import datetime
 
 import pytest
@@ -105,6 +106,22 @@ def test_running_a_finished_run_again_changes_nothing(spark, sink):
     assert rows(landed, "id") == [(i,) for i in range(25)]
 
 
+def test_random_growth_failures_and_repeats_land_every_row_once(spark):
+    rng, job, size = random.Random(11), Job(spark), 0
+    for number in range(5):
+        size += rng.randrange(0, 40)
+        run_id = f"r{number}"
+        if rng.random() < 0.4:
+            with pytest.raises(ZeroDivisionError):
+                job.run(run_id, numbers(spark, size), publish=lambda event: 1 / 0)
+            size += rng.randrange(0, 40)
+        job.run(run_id, numbers(spark, size))
+        if rng.random() < 0.3:
+            job.run(f"r{rng.randrange(number + 1)}", numbers(spark, size + 5))
+    job.run("last", numbers(spark, size))
+    assert rows(job.landed(), "id") == [(i,) for i in range(size)]
+
+
 def test_no_checkpoint_column_reads_everything_each_time(spark):
     job = Job(spark, source={"format": "parquet", "database": "d", "table": "t"})
     assert job.run("r1", numbers(spark, 10)).checkpoint_to is None

@@ -94,6 +94,14 @@ def test_an_older_version_changes_nothing(spark):
     assert rows(read_current(spark, base)) == [(1, "b", 1)]
 
 
+@pytest.mark.parametrize("mode", ["upsert", "merge"])
+def test_unique_updates_are_taken_as_they_come(spark, mode):
+    base = scratch_path(spark, "unique")
+    upsert_into(spark, base, frame(spark, [(1, "a", 0), (2, "b", 0)]), ["k"], "r1", unique=True)
+    upsert_into(spark, base, frame(spark, [(2, "c", 1), (3, "d", 1)]), ["k"], "r2", unique=True, mode=mode)
+    assert rows(read_current(spark, base)) == [(1, "a", 0), (2, "c", 1), (3, "d", 1)]
+
+
 def test_refusals(spark):
     df = frame(spark, [(1, "a", 0)])
     with pytest.raises(ValueError, match="keyed table"):

@@ -123,6 +123,7 @@ def upsert_into(
     *,
     mode: str = "upsert",
     file_format: str = "parquet",
+    unique: bool = False,
     observation: Observation | None = None,
 ) -> str:
     """Write the next version of the table at ``base``, then move its pointer.
@@ -132,7 +133,9 @@ def upsert_into(
     Readers see the old version until the pointer row is appended. A retry of the newest
     ``version`` starts again from the one before it and writes to new folders, so nothing a
     reader may hold is touched; an older version is already contained in the table and
-    changes nothing. One writer per table is assumed. An ``observation`` receives
+    changes nothing. One writer per table is assumed. ``unique`` says that no key occurs twice
+    among the updates, as in rows of a table with that primary key; they are then taken as
+    they come, without the shuffle that reduces them. An ``observation`` receives
     ``record_count``, the number of keys updated.
     """
     if mode not in ("upsert", "merge"):
@@ -147,7 +150,7 @@ def upsert_into(
     elif before is not None:
         before = _newest(versions.where(F.col("version") != version))
     path = f"{base}/data/version={version}/attempt={attempt}"
-    fresh = newest_per_key(updates, keys, order_by)
+    fresh = updates if unique else newest_per_key(updates, keys, order_by)
     if before is None:
         land(fresh, path, file_format, observation=observation)
     else:

@@ -79,8 +79,9 @@ def run_pipeline(
     ``checkpoint_to`` replaces the computed high-water mark, as for a backfill. ``frame`` stands
     in for the connector: any frame of the source's shape. ``transforms`` run after filters
     and before conforming. ``publish`` receives the run's event as a one-row frame, to be
-    enveloped and sent, before the checkpoint moves; if it fails, so does the run. A failing high-water query fails the run unless ``full_read_on_error``
-    asks for an unbounded read that leaves the checkpoint where it was.
+    enveloped and sent, before the checkpoint moves; if it fails, so does the run. A failing
+    high-water query fails the run unless ``full_read_on_error`` asks for an unbounded read
+    that leaves the checkpoint where it was.
     """
     before = state.landed_run(spec.dag_id, run_id)
     run = _Run(
@@ -271,7 +272,7 @@ class _Run:
             version = sanitize_run_id(self.run_id)
             path = upsert_into(
                 self.spark, base, rows, sink.keys, version, sink.order_by,
-                mode=sink.mode, file_format=sink.file_format, observation=seen,
+                mode=sink.mode, file_format=sink.file_format, unique=sink.unique_keys, observation=seen,
             )
         else:
             land(

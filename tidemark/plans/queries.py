@@ -425,7 +425,7 @@ def _line_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "upsert")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    upsert_into(spark, base, orders, ["o_orderkey"], "run_1")
+    upsert_into(spark, base, orders, ["o_orderkey"], "run_1", unique=True)
     upsert_into(spark, base, _line_updates(spark, sf_dir), ["o_orderkey"], "run_2", ["o_orderdate"])
     return read_current(spark, base)
 
@@ -441,7 +441,7 @@ def sink_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate"
     )
-    upsert_into(spark, base, orders, ["o_orderkey"], "run_1")
+    upsert_into(spark, base, orders, ["o_orderkey"], "run_1", unique=True)
     upsert_into(
         spark, base, _line_updates(spark, sf_dir), ["o_orderkey"], "run_2", ["o_orderdate"], mode="merge"
     )

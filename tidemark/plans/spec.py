@@ -112,7 +112,11 @@ Source = Union[TableSource, PathSource, KafkaSource]
 
 @dataclass(frozen=True)
 class Sink:
-    """Where and how rows land. ``upsert`` and ``merge`` keep a keyed, versioned table."""
+    """Where and how rows land. ``upsert`` and ``merge`` keep a keyed, versioned table.
+
+    ``unique_keys`` states that a run never reads one key twice, as from a table whose
+    primary key it is, and spares the shuffle that would make sure.
+    """
 
     endpoint: str = ""
     source_system_name: str = ""
@@ -121,6 +125,7 @@ class Sink:
     partition_by: tuple[str, ...] = ()
     keys: tuple[str, ...] = ()
     order_by: tuple[str, ...] = ()
+    unique_keys: bool = False
     schema: str | None = None
     on_mismatch: str = "fail"
     write_options: dict[str, Any] = field(default_factory=dict)
