@@ -4,6 +4,7 @@ import random
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from tidemark.operators.upsert import (
     merge_columns,
@@ -41,6 +42,21 @@ def test_upsert_against_brute_force_with_a_hot_key(spark):
     assert rows(got) == sorted(expected.values())
 
 
+@pytest.mark.parametrize("change", [upsert, merge_columns])
+def test_updates_derived_from_the_target_itself(spark, change):
+    target = frame(spark, [(1, "a", 0), (2, "b", 0), (3, "c", 0)])
+    updates = target.where("k > 1").withColumn("v", F.upper("v"))
+    assert rows(change(target, updates, ["k"], ["at"])) == [(1, "a", 0), (2, "B", 0), (3, "C", 0)]
+
+
+def test_two_part_keys(spark):
+    target = frame(spark, [(1, "a", 0), (1, "b", 0)])
+    updates = frame(spark, [(1, "b", 9), (2, "b", 9)])
+    expected = [(1, "a", 0), (1, "b", 9), (2, "b", 9)]
+    assert rows(upsert(target, updates, ["k", "v"])) == expected
+    assert rows(merge_columns(target, updates, ["k", "v"])) == expected
+
+
 def test_ties_are_settled_by_the_other_columns(spark):
     df = frame(spark, [(1, "a", 5), (1, "b", 5)])
     assert rows(newest_per_key(df, ["k"], ["at"])) == [(1, "b", 5)]

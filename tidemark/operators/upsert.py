@@ -35,8 +35,14 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     return df.groupBy(*keys).agg(last).select(*keys, "_row.*").select(*df.columns)
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(Column.__and__, [left[k].eqNullSafe(right[k]) for k in keys])
+def _marks(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys under names of their own, so a join with rows of the same origin is unambiguous."""
+    return df.select(*(F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)))
+
+
+def _same_key(rows: DataFrame, marks: DataFrame, keys: Sequence[str]) -> Column:
+    pairs = [rows[k].eqNullSafe(marks[f"_key_{i}"]) for i, k in enumerate(keys)]
+    return reduce(Column.__and__, pairs)
 
 
 def upsert(
@@ -54,7 +60,7 @@ def upsert(
 def _replace_rows(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
     if set(target.columns) != set(fresh.columns):
         raise ValueError("upsert needs the same columns on both sides; use merge_columns")
-    marks = fresh.select(*keys)
+    marks = _marks(fresh, keys)
     kept = target.join(marks, _same_key(target, marks, keys), "left_anti")
     return kept.unionByName(fresh)
 
@@ -80,9 +86,7 @@ def _replace_columns(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -
         F.struct(*changed).alias("_new"),
         F.lit(True).alias("_hit"),
     )
-    on = reduce(
-        Column.__and__, [target[k].eqNullSafe(side[f"_key_{i}"]) for i, k in enumerate(keys)]
-    )
+    on = _same_key(target, side, keys)
     merged = target.join(side, on, "left").select(
         *(
             F.when(F.col("_hit"), F.col("_new")[c]).otherwise(target[c]).alias(c)
@@ -92,9 +96,11 @@ def _replace_columns(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -
         )
     )
     # Which updates are new: find the matched keys from the small side, then exclude them.
-    keyed, wanted = target.select(*keys), fresh.select(*keys)
+    wanted = _marks(fresh, keys)
+    keyed = target.select(*keys)
     matched = keyed.join(wanted, _same_key(keyed, wanted, keys), "left_semi").distinct()
-    inserts = fresh.join(matched, _same_key(fresh, matched, keys), "left_anti")
+    known = _marks(matched, keys)
+    inserts = fresh.join(known, _same_key(fresh, known, keys), "left_anti")
     return merged.unionByName(inserts, allowMissingColumns=True)
 
 
