@@ -6,7 +6,13 @@ import pytest
 from helpers import plan_text, rows
 from pyspark.sql import functions as F
 
-from tidemark.functions.kafka import decode_kafka, offset_rows, parse_offsets, render_offsets
+from tidemark.functions.kafka import (
+    decode_kafka,
+    infer_value_schema,
+    offset_rows,
+    parse_offsets,
+    render_offsets,
+)
 from tidemark.operators import offsets
 from tidemark.operators.landing import land, read_landing
 from tidemark.operators.offsets import end_offsets, offset_map_json, offset_range
@@ -51,6 +57,16 @@ def test_json_expands_fields_and_nulls_malformed_values(records):
     assert got.where("offset <> 1 AND n = offset").count() == records.count() - 4
 
 
+def test_value_schema_is_inferred_from_all_rows(spark, records):
+    assert infer_value_schema(records).simpleString() == "struct<n:bigint,s:string>"
+    values = [('{"a": 1, "mixed": 1, "gone": null}',), ('{"b": {"c": [1.5]}, "mixed": "x"}',), ("broken",)]
+    found = infer_value_schema(spark.createDataFrame(values, "value string"))
+    assert found.simpleString() == "struct<a:bigint,b:struct<c:array<double>>,gone:string,mixed:string>"
+    assert decode_kafka(records, "json", infer_value_schema(records)).where("n IS NOT NULL").count() == records.count() - 4
+    with pytest.raises(ValueError, match="not JSON objects"):
+        infer_value_schema(spark.createDataFrame([("broken",)], "value string"))
+
+
 def test_end_offsets_and_sorted_json(records):
     ends = end_offsets(records)
     assert rows(ends, "topic", "partition", "end_offset") == [("a", 0, 20), ("a", 1, 5), ("a", 10, 3), ("b", 0, 2)]

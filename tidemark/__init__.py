@@ -7,7 +7,7 @@ from tidemark.functions.checkpoint import (
     parse_checkpoint,
 )
 from tidemark.functions.envelope import event_envelope, flatten_event, queue_message
-from tidemark.functions.kafka import decode_kafka, offset_rows
+from tidemark.functions.kafka import decode_kafka, infer_value_schema, offset_rows
 from tidemark.functions.paths import landing_path, landing_path_column, normalize_scheme, sanitize_run_id
 from tidemark.operators.aggregates import high_water_mark, record_count
 from tidemark.operators.conform import SchemaMismatch, conform, schema_report, validate_schema

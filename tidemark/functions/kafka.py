@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,21 @@ def decode_kafka(
     return fields.select("data.*", *METADATA)
 
 
+def infer_value_schema(df: DataFrame) -> T.StructType:
+    """Schema of JSON values, merged over every row inside the tasks, for :func:`decode_kafka`.
+
+    Malformed values do not count. Fractions become doubles, since a decimal just wide
+    enough for today's values would lose tomorrow's; fields of mixed type become text.
+    """
+    parsed = F.try_parse_json(F.col("value").cast("string"))
+    found = df.agg(F.schema_of_variant_agg(parsed)).first()[0]
+    if not (found or "").startswith("OBJECT<"):
+        raise ValueError(f"the values are not JSON objects but {found}")
+    ddl = re.sub(r"\bOBJECT<", "STRUCT<", found)
+    ddl = re.sub(r"\bDECIMAL\(\d+,[1-9]\d*\)", "DOUBLE", ddl)
+    return T.DataType.fromDDL(re.sub(r"\b(VOID|VARIANT)\b", "STRING", ddl))
+
+
 def offset_rows(df: DataFrame, column: str) -> DataFrame:
     """Explode a JSON offset map into rows ``topic, partition, offset``."""
     topics = df.select(F.explode(F.from_json(F.col(column), OFFSET_MAP)).alias("topic", "parts"))

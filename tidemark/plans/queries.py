@@ -20,7 +20,12 @@ from tidemark.functions.checkpoint import (
     parse_checkpoint,
 )
 from tidemark.functions.envelope import event_envelope, flatten_event, published_text, queue_message
-from tidemark.functions.kafka import decode_kafka, parse_offsets, render_offsets
+from tidemark.functions.kafka import (
+    decode_kafka,
+    infer_value_schema,
+    parse_offsets,
+    render_offsets,
+)
 from tidemark.functions.paths import landing_path, landing_path_column, normalize_scheme, sanitize_run_id
 from tidemark.operators.aggregates import high_water_mark, record_count
 from tidemark.operators.conform import conform, validate_schema
@@ -261,6 +266,17 @@ def kafka_offset_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offset_map_json(end_offsets(_topic(spark, sf_dir)))
 
 
+@query(
+    "SELECT 'k' AS field, CASE WHEN json_extract_string(CAST(json_group_structure(CAST(props AS JSON)) AS JSON), '$.k') "
+    "IN ('BIGINT', 'UBIGINT') THEN 'bigint' ELSE 'other' END AS type FROM events"
+)
+def kafka_infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infer_value_schema(_topic(spark, sf_dir))
+    return spark.createDataFrame(
+        [(f.name, f.dataType.simpleString()) for f in found], "field string, type string"
+    )
+
+
 # Column functions
 
 
