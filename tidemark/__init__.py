@@ -27,3 +27,65 @@ from tidemark.sources.kafka import kafka_read, kafka_stream
 from tidemark.sources.nosql import cassandra_read, dynamodb_read, mongodb_read
 from tidemark.sources.storage import configure_s3a, s3a_settings
 from tidemark.streaming.landing import land_stream, stream_files, stream_topic
+
+__all__ = [
+    "Dialect",
+    "PipelineSpec",
+    "Read",
+    "RunResult",
+    "RunState",
+    "SchemaMismatch",
+    "SpecError",
+    "apply_filters",
+    "cassandra_read",
+    "configure_s3a",
+    "conform",
+    "copy_files",
+    "custom_query",
+    "decode_checkpoint",
+    "decode_kafka",
+    "dynamodb_read",
+    "encode_checkpoint",
+    "end_offsets",
+    "event_envelope",
+    "file_count",
+    "file_inventory",
+    "flatten_event",
+    "format_checkpoint",
+    "high_water_mark",
+    "incremental_window",
+    "infer_value_schema",
+    "jdbc_read",
+    "kafka_read",
+    "kafka_stream",
+    "land",
+    "land_stream",
+    "landing_path",
+    "landing_path_column",
+    "latest_checkpoints",
+    "latest_modification",
+    "load",
+    "merge_columns",
+    "mongodb_read",
+    "normalize_scheme",
+    "offset_map_json",
+    "offset_range",
+    "offset_rows",
+    "parse_checkpoint",
+    "queue_message",
+    "read_current",
+    "read_files",
+    "read_landing",
+    "record_count",
+    "retain_latest",
+    "run_pipeline",
+    "s3a_settings",
+    "sanitize_run_id",
+    "schema_report",
+    "split_read",
+    "stream_files",
+    "stream_topic",
+    "upsert",
+    "upsert_into",
+    "validate_schema",
+]
