@@ -37,7 +37,7 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, sf_dir, duck, name):
     ours = canonical(queries()[name](spark, sf_dir).toArrow())
-    theirs = canonical(duck.execute(ORACLES[name]).to_arrow_table())
+    theirs = canonical(duck.sql(ORACLES[name]).to_arrow_table())
     assert ours[0] == theirs[0]
     assert len(ours[1]) == len(theirs[1])
     assert ours[1] == theirs[1]
