@@ -92,3 +92,8 @@ def connected_components(edges: DataFrame, label: str, max_rounds: int = 60) ->
         raise RuntimeError("components did not settle")
     roots = links.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return roots.unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("component")))
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once for each row, however often ``use`` refers to it."""
+    return F.transform(F.array(value), use)[0]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, urls
+from tidemark.llm import bpe, chat, decontaminate, licenses, urls
 from tidemark.llm.common import table
 
 
@@ -76,13 +76,55 @@ FROM judged
 """
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against all windows of the benchmark."""
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP8_SQL = r"""
+WITH cut AS (
+    SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, w[i:i + 9] AS ws
+    FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM items WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT len(ws) AS n FROM windows),
+runs AS (
+    SELECT rid, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM cut, sizes WHERE len(w) >= n
+), hits AS (
+    SELECT r.rid, r.i, r.n, v.item_id FROM (SELECT rid, i, n, w[i:i + n - 1] AS ws FROM runs) r JOIN windows v ON r.ws = v.ws
+), hit_words AS (
+    SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hits) GROUP BY rid
+), hit_items AS (
+    SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY rid
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM cut LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)
+"""
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scanned for license phrases and templates."""
+    documents, _ = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return documents
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_chat_formatting": op2_chat_formatting,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_url_filter": op5_url_filter,
+        "op8_decontamination": op8_decontamination,
+        "op9_license_scan": op9_license_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": OP2_SQL, "op5_url_filter": OP5_SQL}
+    return {"op2_chat_formatting": OP2_SQL, "op5_url_filter": OP5_SQL, "op8_decontamination": OP8_SQL}
