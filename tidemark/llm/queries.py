@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, decontaminate, licenses, urls
+from tidemark.llm import bpe, chat, decontaminate, licenses, toxicity, urls
 from tidemark.llm.common import table
 
 
@@ -116,6 +116,11 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a model of the labelled training rows."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_chat_formatting": op2_chat_formatting,
@@ -123,6 +128,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_url_filter": op5_url_filter,
         "op8_decontamination": op8_decontamination,
         "op9_license_scan": op9_license_scan,
+        "op10_toxicity": op10_toxicity,
     }
 
 
