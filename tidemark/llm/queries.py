@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, decontaminate, licenses, toxicity, urls
+from tidemark.llm import bpe, chat, decontaminate, jaccard, licenses, toxicity, urls
 from tidemark.llm.common import table
 
 
@@ -76,6 +76,12 @@ FROM judged
 """
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component under 4-word shingles and a similarity of 0.85."""
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against all windows of the benchmark."""
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -126,6 +132,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_chat_formatting": op2_chat_formatting,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_url_filter": op5_url_filter,
+        "op7_jaccard_join": op7_jaccard_join,
         "op8_decontamination": op8_decontamination,
         "op9_license_scan": op9_license_scan,
         "op10_toxicity": op10_toxicity,
