@@ -76,7 +76,7 @@ def phrase_matches(index: DataFrame, windows: DataFrame) -> DataFrame:
     at = start - F.col("low")
     hits = lists.join(F.broadcast(ranked), "term").where(start >= 0)
     hits = hits.where(F.col("term2").isNull() | (F.get("near", at + F.col("off2")) == F.col("term2")))
-    hits = hits.where(F.slice("near", at + 1, F.size("want")) == F.col("want"))
+    hits = hits.where(F.slice("near", F.greatest(at + 1, F.lit(1)), F.size("want")) == F.col("want"))
     return hits.select("rid", "item", start.alias("start"), F.size("want").alias("length"))
 
 
