@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, decontaminate, jaccard, licenses, toxicity, urls
+from tidemark.llm import bpe, chat, decontaminate, jaccard, licenses, suffix, toxicity, urls
 from tidemark.llm.common import table
 
 
@@ -76,6 +76,11 @@ FROM judged
 """
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that stand elsewhere too."""
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component under 4-word shingles and a similarity of 0.85."""
     found = jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
@@ -132,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_chat_formatting": op2_chat_formatting,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_url_filter": op5_url_filter,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_decontamination": op8_decontamination,
         "op9_license_scan": op9_license_scan,
