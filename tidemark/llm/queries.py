@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, decontaminate, jaccard, licenses, suffix, toxicity, urls
+from tidemark.llm import bpe, chat, decontaminate, jaccard, licenses, pages, suffix, toxicity, urls
 from tidemark.llm.common import table
 
 
@@ -38,6 +38,11 @@ FROM shown GROUP BY conv_id
 """
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pages.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the public multilingual ranks and decoded again."""
     return bpe.token_digests(table(spark, sf_dir, "documents"))
@@ -135,6 +140,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_chat_formatting": op2_chat_formatting,
+        "op3_html_extraction": op3_html_extraction,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_url_filter": op5_url_filter,
         "op6_suffix_dedup": op6_suffix_dedup,
