@@ -67,10 +67,13 @@ class Scheme:
 
 @lru_cache(maxsize=None)
 def band_edges(percent: int, upto: int) -> tuple[int, ...]:
-    """First sizes of the bands: sets that can reach the threshold lie in one band or in neighbouring ones."""
+    """First sizes of the bands: sets that can reach the threshold lie in one band or in neighbouring ones.
+
+    Somewhat wider bands than that needs: fewer sets then look into the band below.
+    """
     edges = [1]
     while edges[-1] <= upto:
-        edges.append(max(edges[-1] + 1, (edges[-1] - 1) * 100 // percent + 1))
+        edges.append(max(edges[-1] + 1, (edges[-1] - 1) * 100 // percent + 1, edges[-1] * 13 // 10))
     return tuple(edges)
 
 
@@ -255,16 +258,15 @@ def verify_group(ids: list[int], sets: list[np.ndarray], sides: list[int], perce
     return links
 
 
-def verify(members: DataFrame, percent: int) -> DataFrame:
-    """``a, b`` (set hashes): verified links of ``comp, sh, n, tokens``.
+def verify(members: DataFrame, words: int, percent: int) -> DataFrame:
+    """``a, b`` (set hashes): verified links of ``comp, blocks, sh, text``.
 
-    A candidate group of more than BLOCK_TOKENS tokens is cut into blocks by hash, and every two blocks meet in a task of
-    their own, so memory stays bounded; pairs are never written out.
+    A candidate group of more than BLOCK_TOKENS tokens is cut into ``blocks`` by hash, and every two blocks meet in a task of
+    their own, so memory stays bounded; pairs are never written out. Texts travel rather than their hashes, which do not compress.
     """
-    sizes = members.groupBy("comp").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks"))
-    cut = members.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("sh"), F.col("blocks")).cast("int"))
+    cut = members.withColumn("block", F.pmod(F.xxhash64("sh"), F.col("blocks")).cast("int"))
     met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sh", "tokens")
+    met = met.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sh", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def result(group: list) -> pa.RecordBatch:
@@ -274,13 +276,13 @@ def verify(members: DataFrame, percent: int) -> DataFrame:
         current, group = None, []
         for batch in batches:
             comp, i, j, block, sh = (batch.column(k).to_pylist() for k in range(5))
-            lists = batch.column(5)
+            texts = batch.column(5)
             for k in range(batch.num_rows):
                 if (comp[k], i[k], j[k]) != current:
                     if len(group) > 1:
                         yield result(group)
                     current, group = (comp[k], i[k], j[k]), []
-                group.append((sh[k], lists[k].values.to_numpy().view(np.uint64), block[k]))
+                group.append((sh[k], shingles(texts[k].as_py(), words), block[k]))
         if len(group) > 1:
             yield result(group)
 
@@ -298,21 +300,13 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     first = staged(meet(emit(texts, words, percent)), "jaccard-signatures")
     docs = first.where("n IS NOT NULL").select("key", "th", "sh", "n")
     candidates = connected_components(first.where("n IS NULL").select("a", F.col("sh").alias("b")), "jaccard-candidates")
-    # One text for each candidate set; copies are dropped before the shuffle as far as a task sees them.
-    wanted = docs.join(candidates.withColumnRenamed("node", "sh"), "sh").groupBy("sh", F.col("component").alias("comp")).agg(F.min("th").alias("th"))
+    # One text for each candidate set; copies are combined in each task before the shuffle.
+    sets = docs.join(candidates.withColumnRenamed("node", "sh"), "sh").groupBy("sh", F.col("component").alias("comp")).agg(F.min("th").alias("th"), F.first("n").alias("n"))
+    sets = staged(sets, "jaccard-sets")
+    sizes = sets.groupBy("comp").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks"))
     once = texts.groupBy("th").agg(F.first("text").alias("text"))
-    found = once.join(wanted, "th").select("comp", "sh", "text")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens = [shingles(t, words) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(t) for t in tokens], pa.int32()), pa.array([t.view(np.int64) for t in tokens], pa.list_(pa.int64()))],
-                ["comp", "sh", "n", "tokens"],
-            )
-
-    members = staged(found.mapInArrow(sets, "comp bigint, sh bigint, n int, tokens array<bigint>"), "jaccard-sets")
-    links = connected_components(verify(members, percent), "jaccard-links")
+    members = once.join(sets.join(sizes, "comp"), "th").select("comp", "blocks", "sh", "text")
+    links = connected_components(verify(members, words, percent), "jaccard-links")
     labelled = docs.join(links.withColumnRenamed("node", "sh"), "sh", "left").select("key", "n", "sh", F.coalesce("component", "sh").alias("comp"))
     lowest = labelled.where("n > 0").groupBy("comp").agg(F.min("key").alias("low"))
     joined = labelled.withColumn("at", F.when(F.col("n") > 0, F.col("comp"))).join(lowest.withColumnRenamed("comp", "at"), "at", "left")
