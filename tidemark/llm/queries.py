@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, jaccard, licenses, pages, suffix, toxicity, urls
+from tidemark.llm import ann, bpe, chat, decontaminate, jaccard, licenses, pages, suffix, toxicity, urls
 from tidemark.llm.common import table
 
 
+def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, among all vectors."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted, then read back from the token rows."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -139,6 +145,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_learned_partitions": op1_learned_partitions,
         "op2_chat_formatting": op2_chat_formatting,
         "op3_html_extraction": op3_html_extraction,
         "op4_byte_bpe": op4_byte_bpe,
