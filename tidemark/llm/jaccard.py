@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -289,6 +290,17 @@ def verify(members: DataFrame, words: int, percent: int) -> DataFrame:
     return met.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "sh").mapInArrow(run, "a bigint, b bigint")
 
 
+def with_set_hash(df: DataFrame, words: int, name: str, text: str = "text") -> DataFrame:
+    """``df`` plus the hash of each row's shingle set, as :func:`near_duplicates` gives it."""
+
+    def hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            marks = np.fromiter((xxhash.xxh3_64_intdigest(shingles(t, words).tobytes()) for t in texts), np.uint64, len(texts))
+            yield pd.Series(marks.view(np.int64))
+
+    return df.withColumn(name, F.pandas_udf(hashes, "bigint")(F.col(f"`{text}`").cast("string")))
+
+
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, percent: int = 80) -> DataFrame:
     """``key, n_shingles, set_hash, component_id`` for every row of ``df``; ``key`` must be orderable.
 
