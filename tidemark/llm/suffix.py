@@ -163,7 +163,8 @@ def stretches(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 th, tk = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
                 data = batch.column(2)[row].as_py().encode()
                 out = []
-                for anchor, first, windows in (tuple(p.values()) for p in batch.column(3)[row].as_py()):
+                here = batch.column(3)[row].values
+                for anchor, first, windows in zip(*(here.field(i).to_pylist() for i in range(3))):
                     part = data[first : first + windows + length - 1]
                     mark = xxhash.xxh3_128_intdigest(part)
                     s1, s2 = (mark >> 64) - (1 << 63), (mark & (1 << 64) - 1) - (1 << 63)
@@ -225,6 +226,13 @@ def shard_spans(rows: DataFrame, length: int, shard: int, group: int) -> DataFra
                     out += [(th, tk, low, high, None, None) for low, high in _runs(flags, first, length)]
             return out
 
+        def drop_settled() -> None:
+            """Forget the last anchor's stretches if all of them repeat: no other is there to meet them."""
+            nonlocal size
+            if all(r[4] for r in shard_rows[anchor_from:]):
+                size -= sum(len(r[5]) for r in shard_rows[anchor_from:])
+                del shard_rows[anchor_from:]
+
         def close() -> list[tuple]:
             """Take in the stretch read last; give spans or overflow rows that are due."""
             nonlocal size, anchor_size, anchor_from, current, over, stretch
@@ -233,6 +241,7 @@ def shard_spans(rows: DataFrame, length: int, shard: int, group: int) -> DataFra
             (anchor, _, _), part, (th, tk, first, windows), whole = stretch
             stretch, out = [], []
             if anchor != current:
+                drop_settled()
                 if size >= shard:
                     out += solve(shard_rows)
                     shard_rows.clear()
@@ -264,7 +273,9 @@ def shard_spans(rows: DataFrame, length: int, shard: int, group: int) -> DataFra
                     stretch = [(anchor, s1, s2), part, (th, tk, first, windows), False]
             if out:
                 yield _span_batch(out)
-        out = close() + solve(shard_rows)
+        out = close()
+        drop_settled()
+        out += solve(shard_rows)
         if out:
             yield _span_batch(out)
 
