@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import hashlib
+import struct
+
+import public_tokenizers
+import pytest
+import regex
+import tiktoken
+
+from tidemark.llm import bpe
+
+TEXTS = [
+    "", " ", "a", "The quick  brown\n\nfox's 12345 jumps!?\t", "über étrange ñandú", "日本語のテキスト", "👍🏽👨‍👩‍👧", "\x00\x01\x1c\x1f\x85\xa0 x", "<|endoftext|>",
+    "a" * 3000, " " * 500 + "x", "é" * 700, "\u200b\u3000 mixed 中文 and Ünïcode", "'s 'll 'RE", "\U0001d518\U0001d52b",
+]
+
+
+@pytest.fixture(scope="module")
+def reference():
+    ranks = {piece: i for i, piece in enumerate(bpe.public_codec().vocabulary)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_ids_are_those_of_the_rank_file(reference):
+    packed = bpe.public_codec().encode_packed(TEXTS)
+    for text, ids in zip(TEXTS, packed):
+        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == reference.encode_ordinary(text)
+
+
+def test_documents_agree_with_the_reference_and_round_trip(spark, sf_dir, reference):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    for row in bpe.token_digests(docs).collect():
+        ids = reference.encode_ordinary(texts[row["doc_id"]])
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
+
+
+def test_every_piece_is_reached_by_merges():
+    own = bpe.public_codec()
+    mapped = ["".join(own.letters[b] for b in piece) for piece in own.vocabulary]
+    assert own.processor.encode(mapped, num_threads=1) == [[i + 1] for i in range(len(mapped))]
+
+
+def test_the_fast_pattern_equals_the_whole_one():
+    fast, whole = bpe.splitter(public_tokenizers.PATTERN), regex.compile(public_tokenizers.PATTERN).findall
+    for point in range(0x250):
+        for text in (chr(point), f"a{chr(point)}b", f"{chr(point)} {chr(point)}{chr(point)}", f" {chr(point)}{chr(point)}  1"):
+            assert fast(text) == whole(text)
+
+
+def test_nulls_repeats_and_other_columns(spark):
+    rows = [(1, None, "a"), (1, "x y", "b"), (1, "x y", "b"), (None, "", "c")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens string")
+    got = sorted((r["doc_id"] or 0, r["n_tokens"]) for r in bpe.token_digests(df).collect())
+    assert got == [(0, 0), (1, 0), (1, 2), (1, 2)]
+    both = bpe.decode_ids(bpe.encode_texts(df)).collect()
+    assert [bytes(r["decoded"]).decode() for r in both] == ["", "x y", "x y", ""]
+    assert bpe.token_digests(df.limit(0)).collect() == []
+
+
+def test_memo_is_only_a_memo(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 3)
+    own = bpe.Codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert own.encode_packed(TEXTS) == bpe.public_codec().encode_packed(TEXTS)
+    assert own.encode_packed(TEXTS[3:6]) == bpe.public_codec().encode_packed(TEXTS[3:6])
