@@ -14,6 +14,7 @@ from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import pandas as pd
 import pyarrow as pa
 import regex
 import sentencepiece
@@ -162,27 +163,20 @@ def text_chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[in
 def encode_texts(df: DataFrame, text: str = "text", make: Callable[[], Codec] = public_codec) -> DataFrame:
     """``df`` plus ``token_ids`` (array of int); null is an empty text. Rows are neither lost nor shuffled."""
 
-    def encode(batches: Iterator) -> Iterator:
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = make()
         for series in batches:
             texts = ["" if t is None else t for t in series.tolist()]
             out = []
             for start, stop in text_chunks(texts):
                 out += [array("I", packed).tolist() for packed in own.encode_packed(texts[start:stop])]
-            yield type(series)(out, dtype=object)
+            yield pd.Series(out, dtype=object)
 
-    import pandas as pd
-
-    def typed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        yield from encode(batches)
-
-    return df.withColumn("token_ids", F.pandas_udf(typed, "array<int>")(F.col(f"`{text}`").cast("string")))
+    return df.withColumn("token_ids", F.pandas_udf(encode, "array<int>")(F.col(f"`{text}`").cast("string")))
 
 
 def decode_ids(df: DataFrame, ids: str = "token_ids", make: Callable[[], Codec] = public_codec) -> DataFrame:
     """``df`` plus ``decoded`` (binary), the bytes behind ``ids``; null ids decode to nothing."""
-    import pandas as pd
-
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = make()
         for series in batches:
