@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import random
+
+from .test_decontaminate import words
+from tidemark.llm import licenses
+
+SCHEMA = "doc_id bigint, text string, label string, h string"
+
+
+def base_of(text):
+    own, places = words(text), []
+    for label, phrase in licenses.BASE:
+        terms = phrase.split()
+        places += [(i, label) for i in range(len(own) - len(terms) + 1) if own[i : i + len(terms)] == terms]
+    starts = [i for i, _ in places]
+    return len(own), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))
+
+
+def made():
+    rng = random.Random(2)
+    pieces = [p for _, p in licenses.BASE] + ["Apache License,\nVersion 2.0", "CC-BY-NC", "under the MIT", "license cc by", "é the it", "cc by cc by nc nc"]
+    texts = [" ".join(rng.choice(pieces + ["word", "Under the MIT License."]) for _ in range(rng.randrange(9))) for _ in range(80)]
+    return texts + [None, "", "cc", "cc by", "x" * 50_000, texts[3]]
+
+
+def test_base_phrases_match_brute_force(spark):
+    texts = made()
+    rows = [(i // 2, t, "clash", "clash") for i, t in enumerate(texts)]
+    got, _ = licenses.scan_licenses(spark.createDataFrame(rows, SCHEMA).repartition(2))
+    got = sorted((r["doc_id"], r["n_words"], r["n_base"], r["first_word"] or -1, r["last_word"] or -1, r["base_labels"]) for r in got.collect())
+    want = sorted((i // 2, *((x or -1) if k in (2, 3) else x for k, x in enumerate(base_of(t)))) for i, t in enumerate(texts))
+    assert got == want
+
+
+def test_labels_contain_the_base_and_scores_are_shares(spark):
+    texts = made()
+    got, _ = licenses.scan_licenses(spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], SCHEMA))
+    for row in got.collect():
+        assert set(row["base_labels"].split(",")) - {""} <= set(row["labels"].split(","))
+        assert 0.0 <= row["score"] <= 1.0 and (not row["n_base"] or row["score"] == 1.0)
+
+
+def test_templates_survive_small_changes(spark):
+    whole = dict((b, a) for a, b in licenses.TEMPLATES)
+    text = next(t for t in whole if t.startswith("redistribution"))
+    changed = text.replace("binary", "binary or object").replace("provided", "if")
+    rows = [(1, f"x {changed} y", "", ""), (2, "redistribution and use are fine", "", "")]
+    docs, spans = licenses.scan_licenses(spark.createDataFrame(rows, SCHEMA))
+    assert {r["doc_id"]: r["labels"] for r in docs.collect()} == {1: "bsd", 2: ""}
+    span = spans.first()
+    assert (span["doc_id"], span["label"], span["first_word"]) == (1, "bsd", 1) and span["last_word"] == len(changed.split())
+
+
+def test_no_documents_and_native_plan(spark):
+    docs, spans = licenses.scan_licenses(spark.createDataFrame([], SCHEMA))
+    assert docs.collect() == [] and spans.collect() == []
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
