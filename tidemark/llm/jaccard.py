@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import connected_components, staged
 
 #: Tokens of one block in verification; larger candidate groups are split and compared block by block.
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 2_000_000
 #: Segments with at most so many tokens agree by chance too often.
 LIGHT = 1
 #: What a false agreement costs, in signatures.
@@ -57,13 +57,15 @@ def shingles(text: str | None, n: int) -> np.ndarray:
 class Scheme:
     """How sets of one size band are cut: ``segments``, of which the first ``deleting`` tolerate one token.
 
-    ``spare`` segments more than the pigeonhole needs may be skipped, which is done with light ones.
+    ``spare`` segments more than the pigeonhole needs may be skipped, which is done with light ones; linked sets share
+    ``agreeing`` signatures at least.
     """
 
     band: int
     segments: int
     deleting: int
     spare: int
+    agreeing: int
 
 
 @lru_cache(maxsize=None)
@@ -88,19 +90,21 @@ def scheme_of(percent: int, band: int, low: int, high: int) -> Scheme:
     best = None
     for deleting in range(0, min(differ + 1, 8) + 1):
         spare = 0
+        # With exact segments alone a few more of them make linked sets agree in several.
+        agreeing = 2 + differ // 16 if differ >= 4 and not deleting else 1
         for _ in range(8):
-            segments = max(1, deleting, differ + 1 + spare - deleting)
+            segments = max(1, deleting, differ + agreeing + spare - deleting)
             mean = low / segments
             light = (segments - deleting) * math.exp(-mean) * (1 + mean)
             wanted = math.ceil(light + 2 * math.sqrt(light)) if segments - deleting > 1 else 0
             if wanted <= spare:
                 break
             spare = wanted
-        segments = max(1, deleting, differ + 1 + spare - deleting)
+        segments = max(1, deleting, differ + agreeing + spare - deleting)
         mean = low / segments
         cost = (segments - deleting) * (1 + FALSE_COST * math.exp(-mean)) + deleting * (1 + mean + FALSE_COST * math.exp(1 - mean))
-        if segments + deleting >= differ + 1 + spare and (best is None or cost < best[0]):
-            best = (cost, Scheme(band, segments, deleting, spare))
+        if segments + deleting >= differ + agreeing + spare and (best is None or cost < best[0]):
+            best = (cost, Scheme(band, segments, deleting, spare, agreeing))
     return best[1]
 
 
@@ -125,15 +129,23 @@ def signatures(tokens: np.ndarray, scheme: Scheme) -> np.ndarray:
     return np.concatenate(out)
 
 
-def all_signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Signatures for pairs within the set's own band, and for pairs with a smaller set of the band below."""
-    size = len(tokens)
+def schemes_of(size: int, percent: int) -> list[Scheme]:
+    """The schemes a set takes part in: that of its own band, and that of the band below if it can link with its sets."""
     edges = band_edges(percent, 1 << (size + 1).bit_length())
     band = int(np.searchsorted(edges, size, side="right")) - 1
-    out = [signatures(tokens, scheme_of(percent, band, edges[band], edges[band + 1] - 1))]
+    out = [scheme_of(percent, band, edges[band], edges[band + 1] - 1)]
     if band and 100 * (edges[band] - 1) >= percent * size:
-        out.append(signatures(tokens, scheme_of(percent, band - 1, edges[band - 1], edges[band] - 1)))
-    return np.unique(np.concatenate(out))
+        out.append(scheme_of(percent, band - 1, edges[band - 1], edges[band] - 1))
+    return out
+
+
+def all_signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
+    return np.unique(np.concatenate([signatures(tokens, scheme) for scheme in schemes_of(len(tokens), percent)]))
+
+
+def needed(size: int, percent: int) -> int:
+    """How many signatures a set shares at least with any set it links with."""
+    return min(scheme.agreeing for scheme in schemes_of(size, percent)) if size else 1
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -179,13 +191,15 @@ def emit(texts: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def meet(rows: DataFrame) -> DataFrame:
-    """``a, sh, key, th, n``: document rows as they are, and for each signature group links of its sets to its first one.
+    """``a, sh, key, th, n``: document rows as they are (``a`` null), and a row for each set of a signature that several sets have.
 
+    In those ``a`` is the first set of the group (for the first set itself too) and ``n`` how many such rows this one stands for.
     Groups arrive sorted and are read as a stream, so a signature of very many sets takes no memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_sig = last_first = None
+        last_sig = last_first = last_sh = None
+        shown = False  # whether the first set of the group read last has been given out
         for batch in batches:
             is_doc = batch.column(4).is_valid().to_numpy(zero_copy_only=False)
             docs = batch.filter(pa.array(is_doc))
@@ -195,20 +209,42 @@ def meet(rows: DataFrame) -> DataFrame:
             if not len(sig):
                 continue
             starts = np.concatenate([[sig[0] != last_sig], sig[1:] != sig[:-1]])
+            again = np.concatenate([[sig[0] == last_sig and sh[0] == last_sh], (sig[1:] == sig[:-1]) & (sh[1:] == sh[:-1])])
             group = np.cumsum(starts)
-            firsts = np.concatenate([[sh[0] if last_first is None else last_first], sh[starts]])[group]
-            last_sig, last_first = sig[-1], firsts[-1]
-            other = firsts != sh
-            if other.any():
-                pairs = np.unique(np.stack([firsts[other], sh[other]]), axis=1)
-                n = pairs.shape[1]
+            firsts = np.concatenate([[sh[0] if last_first is None else last_first], sh[starts]])
+            first = firsts[group]
+            other = (first != sh) & ~again
+            met = np.unique(group[other])  # groups that several sets share
+            opened = met[~((met == 0) & shown)]
+            a, b = np.concatenate([first[other], firsts[opened]]), np.concatenate([sh[other], firsts[opened]])
+            shown = bool((met == group[-1]).any()) or (shown and group[-1] == 0)
+            last_sig, last_first, last_sh = sig[-1], first[-1], sh[-1]
+            if len(a):
+                pairs, times = np.unique(np.stack([a, b]), axis=1, return_counts=True)
+                n = len(times)
                 none = pa.nulls(n, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), none.cast(batch.column(2).type), none, pa.nulls(n, pa.int32())], ["a", "sh", "key", "th", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pairs[0]), pa.array(pairs[1]), none.cast(batch.column(2).type), none, pa.array(times.astype(np.int32))], ["a", "sh", "key", "th", "n"]
+                )
 
     ordered = rows.repartition("sig").sortWithinPartitions("sig", "sh")
     return ordered.mapInArrow(run, f"a bigint, sh bigint, key {rows.schema['key'].dataType.simpleString()}, th bigint, n int")
 
 
+def candidate_links(met: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: links between sets that meet, without sets that share too few signatures to link with any.
+
+    ``a`` may be such a set: it then only stands for the signature that the others share.
+    """
+
+    def need(values: pd.Series) -> pd.Series:
+        return values.map({n: needed(int(n), percent) for n in values.unique()}).astype("int32")
+
+    shared = met.groupBy("sh").agg(F.sum("n").alias("shared")).join(sizes, "sh")
+    enough = shared.where(F.col("shared") >= F.pandas_udf(need, "int")("n")).select("sh")
+    return met.join(enough, "sh", "left_semi").select("a", F.col("sh").alias("b")).distinct()
+
+
 def linked(a: int, b: int, common: int, percent: int) -> bool:
     return 100 * common >= percent * (a + b - common)
 
@@ -310,10 +346,12 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     """
     texts = df.select(F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("th"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     first = staged(meet(emit(texts, words, percent)), "jaccard-signatures")
-    docs = first.where("n IS NOT NULL").select("key", "th", "sh", "n")
-    candidates = connected_components(first.where("n IS NULL").select("a", F.col("sh").alias("b")), "jaccard-candidates")
+    docs = first.where("a IS NULL").select("key", "th", "sh", "n")
+    classes = docs.where("n > 0").groupBy("sh").agg(F.min("th").alias("th"), F.min("n").alias("n"))
+    near = staged(candidate_links(first.where("a IS NOT NULL"), classes.select("sh", "n"), percent), "jaccard-near")
+    candidates = connected_components(near, "jaccard-candidates").withColumnRenamed("node", "sh").join(near.select(F.col("b").alias("sh")).distinct(), "sh")
     # One text for each candidate set; copies are combined in each task before the shuffle.
-    sets = docs.join(candidates.withColumnRenamed("node", "sh"), "sh").groupBy("sh", F.col("component").alias("comp")).agg(F.min("th").alias("th"), F.first("n").alias("n"))
+    sets = classes.join(candidates, "sh").select("sh", F.col("component").alias("comp"), "th", "n")
     sets = staged(sets, "jaccard-sets")
     sizes = sets.groupBy("comp").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks"))
     once = texts.groupBy("th").agg(F.first("text").alias("text"))
