@@ -103,3 +103,14 @@ def test_driver_text():
     assert checkpoint_text(datetime(2024, 1, 1, 2, 3, 4)) == "2024-01-01 02:03:04"
     with pytest.raises(TypeError):
         checkpoint_text(True)
+
+
+def test_user_columns_named_like_helpers_survive(spark):
+    from tidemark.functions.checkpoint import decode_checkpoint
+
+    df = spark.createDataFrame([("5", "mine", 1, "a")], "c string, _text string, _INT int, _raw string")
+    got = parse_checkpoint(df, "c").first()
+    assert (got["_text"], got["_INT"], got["checkpoint"]["as_int"]) == ("mine", 1, 5)
+    tagged = df.withColumn("c", F.lit('{"t":"int","v":"7"}'))
+    got = decode_checkpoint(tagged, "c").first()
+    assert got["_raw"] == "a" and got["checkpoint"]["as_int"] == 7

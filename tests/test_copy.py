@@ -32,7 +32,9 @@ def tree(tmp_path):
     for name, size in {"a.bin": 5_000_000, "p=1/b c.csv": 10, "p=2/deep/d%20e.json": 1, "z": 1_048_576}.items():
         (root / name).parent.mkdir(parents=True, exist_ok=True)
         (root / name).write_bytes(rng.randbytes(size))
-    (root / "_SUCCESS").write_bytes(b"")
+    for name in ("_SUCCESS", "empty.txt", "_hidden.csv", ".dot.csv", "sub/_b.csv", "sub/b c.csv", "_sub2/d.csv", ".git/x"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(b"" if name in ("_SUCCESS", "empty.txt") else name.encode())
     return str(root)
 
 
@@ -42,7 +44,8 @@ def test_bytes_names_and_sizes_are_preserved(spark, tree, tmp_path):
     before, after = digests(tree), digests(target)
     assert before == after and "_SUCCESS" in after
     sizes = {os.path.relpath(r.dst.removeprefix("file:"), target): r.bytes for r in manifest.collect()}
-    assert sizes == {"a.bin": 5_000_000, "p=1/b c.csv": 10, "p=2/deep/d%20e.json": 1, "z": 1_048_576}
+    assert sizes == {name: os.path.getsize(f"{tree}/{name}") for name in before}
+    assert sizes["a.bin"] == 5_000_000 and sizes["empty.txt"] == 0 and {"_hidden.csv", "_sub2/d.csv", ".git/x"} <= set(sizes)
 
 
 def test_copy_overwrites_longer_files_and_can_be_repeated(spark, tree, tmp_path):
@@ -58,7 +61,7 @@ def test_whole_file_streams_go_through_a_temporary_name(tmp_path, monkeypatch):
     """The way taken on file systems that cannot write at an offset."""
     source, target = tmp_path / "a", tmp_path / "sub" / "a"
     source.write_bytes(b"new bytes")
-    monkeypatch.setattr(copy, "_is_posix", lambda uri: False)
+    monkeypatch.setattr(copy, "is_posix", lambda uri: False)
     for _ in range(2):
         assert copy._copy_chunk(f"file://{source}", f"file://{target}", 0, 9, 9) == 9
         assert target.read_bytes() == b"new bytes" and os.listdir(target.parent) == ["a"]
@@ -72,8 +75,8 @@ def test_a_source_that_changes_fails_the_copy(tmp_path):
 
 def test_executors_need_no_installed_package(spark):
     """A worker that cannot import the package still runs the task function."""
-    shipped = pickle.loads(cloudpickle.dumps(copy._copy_batches))
-    assert shipped is not copy._copy_batches and shipped.__module__ == copy.__name__
+    shipped = pickle.loads(cloudpickle.dumps(copy._copier))
+    assert shipped is not copy._copier and shipped.__module__ == copy.__name__
 
 
 def test_single_file(spark, tree, tmp_path):
@@ -100,5 +103,27 @@ def test_nothing_to_copy(spark, tree, tmp_path):
 def test_copied_rows_read_back(spark):
     source = land(spark.range(100).repartition(5), scratch_path(spark, "src"))
     target = scratch_path(spark, "dst")
-    assert copy_files(spark, source, target).count() == 5
+    assert copy_files(spark, source, target).where("dst rlike '/part-'").count() == 5
     assert rows(read_files(spark, target)) == [(i,) for i in range(100)]
+
+
+def test_settings_of_the_bucket_reach_the_client(spark, monkeypatch):
+    from pyarrow import fs
+
+    from tidemark.sources import stores
+    from tidemark.sources.storage import configure_s3a
+
+    secret = {"aws_access_key_id": "me", "aws_secret_access_key": "s/+", "aws_region": "xx-1", "aws_endpoint": "http://store:9000"}
+    configure_s3a(spark, secret, bucket="own-bucket")
+    found = stores.store_settings(spark, "s3a://own-bucket/a b.csv")
+    seen = {}
+    monkeypatch.setattr(fs, "S3FileSystem", lambda **known: seen.update(known))
+    assert stores.open_store("s3a://own-bucket/a b%20.csv", found)[1] == "own-bucket/a b%20.csv"
+    assert seen == {"access_key": "me", "secret_key": "s/+", "region": "xx-1", "endpoint_override": "store:9000", "scheme": "http"}
+
+
+def test_uris_are_taken_apart_as_written():
+    from tidemark.sources.stores import split_uri
+
+    assert split_uri("hdfs://n:8020/a b#c?d") == ("hdfs", "n:8020", "/a b#c?d")
+    assert split_uri("/x/y:z") == ("", "", "/x/y:z") and split_uri("file:/x") == ("file", "", "/x")

@@ -129,3 +129,29 @@ def test_start_only_keeps_partitions_it_does_not_name(records):
     assert got.where("topic = 'a' AND partition = 1").count() == 0
     assert got.where("topic = 'b' OR partition = 10").count() == 5
     assert offset_range(records, None, "{}").count() == 0
+
+
+def test_fields_may_be_called_like_types(spark):
+    values = [('{"VOID":1,"VARIANT":1.5,"OBJECT":{"DECIMAL":null,"x y: VOID":[{"a":1.25}]},"m":1}',), ('{"m":"t"}',)]
+    found = infer_value_schema(spark.createDataFrame(values, "value string"))
+    kinds = {f.name: f.dataType.simpleString() for f in found}
+    assert kinds["VOID"] == "bigint" and kinds["VARIANT"] == "double" and kinds["m"] == "string"
+    assert "DECIMAL:string" in kinds["OBJECT"] and "a:double" in kinds["OBJECT"]
+
+
+RECORD = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
+
+
+def test_payload_fields_beside_metadata_of_the_same_name(spark):
+    df = spark.createDataFrame([("k", '{"timestamp":"t","n":1}', "top", 0, 7, None)], RECORD)
+    schema = "timestamp string, n int"
+    with pytest.raises(ValueError, match="timestamp"):
+        decode_kafka(df, "json", schema)
+    got = decode_kafka(df, "json", schema, metadata_prefix="kafka_").first()
+    assert (got["timestamp"], got["n"], got["kafka_offset"], got["kafka_key"]) == ("t", 1, 7, "k")
+
+
+def test_malformed_values_are_kept_when_asked_for(spark):
+    df = spark.createDataFrame([("k", '{"n":1}', "t", 0, 1, None), ("k", "{oops", "t", 0, 2, None)], RECORD)
+    got = decode_kafka(df, "json", "n int", malformed="bad").orderBy("offset").collect()
+    assert [(r["n"], r["bad"]) for r in got] == [(1, None), (None, "{oops")]

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.landing import balanced, land, read_landing
 from tidemark.session import path_exists, runtime_conf, scratch_path, scratch_root
-from tidemark.sources.files import file_inventory
+from tidemark.sources.files import file_inventory as inventory
+
+
+def file_inventory(spark, path, **how):
+    """Data files alone, without markers and checksums."""
+    return inventory(spark, path, **how).where("path rlike '/part-[^/]*$'")
 
 
 @pytest.fixture

@@ -6,7 +6,7 @@ import random
 from datetime import datetime
 
 import pytest
-from helpers import rows
+from helpers import plan_text, rows
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import event_envelope
@@ -347,3 +347,60 @@ def test_store_reads_are_assembled_from_the_spec(spark, monkeypatch, kind, fmt):
     result = Job(spark, read_type=kind, source=source).run("r1")
     assert set(seen) == {fmt}
     assert result.checkpoint_to == ("7" if kind == "nosql" else "19")
+
+
+def test_a_regressed_bound_is_never_stored(spark):
+    """A lagging replica, or a bound given by hand, must not make a later run land rows again."""
+    job, frame = Job(spark), numbers(spark, 100)
+    for run, bound, stored in (("r1", 80, "80"), ("r2", 9, "80"), ("r3", None, "99")):
+        job.run(run, frame, checkpoint_to=bound)
+        assert job.state.checkpoint("job") == stored
+    assert job.event("r2").checkpoint_to == "9"
+    assert rows(job.landed(), "id") == [(i,) for i in range(100)]
+
+
+def test_offset_maps_advance_partition_by_partition(spark):
+    job = Job(spark, "kafka", {"bootstrap_servers": "b:1", "topic": "t"})
+    run = pipeline._Run(spark, job.spec, job.state, "r", DAY, None, (), False, None)
+    assert run.advanced('{"t": {"0": 5, "1": 7}}', '{"t": {"0": 9, "1": 2, "2": 1}}') == '{"t": {"0": 9, "1": 7, "2": 1}}'
+    assert run.advanced('{"t": {"0": 5}}', '{"t": {"0": 4}}') is None
+
+
+def test_an_append_run_given_again_replaces_its_rows(spark):
+    job, frame = Job(spark, sink={"mode": "append"}), numbers(spark, 50)
+    first, again = job.run("r1", frame), job.run("r1", frame)
+    assert again.path == first.path and job.landed().count() == 50
+
+
+def test_the_mark_of_a_later_run_is_pruned(spark, monkeypatch):
+    job, path, plans = Job(spark), scratch_path(spark, "marked"), []
+    numbers(spark, 100).write.parquet(path)
+    real = pipeline.high_water_text
+    monkeypatch.setattr(pipeline, "high_water_text", lambda rows, column: plans.append(plan_text(rows)) or real(rows, column))
+    for run in ("r1", "r2"):
+        job.run(run, spark.read.parquet(path))
+    assert "GreaterThan(id" not in plans[0] and "GreaterThan(id,99)" in plans[1]
+
+
+def test_live_topics_are_bounded_by_metadata_and_read_once(spark, monkeypatch):
+    empty = spark.createDataFrame([], "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp")
+    reads = []
+    monkeypatch.setattr(pipeline, "load", lambda _, read: reads.append(read.options) or empty)
+    monkeypatch.setattr(pipeline._Run, "_land", lambda self, rows, low, high, scattered=False: (low, high))
+
+    def ask(stored, ends):
+        reads.clear()
+        spec = Job(spark, "kafka", {"bootstrap_servers": "b:1", "topic": "t", "value_format": "string"}).spec
+        run = pipeline._Run(spark, spec, None, "r", DAY, None, (), False, None, lambda source: ends)
+        low, high = run._kafka(spec.source, stored, None)
+        assert len(reads) == 1
+        return reads[0]["startingOffsets"], high
+
+    start, high = ask(None, {"t": {0: 5, 1: 0}})
+    assert start == "earliest" and high == '{"t": {"0": 5, "1": 0}}' == reads[0]["endingOffsets"]
+    start, high = ask('{"t": {"0": 5}}', {"t": {0: 9, 1: 4}})  # a partition was added
+    assert start == '{"t": {"0": 5, "1": -2}}' and high == '{"t": {"0": 9, "1": 4}}'
+    _, high = ask('{"t": {"0": 5}}', {"t": {0: 3}})  # the topic was cut back: the mark stays
+    assert high == '{"t": {"0": 5}}'
+    _, high = ask(None, {})
+    assert high is None

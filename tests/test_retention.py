@@ -44,3 +44,11 @@ def test_rows_are_trimmed_before_the_shuffle(log):
     plan = plan_text(retain_latest(log, "stream", ["ts", "id"], 10))
     exchange = plan.rindex("Exchange hashpartitioning(stream")
     assert plan.find("WindowGroupLimit", exchange) > exchange
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_user_columns_named_like_helpers_survive(spark, n):
+    names = ["_salt", "_rn", "_pos", "_part", "_stream", "_before"]
+    df = spark.range(2000).select(F.col("id"), (F.col("id") % 2).alias("g"), *(F.concat(F.lit(c), F.col("id")).alias(c) for c in names))
+    got = retain_latest(df, "g", ["id"], n).collect()
+    assert len(got) == 2 * min(n, 1000) and all(r[c] == f"{c}{r['id']}" for r in got for c in names)

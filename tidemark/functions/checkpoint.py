@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.names import free_names
+
 CheckpointValue = Union[int, float, Decimal, date, datetime, str]
 
 # The tags of the JSON form.
@@ -63,13 +65,14 @@ def _read_text(df: DataFrame, text: Column) -> tuple[DataFrame, Column, Column,
     Each step is a column of its own, so no branch repeats the work of another. A pattern
     guards each cast, because a failing cast costs an exception per row.
     """
-    df = df.withColumn("_text", F.trim(text))
-    raw, dashed = F.col("_text"), F.substring("_text", 5, 1) == "-"
-    df = df.withColumn("_int", F.when(raw.rlike(_INT_TEXT), raw.try_cast("bigint")))
-    stamp = F.col("_int").isNull() & dashed & raw.rlike(_ISO_TEXT)
-    df = df.withColumn("_ts", F.when(stamp, raw.try_cast("timestamp")))
-    plain = F.when(F.col("_int").isNull() & F.col("_ts").isNull(), raw)
-    return df, F.col("_int"), F.col("_ts"), plain
+    text_, int_, ts_ = free_names(df.columns, "_text", "_int", "_ts")
+    df = df.withColumn(text_, F.trim(text))
+    raw, dashed = F.col(text_), F.substring(text_, 5, 1) == "-"
+    df = df.withColumn(int_, F.when(raw.rlike(_INT_TEXT), raw.try_cast("bigint")))
+    stamp = F.col(int_).isNull() & dashed & raw.rlike(_ISO_TEXT)
+    df = df.withColumn(ts_, F.when(stamp, raw.try_cast("timestamp")))
+    plain = F.when(F.col(int_).isNull() & F.col(ts_).isNull(), raw)
+    return df, F.col(int_), F.col(ts_), plain
 
 
 def parse_checkpoint(df: DataFrame, column: str, into: str = "checkpoint") -> DataFrame:
@@ -133,8 +136,9 @@ def encode_checkpoint(parsed: Column) -> Column:
 
 def decode_checkpoint(df: DataFrame, column: str, into: str = "checkpoint") -> DataFrame:
     """Inverse of :func:`encode_checkpoint`; an unknown tag or a non-object gives null."""
-    tagged = df.withColumn("_raw", F.from_json(column, "t string, v string"))
-    tag, value = F.col("_raw.t"), F.col("_raw.v")
+    (raw,) = free_names(df.columns, "_raw")
+    tagged = df.withColumn(raw, F.from_json(column, "t string, v string"))
+    tag, value = F.col(raw)["t"], F.col(raw)["v"]
     parts = F.struct(
         tag.alias("t"),
         F.when(tag == TAG_INT, value.try_cast("bigint")).alias("as_int"),

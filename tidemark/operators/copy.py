@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import os
-import re
 import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from datetime import datetime
 
 import pandas as pd
@@ -16,7 +15,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.window import incremental_window
 from tidemark.session import qualified, scratch_path
+from tidemark.functions.paths import normalize_scheme
 from tidemark.sources.files import file_inventory
+from tidemark.sources.stores import is_posix, open_store, posix_path, store_settings
 
 # The task function travels whole, so executors need not have this package installed.
 register_pickle_by_value(sys.modules[__name__])
@@ -24,28 +25,11 @@ register_pickle_by_value(sys.modules[__name__])
 CHUNK_BYTES = 256 << 20
 TASK_BYTES = 1 << 30
 _BUFFER = 8 << 20
-_SCHEME = "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+Settings = tuple[Mapping[str, str], Mapping[str, str]]
 
 MANIFEST = "src string, dst string, offset bigint, bytes bigint"
 
 
-def _is_posix(uri: str) -> bool:
-    return uri.startswith(("/", "file:"))
-
-
-def _posix(uri: str) -> str:
-    return "/" + uri.removeprefix("file:").lstrip("/")
-
-
-def _arrow_fs(uri: str):
-    """Arrow file system and path of a URI; ``s3a`` is Arrow's ``s3``."""
-    from pyarrow import fs
-
-    if _is_posix(uri):
-        return fs.LocalFileSystem(), _posix(uri)
-    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
 def _pump(read, write, count: int) -> int:
     left = count
     while left:
@@ -57,22 +41,24 @@ def _pump(read, write, count: int) -> int:
     return count
 
 
-def _copy_chunk(src: str, dst: str, offset: int, count: int, size: int) -> int:
+def _copy_chunk(
+    src: str, dst: str, offset: int, count: int, size: int, settings: Settings = ({}, {})
+) -> int:
     """Copy one byte range in constant memory; repeating it gives the same file."""
-    source_fs, source_path = _arrow_fs(src)
+    source_fs, source_path = open_store(src, settings[0])
     with source_fs.open_input_file(source_path) as source:
         if source.size() != size:
             raise OSError(f"{src} changed while it was copied")
         source.seek(offset)
-        if _is_posix(dst):
-            path = _posix(dst)
+        if is_posix(dst):
+            path = posix_path(dst)
             os.makedirs(os.path.dirname(path), exist_ok=True)
             handle = os.open(path, os.O_CREAT | os.O_WRONLY, 0o644)
             with os.fdopen(handle, "wb") as sink:
                 sink.truncate(size)
                 sink.seek(offset)
                 return _pump(source.read, sink.write, count)
-        target_fs, target_path = _arrow_fs(dst)
+        target_fs, target_path = open_store(dst, settings[1])
         folder, _, name = target_path.rpartition("/")
         if target_fs.type_name == "s3":
             # An object appears only when its stream closes; there is nothing to rename.
@@ -88,20 +74,23 @@ def _copy_chunk(src: str, dst: str, offset: int, count: int, size: int) -> int:
         return count
 
 
-def _copy_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        done = [
-            _copy_chunk(r.src, r.dst, r.offset, r.bytes, r.size) for r in batch.itertuples(index=False)
-        ]
-        yield batch[["src", "dst", "offset"]].assign(bytes=done)
+def _copier(settings: Settings):
+    def copied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            done = [
+                _copy_chunk(r.src, r.dst, r.offset, r.bytes, r.size, settings)
+                for r in batch.itertuples(index=False)
+            ]
+            yield batch[["src", "dst", "offset"]].assign(bytes=done)
+
+    return copied
 
 
-def _relative(root: str) -> Column:
+def _below(root: str) -> Column:
     """Path below ``root``; the bare file name when ``root`` itself is a file."""
-    plain = F.regexp_replace("path", _SCHEME, "")
-    base = "/" + "/".join(p for p in re.sub(_SCHEME, "", root).split("/") if p)
-    below = F.substring(plain, F.lit(len(base) + 2), F.length(plain))
-    return F.when(plain == base, F.element_at(F.split(plain, "/"), -1)).otherwise(below)
+    base = root.rstrip("/")
+    below = F.substring("path", F.lit(len(base) + 2), F.length("path"))
+    return F.when(F.col("path") == base, F.element_at(F.split("path", "/"), -1)).otherwise(below)
 
 
 def copy_files(
@@ -113,33 +102,35 @@ def copy_files(
     modified_until: datetime | str | None = None,
     chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """Copy every data file below ``source`` and return the manifest ``src, dst, bytes``.
+    """Copy every file below ``source`` and return the manifest ``src, dst, bytes``.
 
     Where the destination can be written at an offset, large files are split into
     chunks copied by different tasks; elsewhere one task streams one file. The source is
-    kept, existing files are overwritten, and the bytes are not parsed. Marker
-    files (names starting with ``_`` or ``.``) and empty files are not listed by Spark and
-    not copied; ``_SUCCESS`` is written anew.
+    kept, existing files are overwritten, and the bytes are not parsed. Empty files and
+    names starting with ``_`` or ``.`` are copied too; ``_SUCCESS`` is written in any case.
+    Keys, region and endpoint of an S3 store come from the session's Hadoop configuration.
     """
     target = qualified(spark, destination.rstrip("/"))
+    root = qualified(spark, normalize_scheme(source))
+    settings = (store_settings(spark, root), store_settings(spark, target))
     files = incremental_window(
         file_inventory(spark, source, recursive=True), "modificationTime", modified_after, modified_until
     )
     size = F.col("length")
-    step = F.lit(chunk_bytes).cast("bigint") if _is_posix(target) else size
+    step = F.lit(chunk_bytes).cast("bigint") if is_posix(target) else size
     chunks = files.select(
         F.col("path").alias("src"),
-        F.concat(F.lit(f"{target}/"), _relative(source)).alias("dst"),
+        F.concat(F.lit(f"{target}/"), _below(root)).alias("dst"),
         size.alias("size"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1, step)).alias("offset"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(size - 1, F.lit(0)), F.greatest(step, F.lit(1)))).alias("offset"),
         step.alias("step"),
     ).select("src", "dst", "size", "offset", F.least("step", F.col("size") - F.col("offset")).alias("bytes"))
     total = chunks.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).first()
     wanted = max(spark.sparkContext.defaultParallelism, (total.bytes or 0) // TASK_BYTES)
     spread = chunks.repartition(max(1, min(total.n, wanted)))
     log = scratch_path(spark, "copy-manifest")
-    spread.mapInPandas(_copy_batches, MANIFEST).write.parquet(log)
-    marker_fs, marker_path = _arrow_fs(target)
+    spread.mapInPandas(_copier(settings), MANIFEST).write.parquet(log)
+    marker_fs, marker_path = open_store(target, settings[1])
     marker_fs.create_dir(marker_path, recursive=True)
     marker_fs.open_output_stream(f"{marker_path}/_SUCCESS").close()
     return spark.read.schema(MANIFEST).parquet(log).groupBy("src", "dst").agg(F.sum("bytes").alias("bytes"))

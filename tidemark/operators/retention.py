@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import free_names
 from tidemark.session import scratch_path
 
 # Fixed value: the stream length kept when nothing else is asked for.
@@ -46,11 +47,12 @@ def _two_level(df: DataFrame, stream: str, order_by: Sequence[str], n: int) -> D
     the same answer.
     """
     newest = [F.col(c).desc() for c in order_by]
-    salted = df.withColumn("_salt", F.spark_partition_id() % SALTS)
-    near = Window.partitionBy(stream, "_salt").orderBy(*newest)
+    salt, rank = free_names(df.columns, "_salt", "_rn")
+    salted = df.withColumn(salt, F.spark_partition_id() % SALTS)
+    near = Window.partitionBy(stream, salt).orderBy(*newest)
     far = Window.partitionBy(stream).orderBy(*newest)
-    first = salted.withColumn("_rn", F.row_number().over(near)).where(F.col("_rn") <= n)
-    last = first.withColumn("_rn", F.row_number().over(far)).where(F.col("_rn") <= n)
+    first = salted.withColumn(rank, F.row_number().over(near)).where(F.col(rank) <= n)
+    last = first.withColumn(rank, F.row_number().over(far)).where(F.col(rank) <= n)
     return last.select(*df.columns)
 
 
@@ -64,14 +66,16 @@ def _by_position(df: DataFrame, stream: str, order_by: Sequence[str], n: int) ->
     newest = [F.col(c).desc() for c in order_by]
     ranged = df.repartitionByRange(F.col(stream), *newest).sortWithinPartitions(stream, *newest)
     path = scratch_path(spark, "positions")
-    ranged.withColumn("_pos", F.monotonically_increasing_id()).write.parquet(path)
-    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_pos", _POSITION_BITS))
-    pieces = rows.groupBy(F.col(stream).alias("_stream"), F.col("_part").alias("_piece")).agg(
-        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_rows")
+    pos, part = free_names([*df.columns, "_stream", "_piece", "_first", "_rows", "_before"], "_pos", "_part")
+    ranged.withColumn(pos, F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn(part, F.shiftright(pos, _POSITION_BITS))
+    pieces = rows.groupBy(F.col(stream).alias("_stream"), F.col(part).alias("_piece")).agg(
+        F.min(pos).alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
     # One entry per stream and range partition: a stream's entries number at most the partitions.
     before = Window.partitionBy("_stream").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = pieces.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    match = rows[stream].eqNullSafe(starts["_stream"]) & (rows["_part"] == starts["_piece"])
+    match = rows[stream].eqNullSafe(starts["_stream"]) & (rows[part] == starts["_piece"])
     kept = rows.join(starts.where(F.col("_before") < n), match)
-    return kept.where(F.col("_pos") - F.col("_first") + F.col("_before") < n).select(*df.columns)
+    place = rows[pos] - starts["_first"] + starts["_before"]
+    return kept.where(place < n).select(*(rows[c] for c in df.columns))

@@ -11,15 +11,16 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.checkpoint import CheckpointValue, checkpoint_text
-from tidemark.functions.kafka import decode_kafka, parse_offsets, render_offsets
+from tidemark.functions.checkpoint import CheckpointValue, checkpoint_text, field_type, typed_literal
+from tidemark.functions.kafka import OffsetMap, decode_kafka, parse_offsets, render_offsets
 from tidemark.functions.paths import bucket_of, landing_path, sanitize_run_id
 from tidemark.operators.aggregates import high_water_text, record_count
 from tidemark.operators.conform import conform
@@ -41,7 +42,7 @@ from tidemark.session import runtime_conf
 from tidemark.sources.connector import Read, custom_query, load, texts
 from tidemark.sources.files import file_inventory, read_files
 from tidemark.sources.jdbc import DIALECTS, jdbc_read, max_query, split_read
-from tidemark.sources.kafka import complete_start, kafka_read
+from tidemark.sources.kafka import broker_end_offsets, complete_start, kafka_read
 from tidemark.sources.nosql import cassandra_read, dynamodb_read, mongodb_max, mongodb_read
 from tidemark.sources.storage import configure_s3a
 
@@ -73,6 +74,7 @@ def run_pipeline(
     extra: Mapping[str, Any] | None = None,
     publish: Callable[[DataFrame], None] | None = None,
     full_read_on_error: bool = False,
+    topic_ends: Callable[[KafkaSource], OffsetMap] | None = None,
 ) -> RunResult:
     """Run a pipeline once.
 
@@ -81,11 +83,13 @@ def run_pipeline(
     and before conforming. ``publish`` receives the run's event as a one-row frame, to be
     enveloped and sent, before the checkpoint moves; if it fails, so does the run. A failing
     high-water query fails the run unless ``full_read_on_error`` asks for an unbounded read
-    that leaves the checkpoint where it was.
+    that leaves the checkpoint where it was. ``topic_ends`` tells the end offsets of a topic
+    in place of the brokers. A bound that is not above the stored checkpoint is recorded in the
+    event but never stored.
     """
     before = state.landed_run(spec.dag_id, run_id)
     run = _Run(
-        spark, spec, state, run_id, moment, frame, tuple(transforms), full_read_on_error, before
+        spark, spec, state, run_id, moment, frame, tuple(transforms), full_read_on_error, before, topic_ends
     )
     event: dict[str, Any] = {"dag_id": spec.dag_id, "run_id": run_id, "start_time": now_utc()}
     try:
@@ -105,7 +109,10 @@ def run_pipeline(
         if publish is not None:
             publish(recorded)
         if before is None or state.checkpoint(spec.dag_id) == before.checkpoint_from:
-            state.save_checkpoint(spec.dag_id, result.checkpoint_to)
+            advanced = run.advanced(state.checkpoint(spec.dag_id), result.checkpoint_to)
+            if advanced is None and result.checkpoint_to is not None:
+                log.warning("%s: bound %s is not above the stored one", run_id, result.checkpoint_to)
+            state.save_checkpoint(spec.dag_id, advanced)
         return result
     except Exception as error:
         failed = event | {"status": "failed", "stop_time": now_utc(), "error": str(error)}
@@ -134,6 +141,27 @@ class _Run:
     transforms: tuple[Transform, ...]
     full_read_on_error: bool
     before: Row | None
+    end_offsets: Callable[[KafkaSource], OffsetMap] | None = None
+    # Type of the checkpoint column, once the source has been seen.
+    kinds: list[T.DataType] = field(default_factory=list)
+
+    def advanced(self, stored: str | None, reached: str | None) -> str | None:
+        """What to store after a run that reached a bound: null unless that is above the stored one.
+
+        Bounds compare in the type of their column, offset maps partition by partition.
+        """
+        if reached is None or stored is None or stored == reached:
+            return reached
+        if isinstance(self.spec.source, KafkaSource):
+            old, new = parse_offsets(stored), parse_offsets(reached)
+            best = {t: dict(old.get(t, {})) for t in old.keys() | new.keys()}
+            for topic, parts in new.items():
+                for part, offset in parts.items():
+                    best[topic][part] = max(offset, best[topic].get(part, offset))
+            return None if best == old else render_offsets(best)
+        kind = self.kinds[-1] if self.kinds else T.StringType()
+        higher = typed_literal(reached, kind) > typed_literal(stored, kind)
+        return reached if self.spark.range(1).select(higher).first()[0] else None
 
     def execute(self, fixed: str | None) -> RunResult:
         spec = self.spec
@@ -144,6 +172,7 @@ class _Run:
             bucket = bucket_of(spec.sink.endpoint)
             configure_s3a(self.spark, spec.sink_credentials, writing=True, bucket=bucket)
         low = self.state.checkpoint(spec.dag_id)
+        self.kinds.clear()
         if self.before is not None:
             low, fixed = self.before.checkpoint_from, self.before.checkpoint_to
         if isinstance(spec.source, KafkaSource):
@@ -234,7 +263,13 @@ class _Run:
     ) -> RunResult:
         column, high, bounded = source.checkpoint_column, None, False
         if column:
+            self.kinds.append(field_type(rows, column))
+            if marked is rows and low is not None:
+                # Row groups below the checkpoint need not be read; nothing above it means nothing new.
+                marked = rows.where(F.col(column) > typed_literal(low, self.kinds[-1]))
             high, bounded = self._mark(marked, mark_column or column, fixed)
+            if bounded and high is None and marked is not rows and not mark_column:
+                high = low
         if column and bounded and source.incremental:
             if high is None and low is None:
                 # No value in the source yet: only rows that no later window can reach.
@@ -275,8 +310,10 @@ class _Run:
                 mode=sink.mode, file_format=sink.file_format, unique=sink.unique_keys, observation=seen,
             )
         else:
+            # A run id that has landed before replaces its own leaf, also where runs append.
+            mode = "overwrite" if self.before is not None else sink.mode
             land(
-                rows, path, sink.file_format, sink.mode, sink.partition_by,
+                rows, path, sink.file_format, mode, sink.partition_by,
                 texts(sink.write_options), rebalance=scattered or None, observation=seen,
             )
         return RunResult(path, low, high, None if seen is None else counted(seen))
@@ -285,6 +322,7 @@ class _Run:
         high, bounded = None, False
         if source.checkpoint_column or source.modified_only:
             files = file_inventory(self.spark, source.path, recursive=True)
+            self.kinds.append(T.TimestampType())
             high, bounded = self._mark(files, "modificationTime", fixed)
         window = (low, high) if source.modified_only and bounded else (None, None)
         path = self._path()
@@ -296,17 +334,36 @@ class _Run:
 
     def _kafka(self, source: KafkaSource, low: str | None, fixed: str | None) -> RunResult:
         start = low or source.starting_offsets
-        live = self.frame is None
-        rows = load(self.spark, self._topic(source, start, None)) if live else self.frame
-        high = fixed or self._snapshot(rows, low)
-        if live and high:
-            begin = complete_start(start, high) if start.startswith("{") else start
+        if self.frame is not None:
+            high = fixed or self._snapshot(self.frame, low)
+            rows = offset_range(self.frame, start, high)
+        else:
+            high = fixed or self._ends(source, low)
+            begin = complete_start(start, high) if high and start.startswith("{") else start
             rows = load(self.spark, self._topic(source, begin, high))
-        elif not live:
-            rows = offset_range(rows, start, high)
+            if high is None:
+                # Nothing to bound the read by: records that arrive meanwhile wait for the next run.
+                rows = rows.where(F.lit(False))
         rows = decode_kafka(rows, source.value_format, source.value_schema)
         return self._land(apply_filters(rows, source.filters), low, high)
 
+    def _ends(self, source: KafkaSource, low: str | None) -> str | None:
+        """End offsets as the brokers tell them, never below the stored ones.
+
+        Partitions added since the last run are among them, and empty ones: Spark's source wants all named.
+        """
+        asked = self.end_offsets or (
+            lambda s: broker_end_offsets(
+                self.spark, s.bootstrap_servers, s.topic, self.spec.source_credentials, s.read_options
+            )
+        )
+        known = parse_offsets(low) if low else {}
+        merged = {topic: dict(parts) for topic, parts in known.items()}
+        for topic, parts in asked(source).items():
+            for part, end in parts.items():
+                merged.setdefault(topic, {})[part] = max(end, known.get(topic, {}).get(part, 0))
+        return render_offsets(merged) if merged else None
+
     def _topic(self, source: KafkaSource, start: str, end: str | None) -> Read:
         return kafka_read(
             source.bootstrap_servers,

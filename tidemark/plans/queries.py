@@ -366,9 +366,9 @@ def landing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Landing
 
 _TWO_LANDINGS = (
-    "SELECT supplier.*, '2024-01-15' AS ingestion_date, '14-30-00' AS ingestion_time, "
-    "'scheduled__2024_01_15' AS run_id FROM supplier UNION ALL "
-    "SELECT supplier.*, '2024-01-16', '09-00-00', 'scheduled__2024_01_16' FROM supplier "
+    "SELECT supplier.*, '2023-11-02' AS ingestion_date, '07-05-09' AS ingestion_time, "
+    "'nightly_one' AS run_id FROM supplier UNION ALL "
+    "SELECT supplier.*, '2023-11-03', '09-00-00', 'nightly_two' FROM supplier "
     "WHERE s_acctbal > 1000"
 )
 
@@ -377,8 +377,8 @@ _TWO_LANDINGS = (
 def land_and_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers, root = _table(spark, sf_dir, "supplier"), scratch_path(spark, "landing")
     segments = ["erp", "public", "supplier"]
-    first = landing_path(root, "pg", segments, datetime(2024, 1, 15, 14, 30), "scheduled__2024-01-15")
-    second = landing_path(root, "pg", segments, datetime(2024, 1, 16, 9), "scheduled__2024-01-16")
+    first = landing_path(root, "pg", segments, datetime(2023, 11, 2, 7, 5, 9), "nightly one")
+    second = landing_path(root, "pg", segments, datetime(2023, 11, 3, 9), "nightly two")
     land(suppliers, first)
     land(apply_filters(suppliers, {"s_acctbal": "> 1000"}), second)
     landed = read_landing(spark, f"{root}/pg/erp/public/supplier")

@@ -27,7 +27,9 @@ def scratch_root(spark: SparkSession) -> str:
         return sc.getCheckpointDir().rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_roots.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="tidemark-"))
+    if sc.applicationId not in _local_roots:
+        _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return _local_roots[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.paths import normalize_scheme
 from tidemark.operators.landing import check_format
+from tidemark.session import qualified, scratch_path
+from tidemark.sources.stores import LISTING, folder_lister, store_settings
 
 
 def read_files(
@@ -35,20 +37,39 @@ def infer_schema(
 
 
 def file_inventory(spark: SparkSession, path: str, *, recursive: bool = False) -> DataFrame:
-    """Rows ``path, modificationTime, length`` of the files under a path, contents unread."""
-    reader = spark.read.format("binaryFile")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    return reader.load(normalize_scheme(path)).select("path", "modificationTime", "length")
+    """Rows ``path, modificationTime, length`` of every file under a path, contents unread.
+
+    Spark's own listings leave out empty files and names starting with ``_`` or ``.``; here
+    tasks list folder by folder, a level of the tree at a time, and nothing is left out. The
+    listing is kept in the scratch folder; only whether a level has folders reaches the driver.
+    """
+    root = qualified(spark, normalize_scheme(path))
+    lister = folder_lister(store_settings(spark, root))
+    folders = spark.createDataFrame([(root,)], "path string")
+    levels: list[str] = []
+    while True:
+        levels.append(scratch_path(spark, "listing"))
+        tasks = spark.sparkContext.defaultParallelism if len(levels) > 1 else 1
+        folders.repartition(tasks).mapInPandas(lister, LISTING).write.parquet(levels[-1])
+        folders = spark.read.schema(LISTING).parquet(levels[-1]).where("folder").select("path")
+        if not recursive or folders.isEmpty():
+            break
+    found = spark.read.schema(LISTING).parquet(*levels)
+    return found.where("NOT folder").select("path", "modificationTime", "length")
+
+
+def _without_checksums(files: DataFrame) -> DataFrame:
+    """Hadoop's local file system keeps a checksum beside each file and shows none of them."""
+    return files.where(~F.col("path").rlike(r"/\.[^/]+\.crc$"))
 
 
 def file_count(spark: SparkSession, path: str) -> DataFrame:
-    """One row ``cnt``: files directly under the path."""
-    return file_inventory(spark, path).agg(F.count(F.lit(1)).alias("cnt"))
+    """One row ``cnt``: files directly under the path, checksum files of Hadoop aside."""
+    return _without_checksums(file_inventory(spark, path)).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def latest_modification(spark: SparkSession, path: str) -> DataFrame:
     """One row ``checkpoint_to``: the newest modification time in the tree."""
-    return file_inventory(spark, path, recursive=True).agg(
+    return _without_checksums(file_inventory(spark, path, recursive=True)).agg(
         F.max("modificationTime").alias("checkpoint_to")
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,6 +104,9 @@ def split_options(column: str, low: object, high: object, partitions: int) -> di
     """
     if low is None or high is None:
         return {}
+    if isinstance(low, Decimal) and isinstance(high, Decimal):
+        # Spark's reader wants whole numbers: the whole ones around them.
+        low, high = math.floor(low), math.ceil(high)
     return texts(
         {
             "partitionColumn": column,

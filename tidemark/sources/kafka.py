@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.kafka import OffsetMap, parse_offsets, render_offsets
 from tidemark.operators.offsets import EARLIEST, EARLIEST_OFFSET, LATEST
@@ -29,6 +29,7 @@ def _client(bootstrap_servers: str, who: Mapping[str, str]) -> dict[str, str]:
     options = {"kafka.bootstrap.servers": bootstrap_servers}
     user, password = who.get("sasl_username"), who.get("sasl_password")
     if user and password:
+        user, password = (text.replace("\\", "\\\\").replace('"', '\\"') for text in (user, password))
         login = "org.apache.kafka.common.security.plain.PlainLoginModule"
         options |= {
             "kafka.security.protocol": "SASL_PLAINTEXT",
@@ -78,6 +79,41 @@ def kafka_read(
     return Read("kafka", options).with_options(read_options)
 
 
+def broker_end_offsets(
+    spark: SparkSession,
+    bootstrap_servers: str,
+    topics: str,
+    credentials: Mapping[str, str] | None = None,
+    read_options: Mapping[str, object] | None = None,
+) -> OffsetMap:
+    """End offset of every partition of the topics, asked of the brokers once from the driver.
+
+    Uses the client that comes with the Kafka connector package; no record is read.
+    """
+    jvm = spark.sparkContext._jvm
+    # Class names of the Kafka client.
+    reader = "org.apache.kafka.common.serialization.ByteArrayDeserializer"
+    settings = _client(bootstrap_servers, credentials or {}) | texts(dict(read_options or {}))
+    properties = jvm.java.util.Properties()
+    for key, value in settings.items():
+        if key.startswith("kafka."):
+            properties.setProperty(key.removeprefix("kafka."), value)
+    properties.setProperty("key.deserializer", reader)
+    properties.setProperty("value.deserializer", reader)
+    consumer = jvm.org.apache.kafka.clients.consumer.KafkaConsumer(properties)
+    try:
+        ends: OffsetMap = {}
+        for topic in topics.split(","):
+            places = jvm.java.util.ArrayList()
+            for info in consumer.partitionsFor(topic.strip()):
+                places.add(jvm.org.apache.kafka.common.TopicPartition(info.topic(), info.partition()))
+            found = consumer.endOffsets(places)
+            ends[topic.strip()] = {int(p.partition()): int(found.get(p)) for p in places}
+        return ends
+    finally:
+        consumer.close()
+
+
 def kafka_stream(
     bootstrap_servers: str,
     topics: str,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from urllib.parse import quote
 
 from pyspark.sql import types as T
 
@@ -28,7 +29,7 @@ def mongodb_read(
     read_options: Mapping[str, object] | None = None,
 ) -> Read:
     """A MongoDB collection, or the aggregation ``pipeline`` over it, verbatim."""
-    user, password = credentials.get("username"), credentials.get("password")
+    user, password = (quote(str(credentials.get(k)), safe="") for k in ("username", "password"))
     # URI form and option names of the connector.
     options = texts(
         {
