@@ -124,3 +124,18 @@ def test_refusals(spark):
         upsert_into(spark, scratch_path(spark, "x"), df, ["k"], "r", file_format="csv")
     with pytest.raises(ValueError, match="unknown mode"):
         upsert_into(spark, scratch_path(spark, "x"), df, ["k"], "r", mode="append")
+
+
+def test_tables_with_map_columns(spark):
+    schema = "k int, m map<string,int>, n array<map<string,int>>, _row string, v int"
+    old = spark.createDataFrame([(1, {"a": 1}, None, "r", 0), (2, None, [], "r", 0)], schema)
+    new = spark.createDataFrame([(2, {"b": 2, "c": 3}, None, "s", 5), (2, {"b": 2}, None, "s", 4), (3, {}, [{"x": 1}], "s", 1)], schema)
+    for drop in ([], ["n"]):
+        got = {r["k"]: r.asDict() for r in upsert(old.drop(*drop), new.drop(*drop), ["k"], ["v"]).collect()}
+        assert got[1]["m"] == {"a": 1} and got[2]["m"] == {"b": 2, "c": 3} and got[2]["_row"] == "s" and got[3]["m"] == {}
+
+
+def test_the_newest_row_travels_once(spark):
+    df = spark.range(10).select(F.col("id").alias("k"), F.lit("payload").alias("p"), F.lit(1).alias("v"))
+    plan = newest_per_key(df, ["k"], ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by" not in plan

@@ -12,7 +12,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.functions.names import free_names
 from tidemark.operators.landing import land, read_landing
 from tidemark.operators.state import StateLog, newest, now_utc, sequence_number
 
@@ -21,18 +23,42 @@ TYPED_FORMATS = ("parquet", "orc", "avro", "delta")
 VERSION_SCHEMA = "version string, path string, updated_at timestamp, seq bigint"
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, T.MapType)
+
+
 def newest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key, the largest by ``order_by`` (then by the remaining columns).
 
-    ``max_by`` combines inside each task before the shuffle, so a key holding most of
-    the rows costs one row per task.
+    A maximum combines inside each task before the shuffle, so a key holding most of
+    the rows costs one row per task, and every column travels once. Maps compare as their
+    sorted entries; columns that hold maps deeper down break no ties.
     """
     rest = [c for c in df.columns if c not in keys]
     rank = [*order_by, *(c for c in rest if c not in order_by)]
     if not rest:
         return df.select(*keys).distinct()
-    last = F.max_by(F.struct(*rest), F.struct(*rank)).alias("_row")
-    return df.groupBy(*keys).agg(last).select(*keys, "_row.*").select(*df.columns)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    maps = {c for c in rank if isinstance(kinds[c], T.MapType) and not _holds_map(kinds[c].valueType)}
+    plain = [c for c in rank if c in maps or not _holds_map(kinds[c])]
+    (row,) = free_names(df.columns, "_row")
+    ranked = [(F.array_sort(F.map_entries(c)) if c in maps else F.col(c)).alias(f"c{i}") for i, c in enumerate(plain)]
+    if len(plain) < len(rank):
+        last = F.max_by(F.struct(*rest), F.struct(*ranked) if ranked else F.lit(0)).alias(row)
+        return df.groupBy(*keys).agg(last).select(*keys, f"{row}.*").select(*df.columns)
+    last = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias(row))
+
+    def column(name: str) -> Column:
+        if name in keys:
+            return F.col(name)
+        held = F.col(row)[f"c{plain.index(name)}"]
+        return (F.map_from_entries(held) if name in maps else held).alias(name)
+
+    return last.select(*(column(c) for c in df.columns))
 
 
 def _marks(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -89,7 +115,7 @@ def _replace_columns(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -
     on = _same_key(target, side, keys)
     merged = target.join(side, on, "left").select(
         *(
-            F.when(F.col("_hit"), F.col("_new")[c]).otherwise(target[c]).alias(c)
+            F.when(side["_hit"], side["_new"][c]).otherwise(target[c]).alias(c)
             if c in changed
             else target[c]
             for c in target.columns
