@@ -70,13 +70,10 @@ class Scheme:
 
 @lru_cache(maxsize=None)
 def band_edges(percent: int, upto: int) -> tuple[int, ...]:
-    """First sizes of the bands: sets that can reach the threshold lie in one band or in neighbouring ones.
-
-    Somewhat wider bands than that needs: fewer sets then look into the band below.
-    """
+    """First sizes of the bands: sets that can reach the threshold lie in one band or in neighbouring ones."""
     edges = [1]
     while edges[-1] <= upto:
-        edges.append(max(edges[-1] + 1, (edges[-1] - 1) * 100 // percent + 1, edges[-1] * 13 // 10))
+        edges.append(max(edges[-1] + 1, (edges[-1] - 1) * 100 // percent + 1))
     return tuple(edges)
 
 
@@ -88,18 +85,12 @@ def scheme_of(percent: int, band: int, low: int, high: int) -> Scheme:
     """
     differ = (high + high * 100 // percent) * (100 - percent) // (100 + percent)
     best = None
-    for deleting in range(0, min(differ + 1, 8) + 1):
-        spare = 0
-        # With exact segments alone a few more of them make linked sets agree in several.
-        agreeing = 2 + differ // 16 if differ >= 4 and not deleting else 1
-        for _ in range(8):
-            segments = max(1, deleting, differ + agreeing + spare - deleting)
-            mean = low / segments
-            light = (segments - deleting) * math.exp(-mean) * (1 + mean)
-            wanted = math.ceil(light + 2 * math.sqrt(light)) if segments - deleting > 1 else 0
-            if wanted <= spare:
-                break
-            spare = wanted
+    # Larger sets have a few more segments, so that linked ones agree in several; small ones may tolerate tokens instead.
+    agreeing = 2 + differ // 16 if differ >= 4 else 1
+    for deleting in range(0, differ + 2 if agreeing == 1 else 1):
+        segments = max(1, deleting, differ + agreeing - deleting)
+        light = (segments - deleting) * math.exp(-low / segments) * (1 + low / segments)
+        spare = math.ceil(light + math.sqrt(light)) if segments - deleting > 1 else 0
         segments = max(1, deleting, differ + agreeing + spare - deleting)
         mean = low / segments
         cost = (segments - deleting) * (1 + FALSE_COST * math.exp(-mean)) + deleting * (1 + mean + FALSE_COST * math.exp(1 - mean))
