@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.urls import split_url
 
 CHROME, UNMARKED, MAIN = 0, 1, 2
+#: Pages of one block of the URL order, and the most blocks; beyond that blocks grow, which are read as streams.
+BLOCK_PAGES, MAX_BLOCKS = 500, 20_000
 
 #: Element names of the HTML standard, by what they mean here.
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -220,10 +222,12 @@ def extract_main_text(df: DataFrame, key: str = "page_id", url: str = "url", htm
     keyed = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").cast("string").alias("url"), F.col(f"`{html}`").cast("string").alias("html"))
     parts = F.pandas_udf(lambda urls: urls.map(lambda u: "\0".join(split_url(u))), "string")
     order = keyed.select(parts("url").alias("site"), F.col("key").cast("string").alias("key"), F.xxhash64("url").alias("mark"))
-    spans = order.repartitionByRange("site", "key", "mark").groupBy(F.spark_partition_id().alias("p")).agg(
+    # A number of its own, else adaptive execution would merge these small rows into one block.
+    blocks_wanted = min(MAX_BLOCKS, max(8, keyed.count() // BLOCK_PAGES))
+    spans = order.repartitionByRange(blocks_wanted, "site", "key", "mark").groupBy(F.spark_partition_id().alias("p")).agg(
         F.min(F.struct("site", F.coalesce("key", F.lit("")).alias("k"), "mark")).alias("low"), F.max(F.struct("site", F.coalesce("key", F.lit("")).alias("k"), "mark")).alias("high")
     )
-    edges = sorted((tuple(r["low"]), tuple(r["high"])) for r in spans.collect())  # one entry per shuffle partition
+    edges = sorted((tuple(r["low"]), tuple(r["high"])) for r in spans.collect())  # at most MAX_BLOCKS entries
     lows, highs = [low for low, _ in edges], [high for _, high in edges]
     kind = keyed.schema["key"].dataType.simpleString()
     names = ["block", "guest", "site", "k", "mark", "key", "url", "lines", "regions"]
