@@ -64,14 +64,13 @@ def test_shared_lines_go_where_no_article_is_marked(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
-def test_partners_do_not_depend_on_partitions(spark):
+def test_partners_do_not_depend_on_blocks(spark, monkeypatch):
     rows = [(i, f"http://h{i % 2}.org/{i % 5}/{i:03d}", page(f"<p>name {i % 2}</p><p>own {i}</p><p>end</p>"), None) for i in range(200)]
     df = spark.createDataFrame(rows, SCHEMA)
     texts = []
-    for n in ("1", "7", "40"):
-        spark.conf.set("spark.sql.shuffle.partitions", n)
+    for n in (1000, 30, 5):
+        monkeypatch.setattr(pages, "BLOCK_PAGES", n)
         texts.append({r["page_id"]: r["text"] for r in pages.extract_main_text(df).collect()})
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert texts[0] == texts[1] == texts[2] == {i: f"own {i}" for i in range(200)}
 
 
