@@ -22,8 +22,8 @@ from tidemark.sources.jdbc import (
     count_query,
     jdbc_read,
     max_query,
-    split_number,
     split_options,
+    split_predicates,
 )
 from tidemark.sources.kafka import complete_start, kafka_read, kafka_stream, kafka_write_options, send
 from tidemark.sources.nosql import cassandra_read, dynamodb_read, mongodb_above, mongodb_max, mongodb_read
@@ -95,10 +95,29 @@ def test_jdbc_read_reaches_spark_and_stops_at_the_missing_driver(spark):
         load(spark, postgres(table="t"))
 
 
-def test_split_number_covers_everything(spark):
-    df = spark.range(-5, 105).select("id", split_number(F.col("id"), 0, 99, 10).alias("n"))
-    sizes = {r.n: r["count"] for r in df.groupBy("n").count().collect()}
-    assert sizes == {0: 15, **{i: 10 for i in range(1, 9)}, 9: 15}
+def test_split_predicates_cover_everything_once(spark):
+    df = spark.range(-5, 105).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS id"))
+    sizes = [df.where(condition).count() for condition in split_predicates("id", 0, 99, 10)]
+    assert sizes == [16, *[10] * 8, 15]
+    assert [df.where(c).count() for c in split_predicates("id", 0, 2, 7)] and split_predicates("id", 3, 9, 1) == ["TRUE"]
+    assert sum(df.where(c).count() for c in split_predicates("id", 0, 2, 7)) == 111
+
+
+def test_decimal_bounds_become_whole(spark):
+    from decimal import Decimal
+
+    options = split_options("id", Decimal("1.25"), Decimal("9.50"), 4)
+    assert (options["lowerBound"], options["upperBound"]) == ("1", "10")
+
+
+def test_mongodb_credentials_are_escaped():
+    read = mongodb_read("h", 1, "db", "c", {"username": "a@b", "password": "p/ :%"})
+    assert "mongodb://a%40b:p%2F%20%3A%25@h:1/db" in read.options["spark.mongodb.read.connection.uri"]
+
+
+def test_kafka_login_is_escaped():
+    options = kafka_read("b", "t", credentials={"sasl_username": 'u"', "sasl_password": "p\\"}).options
+    assert options["kafka.sasl.jaas.config"].endswith('username="u\\"" password="p\\\\";')
 
 
 def test_mongodb():

@@ -7,8 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.sources.connector import DEFAULT_FETCH_SIZE, Read, load, texts
@@ -130,15 +129,19 @@ def split_read(spark: SparkSession, read: Read, column: str, partitions: int) ->
     return read.with_options(split_options(column, row["low"], row["high"], partitions))
 
 
-def split_number(value: Column, low: int, high: int, partitions: int) -> Column:
-    """Slice of an integer split value when the bounds are cut into equal widths.
+def split_predicates(column: str, low: int, high: int, partitions: int) -> list[str]:
+    """One condition per slice of a read cut into equal widths between two whole bounds.
 
-    The outer slices are open and nulls go with the first, as in a partitioned read; it
-    shows how evenly a column would split before one is set up.
+    The outer slices are open and nulls go with the first, so every row is in exactly one.
+    Read through them (``table.where(...)``, or a reader's ``predicates``) where a source has no
+    partitioned read of its own.
     """
     width = high - low + 1
-    slot = F.floor((value - low) * partitions / width)
-    return F.least(F.lit(partitions - 1), F.greatest(F.lit(0), slot)).cast("int")
+    cuts = [low - (-i * width // partitions) for i in range(1, partitions)]
+    if not cuts:
+        return ["TRUE"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
 
 
 def read_jdbc(spark: SparkSession, read: Read) -> DataFrame:
