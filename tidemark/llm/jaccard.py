@@ -246,14 +246,7 @@ def verify_group(ids: list[int], sets: list[np.ndarray], sides: list[int], perce
     Pairs that are connected already are skipped. With two sides only pairs across them are compared. Sets are met through their
     rarest tokens: two sets that reach the threshold share one among the rarest ``n - ceil(n * percent / 100) + 1`` of each.
     """
-    parent = list(range(len(ids)))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
+    label = np.arange(len(ids))
     two = len(set(sides)) > 1
     sizes = np.array([len(s) for s in sets])
     values, inverse = np.unique(np.concatenate(sets), return_inverse=True)
@@ -267,20 +260,19 @@ def verify_group(ids: list[int], sets: list[np.ndarray], sides: list[int], perce
     tokens, owner = tokens[order], owner[order]
     side, flag, links = np.array(sides), np.zeros(len(values), np.int32), []
     for x in range(len(ids)):
-        low, high = np.searchsorted(tokens, prefix[x], "left"), np.searchsorted(tokens, prefix[x], "right")
-        near = np.unique(np.concatenate([owner[a:b] for a, b in zip(low, high)]))
-        near = near[near > x]
-        near = near[(100 * np.minimum(sizes[near], sizes[x]) >= percent * np.maximum(sizes[near], sizes[x]))]
+        near = np.flatnonzero(label[x + 1 :] != label[x]) + x + 1
+        near = near[100 * np.minimum(sizes[near], sizes[x]) >= percent * np.maximum(sizes[near], sizes[x])]
         if two:
             near = near[side[near] != side[x]]
-        mine = root(x)
-        near = [int(y) for y in near if root(int(y)) != mine]
-        if not near:
+        if len(near) > 32:  # else comparing them all is less work
+            low, high = np.searchsorted(tokens, prefix[x], "left"), np.searchsorted(tokens, prefix[x], "right")
+            near = np.intersect1d(near, np.concatenate([owner[a:b] for a, b in zip(low, high)]))
+        if not len(near):
             continue
         flag[ranked[x]] = 1
-        for y in near:
-            if root(y) != root(x) and linked(sizes[x], sizes[y], int(flag[ranked[y]].sum()), percent):
-                parent[root(y)] = root(x)
+        for y in near.tolist():
+            if label[y] != label[x] and linked(sizes[x], sizes[y], int(flag[ranked[y]].sum()), percent):
+                label[label == label[y]] = label[x]
                 links.append((ids[x], ids[y]))
         flag[ranked[x]] = 0
     return links
