@@ -27,7 +27,7 @@ from tidemark.sources.jdbc import (
 )
 from tidemark.sources.kafka import complete_start, kafka_read, kafka_stream, kafka_write_options, send
 from tidemark.sources.nosql import cassandra_read, dynamodb_read, mongodb_above, mongodb_max, mongodb_read
-from tidemark.sources.storage import configure_s3a, s3a_settings
+from tidemark.sources.storage import configure_s3a, s3a_access, s3a_settings
 
 WHO = {"username": "u", "password": "p"}
 
@@ -262,3 +262,11 @@ def test_listing(spark):
     assert "content" not in everything.columns
     newest = everything.where("path NOT LIKE '%.crc'").agg(F.max("modificationTime")).first()[0]
     assert latest_modification(spark, base).first().checkpoint_to == newest
+
+
+def test_storage_settings_are_put_back(spark):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("fs.s3a.bucket.mine.access.key", "before")
+    with s3a_access(spark, {"aws_access_key_id": "now", "aws_secret_access_key": "s"}, bucket="mine"):
+        assert hadoop.get("fs.s3a.bucket.mine.access.key") == "now" and hadoop.get("fs.s3a.bucket.mine.secret.key") == "s"
+    assert hadoop.get("fs.s3a.bucket.mine.access.key") == "before" and hadoop.get("fs.s3a.bucket.mine.secret.key") is None

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
@@ -44,7 +45,7 @@ from tidemark.sources.files import file_inventory, read_files
 from tidemark.sources.jdbc import DIALECTS, jdbc_read, max_query, split_read
 from tidemark.sources.kafka import broker_end_offsets, complete_start, kafka_read
 from tidemark.sources.nosql import cassandra_read, dynamodb_read, mongodb_max, mongodb_read
-from tidemark.sources.storage import configure_s3a
+from tidemark.sources.storage import s3a_access
 
 log = logging.getLogger(__name__)
 
@@ -165,12 +166,17 @@ class _Run:
 
     def execute(self, fixed: str | None) -> RunResult:
         spec = self.spec
-        if spec.read_type == "s3" and isinstance(spec.source, PathSource):
-            bucket = bucket_of(spec.source.path)
-            configure_s3a(self.spark, spec.source_credentials, bucket=bucket)
-        if spec.write_type == "s3":
-            bucket = bucket_of(spec.sink.endpoint)
-            configure_s3a(self.spark, spec.sink_credentials, writing=True, bucket=bucket)
+        with ExitStack() as access:
+            if spec.read_type == "s3" and isinstance(spec.source, PathSource):
+                bucket = bucket_of(spec.source.path)
+                access.enter_context(s3a_access(self.spark, spec.source_credentials, bucket=bucket))
+            if spec.write_type == "s3":
+                bucket = bucket_of(spec.sink.endpoint)
+                access.enter_context(s3a_access(self.spark, spec.sink_credentials, writing=True, bucket=bucket))
+            return self._execute(fixed)
+
+    def _execute(self, fixed: str | None) -> RunResult:
+        spec = self.spec
         low = self.state.checkpoint(spec.dag_id)
         self.kinds.clear()
         if self.before is not None:

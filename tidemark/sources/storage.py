@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -49,3 +50,22 @@ def configure_s3a(
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     for key, value in s3a_settings(credentials, writing=writing, bucket=bucket).items():
         hadoop.set(key, value)
+
+
+@contextmanager
+def s3a_access(
+    spark: SparkSession,
+    credentials: Mapping[str, str],
+    *,
+    writing: bool = False,
+    bucket: str | None = None,
+) -> Iterator[None]:
+    """:func:`configure_s3a` for the length of a block; what was set before is put back after it."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    before = {key: hadoop.get(key) for key in s3a_settings(credentials, writing=writing, bucket=bucket)}
+    configure_s3a(spark, credentials, writing=writing, bucket=bucket)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            hadoop.unset(key) if value is None else hadoop.set(key, value)
