@@ -21,7 +21,7 @@ from tidemark.llm.urls import split_url
 
 CHROME, UNMARKED, MAIN = 0, 1, 2
 #: Pages of one block of the URL order, and the most blocks; beyond that blocks grow, which are read as streams.
-BLOCK_PAGES, MAX_BLOCKS = 500, 20_000
+BLOCK_PAGES, MAX_BLOCKS = 2_000, 20_000
 
 #: Element names of the HTML standard, by what they mean here.
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
