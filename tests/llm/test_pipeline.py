@@ -43,6 +43,16 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_groups_are_told_apart_by_more_than_their_lowest_id(spark):
+    base = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcdefg"]
+    lone = [(None, base[0]), (None, base[1]), (1, base[2]), (1, base[3])]  # null ids, and one id with several texts
+    groups = [(2, base[4]), (3, base[4] + " more"), (2, base[5]), (4, base[5] + " more"), (None, base[6]), (None, base[6])]
+    rows = [(key, text, "en", "src", len(text)) for key, text in lone + groups]
+    kept = stages.without_near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = [*lone, groups[0], groups[2], groups[4]]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(want, key=str)
+
+
 def test_repeats_are_cut_and_columns_kept(spark):
     passage = "Some passage that is said again. " * 8
     rows = [(1, "first " + passage + "end"), (2, passage + "second é"), (3, "third"), (4, None)]

@@ -321,10 +321,10 @@ def with_set_hash(df: DataFrame, words: int, name: str, text: str = "text") -> D
 
 
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, percent: int = 80) -> DataFrame:
-    """``key, n_shingles, set_hash, component_id`` for every row of ``df``; ``key`` must be orderable.
+    """``key, n_shingles, set_hash, component_id, component`` for every row of ``df``; ``key`` must be orderable.
 
     Rows link when ``100 * intersection >= percent * union`` of their shingle sets; ``component_id`` is the smallest key
-    reachable by links. Null, empty and wordless texts have no shingles and link with nothing, not even each other. Repeated
+    reachable by links, which other components may have too if keys repeat; ``component`` tells components apart. Null, empty and wordless texts have no shingles and link with nothing, not even each other. Repeated
     rows and equal sets are one class. Shingles are compared by 64-bit hashes.
     """
     texts = df.select(F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("th"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
@@ -344,5 +344,6 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     lowest = labelled.where("n > 0").groupBy("comp").agg(F.min("key").alias("low"))
     joined = labelled.withColumn("at", F.when(F.col("n") > 0, F.col("comp"))).join(lowest.withColumnRenamed("comp", "at"), "at", "left")
     return joined.select(
-        F.col("key").alias(key), F.col("n").cast("bigint").alias("n_shingles"), F.col("sh").alias("set_hash"), F.coalesce("low", "key").alias("component_id")
+        F.col("key").alias(key), F.col("n").cast("bigint").alias("n_shingles"), F.col("sh").alias("set_hash"), F.coalesce("low", "key").alias("component_id"),
+        F.col("comp").alias("component"),
     )

@@ -17,17 +17,19 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest id.
+    """One document of each group of near duplicates: that of the smallest id, a null id being the largest.
 
     Documents without words stay. If the smallest id stands in several rows of a group, the one whose text has
     the smallest hash stays, once. Rows that have no partner are not touched, whatever their id.
     """
     info = jaccard.near_duplicates(docs, words=words, percent=percent)
     # Rows of one id and set fare alike, so decisions are made for (id, set) and few of them remove anything.
-    sets = info.where("n_shingles > 0").groupBy("doc_id", "set_hash", "component_id").agg(F.count("*").alias("n"))
-    first = F.row_number().over(Window.partitionBy("doc_id", "component_id").orderBy("set_hash"))
-    judged = sets.withColumn("first", first == 1).where(~F.col("first") | (F.col("n") > 1) | ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    judged = judged.select(F.col("doc_id").alias("id"), F.col("set_hash").alias("mark"), (F.col("first") & F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("one"))
+    sets = info.where("n_shingles > 0").groupBy("doc_id", "set_hash", "component").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("set_hash").alias("mark"))
+    firsts = sets.groupBy("component").agg(F.min(order).alias("first"), F.sum("n").alias("rows")).where("rows > 1")
+    one = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("set_hash") == F.col("first.mark"))
+    judged = sets.join(firsts, "component").withColumn("one", one).where("NOT one OR n > 1")
+    judged = judged.select(F.col("doc_id").alias("id"), F.col("set_hash").alias("mark"), "one")
     marked = jaccard.with_set_hash(docs, words, fresh(docs.columns, "set_hash"))
     mark = marked.columns[-1]
     joined = marked.join(judged, marked["doc_id"].eqNullSafe(judged["id"]) & (marked[mark] == judged["mark"]), "left")
