@@ -39,6 +39,19 @@ def test_markup_becomes_lines_with_regions():
     assert pages.text_lines(None) == ([], []) and pages.text_lines("a < b <3 <p") == (["a < b <3 <p"], [pages.UNMARKED])
 
 
+def test_a_missing_end_tag_cuts_nothing_off():
+    def main(html):
+        return [x for x, r in zip(*pages.text_lines(html)) if r == pages.MAIN]
+
+    for tag in ("video", "audio", "svg", "canvas", "object", "select", "noscript", "template"):
+        assert main(f"<article><p>one<{tag} a=b><p>two</p><{tag}><i>in</i><p>no</p></{tag}><p>three</article>") == ["one", "two", "three"]
+        assert main(f"<article><p>one <{tag}>in</p><p>two</p></article></{tag}><article>three</article>") == ["one", "two", "three"]
+        assert main(f"<article><p>one <{tag}><b>in</b><{tag}><p>in</p></{tag}></{tag}>two</article>") == ["one two"]
+        assert main(f"<article><p><span>one <{tag}><b>in</b></span> two</article>") == ["one", "two"]
+    assert main("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</article>") == ["so x=1 holds"]
+    assert main("<article><p>one<script>var x<p>two</article>") == ["one"]
+
+
 SCHEMA = "page_id bigint, url string, html string, text string"
 
 

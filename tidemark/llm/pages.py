@@ -25,7 +25,9 @@ BLOCK_PAGES, MAX_BLOCKS = 2_000, 20_000
 
 #: Element names of the HTML standard, by what they mean here.
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
-_RAW = set("script style textarea title noscript template iframe svg canvas object select math audio video head".split())
+_RAW = set("script style textarea title iframe head".split())
+#: Elements whose content is no text of the page; without an end tag of their own they end at the next block or with their parent.
+_EMBEDDED = set("noscript template svg canvas object select audio video".split())
 _BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -72,6 +74,40 @@ def _region_of(tag: str, attributes: str, around: int, in_main: bool) -> int:
     return around
 
 
+def _closed(html: str, tag: str) -> set[int]:
+    """Where the start tags of an element end that have an end tag of their own."""
+    opened, found = [], set()
+    for match in re.finditer(rf"<(/?){tag}(?=[\s/>])[^>]*>", html, re.I):
+        if not match[1] and not match[0].endswith("/>"):
+            opened.append(match.end())
+        elif match[1] and opened:
+            found.add(opened.pop())
+    return found
+
+
+def _end_of(html: str, tag: str, position: int, around: set[str]) -> int | None:
+    """The end of an element whose start tag ends at ``position``; None if an element of ``around`` ends before it."""
+    inner: dict[str, int] = {tag: 1}
+    while position < len(html):
+        token = _TOKEN.match(html, position)
+        position = token.end()
+        if token[2] is None:
+            continue
+        name = token[2].lower()
+        if token[1]:
+            if not inner.get(name) and name in around:
+                return None
+            inner[name] = max(0, inner.get(name, 0) - 1)
+            if not inner[tag]:
+                return position
+        elif name in _RAW:
+            end = re.compile(rf"</{name}(?:\s[^>]*)?>", re.I).search(html, position)
+            position = end.end() if end else position
+        elif name not in _VOID and not token[3].endswith("/"):
+            inner[name] = inner.get(name, 0) + 1
+    return None
+
+
 def text_lines(html: str | None) -> tuple[list[str], list[int]]:
     """The text blocks of a page in order, and the region of each.
 
@@ -82,6 +118,8 @@ def text_lines(html: str | None) -> tuple[list[str], list[int]]:
     lines, regions, buffer = [], [], []
     stack: list[tuple[str, int]] = []
     position, size = 0, len(html)
+    closed: dict[str, set[int]] = {}
+    inline: dict[str, int] = {}  # elements opened within an embedded one that has no end tag
 
     def region() -> int:
         return stack[-1][1] if stack else UNMARKED
@@ -107,7 +145,15 @@ def text_lines(html: str | None) -> tuple[list[str], list[int]]:
             flush()
         elif tag == "br":
             buffer.append(" ")
+        within = bool(stack) and stack[-1][0] in _EMBEDDED
         if token[1]:
+            if within and tag not in _BLOCK:
+                if tag != stack[-1][0] and inline.get(tag):
+                    inline[tag] -= 1
+                else:
+                    flush()
+                    stack.pop()
+                continue
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     if tag not in _BLOCK and any(name in _BLOCK for name, _ in stack[i + 1 :]):
@@ -122,6 +168,20 @@ def text_lines(html: str | None) -> tuple[list[str], list[int]]:
             if tag != "head" or end:
                 position = end.end() if end else size
             continue
+        if tag in _EMBEDDED:
+            if tag not in closed:
+                closed[tag] = _closed(html, tag)
+            end = _end_of(html, tag, position, {name for name, _ in stack}) if position in closed[tag] else None
+            if end is not None:
+                position = end
+            elif not within:
+                flush()
+                stack.append((tag, CHROME))
+                inline = {}
+            continue
+        if within and tag not in _BLOCK:
+            inline[tag] = inline.get(tag, 0) + 1
+            continue
         if tag in _BLOCK:
             while stack and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "dt", "dd", "td", "th", "tr") or stack[-1][0] not in _BLOCK):
                 stack.pop()
