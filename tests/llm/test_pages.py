@@ -87,6 +87,18 @@ def test_partners_do_not_depend_on_blocks(spark, monkeypatch):
     assert texts[0] == texts[1] == texts[2] == {i: f"own {i}" for i in range(200)}
 
 
+def test_copies_meet_the_pages_around_their_run(spark, monkeypatch):
+    rows = [(i, f"http://a.org/a?x={i}", page("<p>site name</p><p>same story here</p><p>contact</p>"), None) for i in range(60)]
+    rows += [(100, "http://a.org/b", page("<p>site name</p><p>another story</p><p>contact</p>"), None)]
+    rows += [(200 + i, f"http://b.org/{i:02d}", page("<p>lone</p>"), None) for i in range(20)]  # nothing but copies
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = {i: "same story here" for i in range(60)} | {100: "another story"} | {200 + i: "lone" for i in range(20)}
+    for n, held in ((1000, 16_000_000), (4, 100)):
+        monkeypatch.setattr(pages, "BLOCK_PAGES", n)
+        monkeypatch.setattr(pages, "HELD_CHARS", held)
+        assert {r["page_id"]: r["text"] for r in pages.extract_main_text(df).collect()} == want
+
+
 def test_no_pages(spark):
     assert pages.extract_main_text(spark.createDataFrame([], SCHEMA)).collect() == []
 

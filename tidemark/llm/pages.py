@@ -1,19 +1,22 @@
 """Main text of web pages by differencing with the page of the nearest URL.
 
-Pages are ordered by host and path, each is paired with the neighbour on its host that shares more of its path, and their text
-lines are aligned by longest common subsequence. Shared lines are the site's template and are deleted; markup that names its own
+Pages are ordered by host and path, each is paired with the nearest page before or behind it on its host that is no copy of it
+(the one that shares more of its path), and their text lines are aligned by longest common subsequence. Shared lines are the site's template and are deleted; markup that names its own
 role (article, navigation, footer, advert) then decides what differencing cannot.
 """
 
 from __future__ import annotations
 
 import html as entities
+import pickle
 import re
+import tempfile
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,10 @@ from tidemark.llm.urls import split_url
 CHROME, UNMARKED, MAIN = 0, 1, 2
 #: Pages of one block of the URL order, and the most blocks; beyond that blocks grow, which are read as streams.
 BLOCK_PAGES, MAX_BLOCKS = 2_000, 20_000
+#: Characters of a run of copies that wait in memory for the page behind it; what exceeds them waits on disk.
+HELD_CHARS = 16_000_000
+#: How a row came into a block: it is one of its pages, stands next to its border, or is the page beyond a run that crosses the border.
+OWN, NEAR, FAR = 0, 1, 2
 
 #: Element names of the HTML standard, by what they mean here.
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -269,15 +276,97 @@ def main_text(lines: list[str], regions: list[int], partner: list[str] | None) -
     return "\n".join(lines[i] for i in kept)
 
 
+def signature(lines: list[str], regions: list[int]) -> bytes:
+    """What :func:`copies` needs to know of a page."""
+    return xxhash.xxh3_128_digest("\n".join(lines).encode(errors="surrogatepass"))
+
+
+def copies(a: bytes, b: bytes) -> bool:
+    """Whether two pages, by their signatures, are copies of each other."""
+    return a == b
+
+
+class _Held:
+    """Pages of a run, in order, until the page behind the run is known."""
+
+    def __init__(self) -> None:
+        self.pages, self.size, self.file = [], 0, None
+
+    def add(self, page: tuple, size: int) -> None:
+        if self.size + size <= HELD_CHARS or not self.pages:
+            self.pages.append(page)
+            self.size += size
+        else:
+            self.file = self.file or tempfile.TemporaryFile()
+            pickle.dump(page, self.file)
+
+    def drain(self) -> Iterator[tuple]:
+        yield from self.pages
+        if self.file:
+            end = self.file.tell()
+            self.file.seek(0)
+            while self.file.tell() < end:
+                yield pickle.load(self.file)
+            self.file.close()
+        self.__init__()
+
+
+def _host(site: str) -> str:
+    return site.partition("\0")[0]
+
+
+def _summaries(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """``block, first_open, back_open, before, last_open, on_open, after`` of sorted ``(block, kind, place, signature)``.
+
+    ``first_open`` and ``last_open``: no border of the run of the block's first (last) page is in sight on the side where it
+    leaves the block. ``before`` is the place of the page before the last page's run, on its host, ``after`` that of the page behind
+    the first page's run; if ``back_open`` (``on_open``), the next block on that side knows it.
+    """
+    block = None
+    for row in rows:
+        if row[0] != block:
+            if block is not None:
+                yield block, first_open, back_open, before, own_run and last[1] == NEAR, not ended and last[1] == NEAR, after
+            block, seen, ended, own_run, first_open, back_open = row[0], False, False, False, False, False
+            run_before, before, after, from_guest = None, None, None, row[1] == NEAR
+        elif (same := _host(row[2][0]) == _host(last[2][0])) is False or not copies(row[3], last[3]):
+            if seen and not ended:
+                ended, after = True, row[2] if same else None
+            run_before, from_guest, own_run = last[2] if same else None, False, False
+        if row[1] == OWN:
+            if not seen:
+                seen, first_open = True, from_guest
+            own_run, before, back_open = True, run_before, from_guest
+        last = row
+    if block is not None:
+        yield block, first_open, back_open, before, own_run and last[1] == NEAR, not ended and last[1] == NEAR, after
+
+
+def _far_guests(summaries: list[tuple]) -> dict[tuple, list[int]]:
+    """Places of the pages beyond runs that cross borders, with the blocks that cannot see them."""
+    wanted: dict[tuple, list[int]] = {}
+    ordered = sorted(summaries, key=lambda s: s[0])
+    for side, way in (((1, 2, 3), ordered), ((4, 5, 6), ordered[::-1])):
+        known = None
+        for summary in way:
+            needs, passes, own = (summary[i] for i in side)
+            if needs and known is not None:
+                wanted.setdefault(known, []).append(summary[0])
+            known = known if passes else own
+    return wanted
+
+
 def extract_main_text(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``key, url, text, n_chars`` for every row of ``df``.
 
-    Null or empty pages have an empty text; null URLs share an empty host. A neighbour with the same lines is a copy and no
-    partner; a page without any other on its host has none. Repeated rows repeat.
+    Null or empty pages have an empty text; null URLs share an empty host. Copies that follow each other are a run, of which each
+    page meets the page before and the page behind the run, so copies fare alike; a page without another page than copies on
+    its host has no partner. Repeated rows repeat.
 
-    One shuffle of the parsed lines: blocks of the global order by host, path and key, found by a range sort of the keys alone, so a
-    host with a third of all pages spreads over many tasks. Pages next to a block's border are sent to both sides,
-    which makes the pairs independent of where borders fall. Blocks are read as sorted streams.
+    Blocks of the global order by host, path and key are found by a range sort of the keys alone, so a host with a third of all
+    pages spreads over many tasks. Pages next to a block's border are sent to both sides. A first pass over signatures finds the
+    pages beyond runs that cross borders, which are sent along, so pairs are independent of where borders fall. Blocks are read as
+    sorted streams; of a long run what exceeds HELD_CHARS waits in a temporary file.
     """
     keyed = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").cast("string").alias("url"), F.col(f"`{html}`").cast("string").alias("html"))
     parts = F.pandas_udf(lambda urls: urls.map(lambda u: "\0".join(split_url(u))), "string")
@@ -290,46 +379,88 @@ def extract_main_text(df: DataFrame, key: str = "page_id", url: str = "url", htm
     edges = sorted((tuple(r["low"]), tuple(r["high"])) for r in spans.collect())  # at most MAX_BLOCKS entries
     lows, highs = [low for low, _ in edges], [high for _, high in edges]
     kind = keyed.schema["key"].dataType.simpleString()
-    names = ["block", "guest", "site", "k", "mark", "key", "url", "lines", "regions"]
+    head = [("block", pa.int32()), ("guest", pa.int32()), ("site", pa.string()), ("k", pa.string()), ("mark", pa.int64()), ("h", pa.int64())]
+    names, order_by = [name for name, _ in head], ["block", "site", "k", "mark", "h", "guest"]
+
+    def placed(batch: pa.RecordBatch, far: dict) -> Iterator[tuple]:
+        """Row number, head, address, lines and regions of every page, once for each block that needs it."""
+        for i, (value, address, mark) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist())):
+            lines, regions = text_lines(batch.column(2)[i].as_py())
+            h = xxhash.xxh3_64_intdigest("\n".join(lines).encode(errors="surrogatepass") + bytes(regions)) - (1 << 63)
+            place = ("\0".join(split_url(address)), "" if value is None else str(value), mark, h)
+            block = max(0, bisect_right(lows, place[:3]) - 1)
+            targets = [(block, OWN)]
+            if block and place[:3] <= lows[block]:
+                targets.append((block - 1, NEAR))
+            if block + 1 < len(lows) and place[:3] >= highs[block]:
+                targets.append((block + 1, NEAR))
+            for target in (*targets, *((b, FAR) for b in far.get(place, ()))):
+                yield i, (*target, *place), address, lines, regions
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(*place, signature(lines, regions)) for _, place, _, lines, regions in placed(batch, {})]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, (_, t) in enumerate([*head, ("sig", pa.binary())])], [*names, "sig"])
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((r[0], r[1], r[2:6], r[6]) for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in range(7))))
+        for summary in _summaries(rows):
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(summary)], pa.binary())], ["summary"])
+
+    start = "block int, guest int, site string, k string, mark bigint, h bigint"
+    marked = keyed.withColumn("mark", F.xxhash64("url"))
+    far: dict[tuple, list[int]] = {}
+    if len(lows) > 1:
+        signed = marked.mapInArrow(sign, f"{start}, sig binary").repartition("block").sortWithinPartitions(*order_by)
+        far = _far_guests([pickle.loads(r["summary"]) for r in signed.mapInArrow(summarise, "summary binary").collect()])  # one for each block
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [*(t for _, t in head), pa.string(), pa.list_(pa.string()), pa.binary()]
         for batch in batches:
             out, places = [], []
-            for i, (value, address, mark) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist())):
-                site, k = "\0".join(split_url(address)), "" if value is None else str(value)
-                lines, regions = text_lines(batch.column(2)[i].as_py())
-                place = (site, k, mark)
-                block = max(0, bisect_right(lows, place) - 1)
-                targets = [(block, False)]
-                if block and place <= lows[block]:
-                    targets.append((block - 1, True))
-                if block + 1 < len(lows) and place >= highs[block]:
-                    targets.append((block + 1, True))
-                for target, guest in targets:
-                    out.append((target, guest, site, k, mark, address, lines, bytes(regions)))
-                    places.append(i)
-            kinds = [pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.int64(), None, pa.string(), pa.list_(pa.string()), pa.binary()]
-            columns = [pa.array([r[i if i < 5 else i - 1] for r in out], k) if i != 5 else batch.column(0).take(pa.array(places, pa.int64())) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    schema = f"block int, guest boolean, site string, k string, mark bigint, key {kind}, url string, lines array<string>, regions binary"
-    parsed = keyed.withColumn("mark", F.xxhash64("url")).mapInArrow(parse, schema)
-    blocks = parsed.repartition("block").sortWithinPartitions("block", "site", "k", "mark", "guest")
+            for i, place, address, lines, regions in placed(batch, far):
+                out.append((*place, address, lines, bytes(regions)))
+                places.append(i)
+            columns = [pa.array([r[c] for r in out], t) for c, t in enumerate(kinds)]
+            columns.insert(6, batch.column(0).take(pa.array(places, pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, [*names, "key", "url", "lines", "regions"])
+
+    parsed = marked.mapInArrow(parse, f"{start}, key {kind}, url string, lines array<string>, regions binary")
+    blocks = parsed.repartition("block").sortWithinPartitions(*order_by)
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def nearest(before, page, after):
-            """Lines of the better neighbour on the page's host."""
-            host, _, path = page[2].partition("\0")
-            best = None
+            """Lines of the better one of two pages on the page's host, unless they are its copies."""
+            path, best = page[2].partition("\0")[2], None
             for other in (before, after):
-                if other is not None and other[0] == page[0] and other[2].partition("\0")[0] == host and other[5] != page[5]:
+                if other is not None and not copies(other[-1], page[-1]):
                     near = shared_prefix(path, other[2].partition("\0")[2])
                     if best is None or near > best[0]:
                         best = (near, other[5])
             return best and best[1]
 
-        def result(before, page, after) -> list[tuple]:
-            return [] if page is None or page[1] else [(page[3], page[4], main_text(page[5], list(page[6]), nearest(before, page, after)))]
+        def results(held: _Held, before, after) -> Iterator[tuple]:
+            for page in held.drain():
+                yield page[3], page[4], main_text(page[5], list(page[6]), nearest(before, page, after))
+
+        def pages() -> Iterator[tuple]:
+            for batch in batches:
+                keys = batch.column(6)
+                for i, (block, guest, site, address, lines, regions) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 2, 7, 8, 9)))):
+                    yield block, guest, site, keys.take(pa.array([i])), address, lines, regions, signature(lines, list(regions))
+
+        def texts() -> Iterator[tuple]:
+            held, before, last = _Held(), None, None
+            for page in pages():
+                beside = last is not None and page[0] == last[0] and _host(page[2]) == _host(last[2])
+                # A page from afar is known not to be of the run.
+                if not beside or FAR in (page[1], last[1]) or not copies(page[-1], last[-1]):
+                    yield from results(held, before, page if beside else None)
+                    before = last if beside else None
+                if page[1] == OWN:
+                    held.add(page, sum(map(len, page[5])))
+                last = page
+            yield from results(held, before, None)
 
         def emit(rows: list[tuple]) -> pa.RecordBatch:
             keys = pa.concat_arrays([r[0] for r in rows])
@@ -338,17 +469,14 @@ def extract_main_text(df: DataFrame, key: str = "page_id", url: str = "url", htm
                 ["key", "url", "text", "n_chars"],
             )
 
-        before = page = None
-        for batch in batches:
-            out, keys = [], batch.column(5)
-            for i, (block, guest, site, address, lines, regions) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 2, 6, 7, 8)))):
-                after = (block, guest, site, keys.slice(i, 1), address, lines, regions)
-                out += result(before, page, after)
-                before, page = page, after
-            if out:
+        out = []
+        for row in texts():
+            out.append(row)
+            if len(out) == 1_000:
                 yield emit(out)
-        if last := result(before, page, None):
-            yield emit(last)
+                out = []
+        if out:
+            yield emit(out)
 
     found = blocks.mapInArrow(difference, f"key {kind}, url string, text string, n_chars bigint")
     return found.withColumnRenamed("key", key)
