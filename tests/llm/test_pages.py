@@ -99,6 +99,19 @@ def test_copies_meet_the_pages_around_their_run(spark, monkeypatch):
         assert {r["page_id"]: r["text"] for r in pages.extract_main_text(df).collect()} == want
 
 
+def test_near_copies_keep_their_story(spark, monkeypatch):
+    story = "".join(f"<p>paragraph {i} of the story</p>" for i in range(12))
+    rows = [(i, f"http://a.org/a/{i}", page(f"<p>site name</p>{story}<p>printed on day {i}</p><p>contact</p>"), None) for i in range(30)]
+    rows += [(100, "http://a.org/b", page("<p>site name</p><p>another story</p><p>contact</p>"), None)]
+    rows += [(200 + i, f"http://b.org/{i}", page(f"{story}<p>version {i}</p>"), None) for i in range(2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    told = "\n".join(f"paragraph {i} of the story" for i in range(12))
+    want = {i: f"{told}\nprinted on day {i}" for i in range(30)} | {100: "another story"} | {200 + i: f"{told}\nversion {i}" for i in range(2)}
+    for n in (1000, 3):
+        monkeypatch.setattr(pages, "BLOCK_PAGES", n)
+        assert {r["page_id"]: r["text"] for r in pages.extract_main_text(df).collect()} == want
+
+
 def test_no_pages(spark):
     assert pages.extract_main_text(spark.createDataFrame([], SCHEMA)).collect() == []
 

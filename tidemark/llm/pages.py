@@ -25,6 +25,8 @@ from tidemark.llm.urls import split_url
 CHROME, UNMARKED, MAIN = 0, 1, 2
 #: Pages of one block of the URL order, and the most blocks; beyond that blocks grow, which are read as streams.
 BLOCK_PAGES, MAX_BLOCKS = 2_000, 20_000
+#: Pages that share so much of their text outside of chrome are versions of one page and no partners: what they share is no template.
+COPY_PERCENT = 80
 #: Characters of a run of copies that wait in memory for the page behind it; what exceeds them waits on disk.
 HELD_CHARS = 16_000_000
 #: How a row came into a block: it is one of its pages, stands next to its border, or is the page beyond a run that crosses the border.
@@ -277,13 +279,26 @@ def main_text(lines: list[str], regions: list[int], partner: list[str] | None) -
 
 
 def signature(lines: list[str], regions: list[int]) -> bytes:
-    """What :func:`copies` needs to know of a page."""
-    return xxhash.xxh3_128_digest("\n".join(lines).encode(errors="surrogatepass"))
+    """What :func:`copies` needs to know of a page: hashes of its lines outside of chrome, ascending, then the characters of each."""
+    sizes: dict[int, int] = {}
+    for line, region in zip(lines, regions):
+        if region != CHROME:
+            h = xxhash.xxh3_64_intdigest(line.encode(errors="surrogatepass"))
+            sizes[h] = sizes.get(h, 0) + len(line)
+    hashes = sorted(sizes)
+    return np.array(hashes, np.uint64).tobytes() + np.array([sizes[h] for h in hashes], np.int64).tobytes()
 
 
 def copies(a: bytes, b: bytes) -> bool:
-    """Whether two pages, by their signatures, are copies of each other."""
-    return a == b
+    """Whether two pages, by their signatures, are copies or near copies: COPY_PERCENT of the larger one's characters are shared."""
+    if a == b:
+        return True
+    (x, n), (y, m) = ((np.frombuffer(s[: len(s) // 2], np.uint64), np.frombuffer(s[len(s) // 2 :], np.int64)) for s in (a, b))
+    small, large = sorted((int(n.sum()), int(m.sum())))
+    if 100 * small < COPY_PERCENT * large:
+        return False
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return 100 * int(np.minimum(n[i], m[j]).sum()) >= COPY_PERCENT * large
 
 
 class _Held:
@@ -359,7 +374,7 @@ def _far_guests(summaries: list[tuple]) -> dict[tuple, list[int]]:
 def extract_main_text(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``key, url, text, n_chars`` for every row of ``df``.
 
-    Null or empty pages have an empty text; null URLs share an empty host. Copies that follow each other are a run, of which each
+    Null or empty pages have an empty text; null URLs share an empty host. Copies and near copies that follow each other are a run, of which each
     page meets the page before and the page behind the run, so copies fare alike; a page without another page than copies on
     its host has no partner. Repeated rows repeat.
 
