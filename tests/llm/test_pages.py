@@ -112,6 +112,17 @@ def test_near_copies_keep_their_story(spark, monkeypatch):
         assert {r["page_id"]: r["text"] for r in pages.extract_main_text(df).collect()} == want
 
 
+def test_shared_lines_go_from_main_but_not_from_articles(spark):
+    rows = [
+        (1, "http://a.org/1", page("<main><p>join us today</p><p>the first story of all</p></main><p>out</p>"), None),
+        (2, "http://a.org/2", page("<main><p>join us today</p><p>quite another story</p></main>"), None),
+        (3, "http://b.org/1", page("<main><p>notice</p><article><p>a quotation</p><p>and what follows</p></article></main>"), None),
+        (4, "http://b.org/2", page("<main><p>notice</p><article><p>a quotation</p><p>then something else</p></article></main>"), None),
+    ]
+    got = {r["page_id"]: r["text"] for r in pages.extract_main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: "the first story of all", 2: "quite another story", 3: "a quotation\nand what follows", 4: "a quotation\nthen something else"}
+
+
 def test_no_pages(spark):
     assert pages.extract_main_text(spark.createDataFrame([], SCHEMA)).collect() == []
 

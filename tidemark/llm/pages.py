@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.urls import split_url
 
-CHROME, UNMARKED, MAIN = 0, 1, 2
+#: WRAPPED is inside a main element, but in no article.
+CHROME, UNMARKED, MAIN, WRAPPED = 0, 1, 2, 3
 #: Pages of one block of the URL order, and the most blocks; beyond that blocks grow, which are read as streams.
 BLOCK_PAGES, MAX_BLOCKS = 2_000, 20_000
 #: Pages that share so much of their text outside of chrome are versions of one page and no partners: what they share is no template.
@@ -75,7 +76,7 @@ def _region_of(tag: str, attributes: str, around: int, in_main: bool) -> int:
     if marks & _COMMENTS:
         return CHROME
     if tag in ("article", "main"):
-        return MAIN
+        return MAIN if tag == "article" or around == MAIN else WRAPPED
     if tag == "header" or "header" in marks:
         return CHROME if not in_main else around
     if marks & _MARKS and not marks & _CONTAINERS and tag not in ("body", "html"):
@@ -194,7 +195,7 @@ def text_lines(html: str | None) -> tuple[list[str], list[int]]:
         if tag in _BLOCK:
             while stack and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "dt", "dd", "td", "th", "tr") or stack[-1][0] not in _BLOCK):
                 stack.pop()
-        inside = _region_of(tag, token[3], region(), any(r == MAIN for _, r in stack))
+        inside = _region_of(tag, token[3], region(), any(r in (MAIN, WRAPPED) for _, r in stack))
         if tag in _BLOCK or inside != region() or any(name == tag for name, _ in stack):
             if tag not in _BLOCK and inside != region():
                 flush()
@@ -265,17 +266,17 @@ def shared_prefix(a: str, b: str) -> int:
 def main_text(lines: list[str], regions: list[int], partner: list[str] | None) -> str:
     """The lines that remain when those shared with ``partner`` are deleted.
 
-    Inside an article element sharing only means that the article stands twice, so its lines stay and all others go.
-    Without one, unmarked lines of the page's own remain; if the partner has all of them, the pages are copies and they stay.
+    Inside an article element sharing only means that the article stands twice, so its lines stay and those outside of it and of a
+    main element go. Elsewhere the page's own lines remain, those in a main element if there is one; if the partner has all of
+    them, they stay.
     """
+    articles = [i for i, r in enumerate(regions) if r == MAIN]
+    inside = WRAPPED if WRAPPED in regions else UNMARKED
+    if articles and inside == UNMARKED:
+        return "\n".join(lines[i] for i in articles)
     shared = common_lines(lines, partner) if partner else set()
-    own = [i for i, r in enumerate(regions) if i not in shared and r != CHROME]
-    main = [i for i, r in enumerate(regions) if r == MAIN]
-    if main:
-        kept = main
-    else:
-        kept = own or [i for i, r in enumerate(regions) if r == UNMARKED]
-    return "\n".join(lines[i] for i in kept)
+    kept = [i for i, r in enumerate(regions) if r == MAIN or r == inside and i not in shared]
+    return "\n".join(lines[i] for i in kept or [i for i, r in enumerate(regions) if r == inside])
 
 
 def signature(lines: list[str], regions: list[int]) -> bytes:
