@@ -78,6 +78,16 @@ def test_near_copies_do_not_teach_their_words(spark):
     assert not any(item.startswith("peculiar") for item in model.weights.get("word", {}))
 
 
+def test_an_id_of_many_rows_counts_once(spark):
+    docs, labels = made(40)
+    key = next(k for k, _, _ in labels if not fold(k))
+    docs += [(key, f"other text {i}", "") for i in range(200)] + [(key, None, "")]
+    rows = t.training_rows(spark.createDataFrame(docs, DOCS).repartition(4), spark.createDataFrame(labels, LABELS)).collect()
+    assert len(rows) == len({r["rid"] for r in rows}) == sum(not fold(k) for k, _, _ in labels)
+    assert all(r["text"] is not None for r in rows)
+    assert t.training_rows(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS), max_rows=7).count() == 7
+
+
 def test_odd_rows(spark, tables):
     _, labels, _ = tables
     rows = [(1, None, ""), (1, "", ""), (None, "x", ""), (2, "vilword " * 30_000, "")]

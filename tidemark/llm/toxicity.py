@@ -94,12 +94,16 @@ def remainder(key: Column) -> Column:
 def training_rows(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """``rid, toxic, text``, staged: at most ``max_rows`` labelled ids outside the held-out fold, smallest hash first.
 
-    Rows without a label or with a null id or label are left out; an id labelled twice counts as toxic if one label says so.
+    Rows without a label or with a null id or label are left out; an id labelled twice counts as toxic if one label says so. Of the
+    texts of one id the one with the smallest hash stands for it, so there are at most ``max_rows`` rows too.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = known.where(remainder(F.col("doc_id")) != 2).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # bounded by max_rows
-    return staged(rows.select(F.monotonically_increasing_id().alias("rid"), F.col("toxic").cast("int").alias("toxic"), "text"), "toxicity-rows")
+    numbered = documents.select("doc_id", "text", F.monotonically_increasing_id().alias("rid")).join(F.broadcast(picked), "doc_id")
+    # A minimum is combined in each task, so an id of very many rows is no hot key.
+    least = F.min(F.struct(F.col("text").isNull().alias("none"), F.xxhash64("text").alias("h"), "text", "rid")).alias("r")
+    rows = numbered.groupBy("doc_id").agg(least, F.first("toxic").alias("toxic"))
+    return staged(rows.select("r.rid", F.col("toxic").cast("int").alias("toxic"), "r.text"), "toxicity-rows")
 
 
 def _sketches(text: str | None, n: int = 3) -> list[int]:
