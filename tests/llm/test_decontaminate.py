@@ -64,6 +64,15 @@ def test_blocks_of_a_long_benchmark(spark, monkeypatch):
     assert run(spark, docs, items) == brute(docs, items)
 
 
+def test_blocks_agree_on_rows_without_a_fixed_order(spark, monkeypatch):
+    docs, items = made(6)
+    monkeypatch.setattr(d, "BLOCK_WORDS", 60)
+    a = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1)
+    a = a.mapInPandas(lambda frames: (f.sample(frac=1) for f in frames), a.schema)  # another order each time
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    assert sorted((tuple(r) for r in d.decontaminate(a, b).collect()), key=str) == brute(docs, items)
+
+
 def test_empty_tables(spark):
     docs, items = made(4)
     assert run(spark, docs, []) == brute(docs, [])

@@ -19,18 +19,19 @@ WINDOW = 10
 BLOCK_WORDS = 200_000
 
 
-def build_index(df: DataFrame, terms: list[str], text: str = "text", key: str = "doc_id") -> DataFrame:
+def build_index(df: DataFrame, terms: list[str], text: str = "text", key: str = "doc_id", rid: str | None = None) -> DataFrame:
     """``rid, key, n_words, ids``, staged: for each word of a text the hash of its term, 0 for words of no test text.
 
     ``terms`` is bounded by :data:`BLOCK_WORDS`. Hashes repeat, so the columnar file keeps them as a dictionary.
-    ``rid`` tells repeated rows apart. Texts without test words keep a null list, null texts have no words.
+    ``rid`` tells repeated rows apart: a column of ``df`` if one is named, else rows are numbered here. Texts without test words keep a null list, null texts have no words.
     """
 
     def read(words):
         ids = F.transform(words, lambda w: F.when(w.isin(terms), F.xxhash64(w)).otherwise(F.lit(0)))
         return F.struct(F.size(words).cast("bigint").alias("n_words"), ids.alias("ids"))
 
-    texts = df.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{key}`").alias("key"), let(words_of(F.col(f"`{text}`").cast("string")), read).alias("r"))
+    number = F.col(f"`{rid}`") if rid else F.monotonically_increasing_id()
+    texts = df.select(number.alias("rid"), F.col(f"`{key}`").alias("key"), let(words_of(F.col(f"`{text}`").cast("string")), read).alias("r"))
     return staged(texts.select("rid", "key", "r.n_words", "r.ids"), "positional-index")
 
 
@@ -114,11 +115,16 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text"
     tests = benchmark.select(F.col(f"`{item}`").alias("item_id"), F.col(f"`{item_text}`").cast("string").alias("text"))
     words = tests.select("item_id", "text", F.size(words_of(F.col("text"))).alias("n"))
     blocks = max(1, -(-(words.agg(F.sum("n")).first()[0] or 0) // BLOCK_WORDS))
-    found, index = [], None
+    found, index, number = [], None, None
+    if blocks > 1:  # rows keep one number in all blocks, whatever order they come in
+        rows = documents.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+        documents, text, source, number = staged(rows, "numbered-documents"), "text", "key", "rid"
+    else:
+        source = key
     for block in range(blocks):
         part = tests.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block) if blocks > 1 else tests
         terms = [row["w"] for row in part.select(F.explode(words_of(F.col("text"))).alias("w")).distinct().collect()]
-        index = build_index(documents, terms or [""], text, key)
+        index = build_index(documents, terms or [""], text, source, number)
         found.append(phrase_matches(index, test_windows(part)))
     matches = reduce(DataFrame.unionByName, found)
     hits = matches.groupBy("rid").agg(
