@@ -22,6 +22,9 @@ COLUMNS = {
     "op8": "doc_id n_words n_hit n_items items_sha256 contaminated",
     "op9": "doc_id n_words n_base first_word last_word base_labels labels score",
     "op10": "doc_id held_out score predicted",
+    "op11": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op12": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op13": "doc_id n_features weight score rank",
 }
 
 

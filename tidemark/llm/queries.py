@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, chat, decontaminate, jaccard, licenses, pages, suffix, toxicity, urls
+from tidemark.llm import ann, bpe, chat, decontaminate, jaccard, licenses, pages, pieces, resampling, runs, suffix, toxicity, urls
 from tidemark.llm.common import table
 
 
@@ -143,6 +143,33 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the public piece model and decoded again."""
+    return pieces.piece_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, a tenth of which have one planted, and the text without their repeats."""
+    found = runs.detect_runs(runs.with_planted_runs(table(spark, sf_dir, "documents")))
+    best = runs.strongest_run(F.col("runs"))
+    lines = F.transform("runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document weighed towards the benchmark, a twentieth of those of 20 words drawn."""
+    return resampling.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_learned_partitions": op1_learned_partitions,
@@ -155,6 +182,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_license_scan": op9_license_scan,
         "op10_toxicity": op10_toxicity,
+        "op11_sentencepiece": op11_sentencepiece,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_importance_resampling": op13_importance_resampling,
     }
 
 
