@@ -1,19 +1,31 @@
 from __future__ import annotations
 
+import os
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
+from tidemark.operators import upsert as upsert_module
+from tidemark.operators.state import StateLog
 from tidemark.operators.upsert import (
+    _BY_BUCKET,
+    _newest,
+    _replace_columns,
+    _replace_rows,
+    _Version,
+    _versions,
+    bucket_column,
+    expire_versions,
     merge_columns,
     newest_per_key,
     read_current,
     upsert,
     upsert_into,
 )
-from tidemark.session import scratch_path
+from tidemark.session import runtime_conf, scratch_path
 
 DDL = "k bigint, v string, at int"
 
@@ -139,3 +151,130 @@ def test_the_newest_row_travels_once(spark):
     df = spark.range(10).select(F.col("id").alias("k"), F.lit("payload").alias("p"), F.lit(1).alias("v"))
     plan = newest_per_key(df, ["k"], ["v"])._jdf.queryExecution().optimizedPlan().toString()
     assert "max_by" not in plan
+
+
+def folders(version):
+    """Files of each bucket a version reaches."""
+    return {folder: sorted(f for f in os.listdir(folder) if not f.startswith((".", "_"))) for folder in version.folders()}
+
+
+def current_version(spark, base):
+    return _Version.of(_newest(_versions(spark, base)))
+
+
+def test_only_the_touched_buckets_are_rewritten(spark):
+    base = scratch_path(spark, "buckets")
+    upsert_into(spark, base, frame(spark, [(k, "a", 0) for k in range(200)]), ["k"], "r1", buckets=16)
+    before = current_version(spark, base)
+    updates = frame(spark, [(5, "b", 1), (1000, "new", 1)])
+    touched = {r[0] for r in updates.select(bucket_column(updates, ["k"], 16)).collect()}
+    for version, mode in [("r2", "upsert"), ("r3", "merge")]:
+        old = folders(current_version(spark, base))
+        upsert_into(spark, base, updates, ["k"], version, mode=mode)
+        after = current_version(spark, base)
+        new = folders(after)
+        bucket = {folder: int(folder.rsplit("=", 1)[1]) for folder in {*old, *new}}
+        assert {f: names for f, names in old.items() if bucket[f] not in touched} == {
+            f: names for f, names in new.items() if bucket[f] not in touched
+        }
+        assert not {f for f in old if bucket[f] in touched} & set(new)
+        assert sorted(bucket[f] for f in new) == list(range(16)) and after.buckets == before.buckets == 16
+    assert rows(read_current(spark, base)) == sorted([(k, "b" if k == 5 else "a", int(k == 5)) for k in range(200)] + [(1000, "new", 1)])
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+@pytest.mark.parametrize("mode", ["upsert", "merge"])
+def test_many_versions_against_a_dictionary(spark, mode, threshold):
+    """Null keys, two-part keys, a hot key, retries, wider key types and buckets that change, broadcast and shuffled."""
+    pick, base = random.Random(f"{mode}{threshold}"), scratch_path(spark, "model")
+    model, count = {}, 4
+    with runtime_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": threshold}):
+        for turn in range(5):
+            kind = "int" if turn < 3 else "bigint"
+            batch = [(pick.choice([None, 7, *range(12)]), pick.choice(["x", None, "y"]), pick.random(), turn * 100 + i) for i in range(pick.choice([1, 3, 40]))]
+            batch += [(7, "x", 0.5, turn * 100 + 50 + i) for i in range(20)]
+            df = spark.createDataFrame(batch, f"a {kind}, b string, _bucket double, at int")
+            if mode == "merge" and turn:
+                df = df.drop("_bucket")
+            count = 9 if turn == 4 else count
+            if turn == 2:
+                upsert_into(spark, base, df.limit(1), ["a", "b"], f"v{turn}", ["at"], mode=mode, buckets=count)  # failed, repeated below
+            upsert_into(spark, base, df, ["a", "b"], f"v{turn}", ["at"], mode=mode, buckets=count)
+            for a, b, extra, at in sorted(batch, key=lambda r: r[3]):
+                old = model.get((a, b), (None, None))
+                model[a, b] = (old[0] if mode == "merge" and turn else extra, at)
+            got = {(r.a, r.b): (r["_bucket"], r.at) for r in read_current(spark, base).collect()}
+            assert got == model and read_current(spark, base).count() == len(model)
+            version = current_version(spark, base)
+            assert version.buckets == count and all(len(names) <= 2 for names in folders(version).values())
+
+
+def test_large_updates_shuffle_each_side_once(spark):
+    base = scratch_path(spark, "plan")
+    spark.range(1000).select(F.col("id").alias("k"), F.lit("a").alias("v"), F.col("id").alias("w")).write.parquet(base)
+    for change, more in [(_replace_rows, {}), (_replace_columns, {"one_pass": True})]:
+        with runtime_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", **_BY_BUCKET}):
+            tables = [spark.read.parquet(base), spark.read.parquet(base).where("k > 5")]
+            sides = [df.withColumn("b", bucket_column(df, ["k"], 8)).repartition(8, "b") for df in tables]
+            changed = change(*sides, ["k"], "b", **more)
+            changed.write.format("noop").mode("overwrite").save()
+            plan = changed._jdf.queryExecution().executedPlan().toString()
+        dealt = [line for line in plan.splitlines() if "Exchange" in line and "ReusedExchange" not in line]
+        assert "SortMergeJoin" in plan and len(dealt) == (3 if change is _replace_rows else 2)
+        assert not any("ENSURE_REQUIREMENTS" in line for line in dealt)
+
+
+def test_tables_grow_into_buckets_as_their_size_calls_for(spark, monkeypatch):
+    monkeypatch.setattr(upsert_module, "BUCKET_BYTES", 2000)
+    base = scratch_path(spark, "grow")
+    counts = []
+    for turn in range(4):
+        n = 50 * 4**turn
+        df = spark.range(n).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        upsert_into(spark, base, df, ["k"], f"v{turn}")
+        counts.append(current_version(spark, base).buckets)
+        assert read_current(spark, base).count() == n
+    assert counts[0] == 1 and counts == sorted(counts) and counts[-1] > 4
+
+
+def test_a_wider_column_rewrites_every_bucket(spark):
+    base = scratch_path(spark, "wider")
+    upsert_into(spark, base, spark.range(40).select(F.col("id").cast("int").alias("k"), F.lit(1).alias("v")), ["k"], "r1", buckets=4)
+    upsert_into(spark, base, spark.createDataFrame([(2**40, 2**41)], "k bigint, v bigint"), ["k"], "r2")
+    table = read_current(spark, base)
+    assert dict(table.dtypes) == {"k": "bigint", "v": "bigint"} and table.agg(F.sum("v")).first()[0] == 40 + 2**41
+    upsert_into(spark, base, spark.createDataFrame([(3, 9)], "k int, v int"), ["k"], "r3")
+    assert read_current(spark, base).where("k = 3").first().v == 9 and read_current(spark, base).count() == 41
+
+
+def test_minus_zero_and_null_keys_share_their_bucket(spark):
+    df = spark.createDataFrame([(0.0, None), (-0.0, None), (float("nan"), "x"), (float("nan"), "x")], "d double, s string")
+    got = [r[0] for r in df.select(bucket_column(df, ["d", "s"], 1000)).collect()]
+    assert got[0] == got[1] and got[2] == got[3]
+
+
+def test_a_table_without_buckets_in_its_pointer_is_read_and_rewritten(spark):
+    base = scratch_path(spark, "older")
+    frame(spark, [(1, "a", 0), (2, "b", 0)]).write.parquet(f"{base}/data/version=r0/attempt=1")
+    old = "version string, path string, updated_at timestamp, seq bigint"
+    entry = {"version": "r0", "path": f"{base}/data/version=r0/attempt=1", "updated_at": datetime(2024, 1, 1), "seq": 1}
+    StateLog(spark, f"{base}/pointer", old).append(entry)
+    assert rows(read_current(spark, base)) == [(1, "a", 0), (2, "b", 0)]
+    upsert_into(spark, base, frame(spark, [(2, "c", 1)]), ["k"], "r1", buckets=3)
+    assert rows(read_current(spark, base)) == [(1, "a", 0), (2, "c", 1)] and current_version(spark, base).buckets == 3
+
+
+def test_expiry_keeps_what_the_newest_versions_reach(spark):
+    base = scratch_path(spark, "expire")
+    assert expire_versions(spark, base) == []
+    for turn in range(5):
+        upsert_into(spark, base, frame(spark, [(k, f"v{turn}", turn) for k in ([1, 2, 3] if turn == 0 else [turn])]), ["k"], f"r{turn}", buckets=8)
+    want = rows(read_current(spark, base))
+    assert expire_versions(spark, base) == []  # everything is younger than a week
+    reader = read_current(spark, base)
+    gone = expire_versions(spark, base, older_than=timedelta(0))
+    assert gone and not any(os.path.exists(path) for path in gone)
+    assert rows(read_current(spark, base)) == rows(reader) == want
+    assert expire_versions(spark, base, older_than=timedelta(0)) == []
+    with pytest.raises(ValueError):
+        expire_versions(spark, base, keep=0)

@@ -313,7 +313,8 @@ class _Run:
             version = sanitize_run_id(self.run_id)
             path = upsert_into(
                 self.spark, base, rows, sink.keys, version, sink.order_by,
-                mode=sink.mode, file_format=sink.file_format, unique=sink.unique_keys, observation=seen,
+                mode=sink.mode, file_format=sink.file_format, unique=sink.unique_keys,
+                buckets=sink.buckets, observation=seen,
             )
         else:
             # A run id that has landed before replaces its own leaf, also where runs append.

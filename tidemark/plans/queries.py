@@ -475,6 +475,25 @@ def sink_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(spark, base)
 
 
+@query(
+    "WITH top AS (SELECT max(o_totalprice) * 0.99 AS price FROM orders) SELECT o_orderkey, "
+    "CASE WHEN o_totalprice >= price THEN 'X' ELSE o_orderstatus END AS o_orderstatus, "
+    "CASE WHEN o_totalprice >= price THEN o_totalprice / 2 ELSE o_totalprice END AS o_totalprice FROM orders, top"
+)
+def sink_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few keys of a table in 32 buckets change, first whole rows, then one column."""
+    base = scratch_path(spark, "upsert-buckets")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    top = orders.agg((F.max("o_totalprice") * 0.99).alias("price"))
+    costly = orders.join(F.broadcast(top), F.col("o_totalprice") >= F.col("price")).drop("price")
+    upsert_into(spark, base, orders, ["o_orderkey"], "run_1", unique=True, buckets=32)
+    halved = costly.withColumn("o_totalprice", F.col("o_totalprice") / 2)
+    upsert_into(spark, base, halved, ["o_orderkey"], "run_2", unique=True)
+    marked = costly.select("o_orderkey", F.lit("X").alias("o_orderstatus"))
+    upsert_into(spark, base, marked, ["o_orderkey"], "run_3", unique=True, mode="merge")
+    return read_current(spark, base)
+
+
 @query("SELECT * FROM supplier")
 def passthrough_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = land(_table(spark, sf_dir, "supplier"), scratch_path(spark, "copy-source"))

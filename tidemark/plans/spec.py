@@ -115,7 +115,8 @@ class Sink:
     """Where and how rows land. ``upsert`` and ``merge`` keep a keyed, versioned table.
 
     ``unique_keys`` states that a run never reads one key twice, as from a table whose
-    primary key it is, and spares the shuffle that would make sure.
+    primary key it is, and spares the shuffle that would make sure. ``buckets`` sets the number
+    of hash buckets of a keyed table, which otherwise follows its size.
     """
 
     endpoint: str = ""
@@ -126,6 +127,7 @@ class Sink:
     keys: tuple[str, ...] = ()
     order_by: tuple[str, ...] = ()
     unique_keys: bool = False
+    buckets: int | None = None
     schema: str | None = None
     on_mismatch: str = "fail"
     write_options: dict[str, Any] = field(default_factory=dict)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +50,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(parsed)
 
 
+def folder_entries(spark: SparkSession, path: str) -> list[tuple[str, datetime]]:
+    """Name and modification time of everything directly in a folder; an absent one is empty."""
+    parsed, file_system = _hadoop_path(spark, path)
+    if not file_system.exists(parsed):
+        return []
+    found = file_system.listStatus(parsed)
+    return [(e.getPath().getName(), datetime.fromtimestamp(e.getModificationTime() / 1000, tz=timezone.utc)) for e in found]
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path, from the file system's own summary."""
+    parsed, file_system = _hadoop_path(spark, path)
+    return file_system.getContentSummary(parsed).getLength() if file_system.exists(parsed) else 0
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    parsed, file_system = _hadoop_path(spark, path)
+    file_system.delete(parsed, True)
+
+
+def broadcast_bytes(spark: SparkSession) -> int:
+    """The size up to which the session broadcasts a side of a join by itself; -1 for never."""
+    jvm_conf = spark._jsparkSession.sessionState().conf()
+    return int(jvm_conf.autoBroadcastJoinThreshold())
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with the scheme Spark would read it by; bare paths get the default file system."""
     if "://" in path:
