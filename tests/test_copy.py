@@ -13,8 +13,10 @@ from pyspark import cloudpickle
 from tidemark.operators import copy
 from tidemark.operators.copy import copy_files
 from tidemark.operators.landing import land
+from tidemark.operators.listing import changed_files
 from tidemark.session import scratch_path
-from tidemark.sources.files import read_files
+from tidemark.sources import files, stores
+from tidemark.sources.files import file_inventory, read_files
 
 
 def digests(root):
@@ -127,3 +129,34 @@ def test_uris_are_taken_apart_as_written():
 
     assert split_uri("hdfs://n:8020/a b#c?d") == ("hdfs", "n:8020", "/a b#c?d")
     assert split_uri("/x/y:z") == ("", "", "/x/y:z") and split_uri("file:/x") == ("file", "", "/x")
+
+
+def test_a_task_walks_so_many_folders_and_hands_on_the_rest(spark, tmp_path, monkeypatch):
+    want = {}
+    for i in range(60):
+        folder = tmp_path / "deep" / f"a{i % 7}" / f"b{i % 11}" / f"_c{i}"
+        folder.mkdir(parents=True)
+        (folder / f"f{i}").write_bytes(b"x" * i)
+        want[f"file:{folder}/f{i}"] = i
+    (tmp_path / "deep" / "empty").mkdir()
+    monkeypatch.setattr(files, "tree_lister", lambda settings, recursive: stores.tree_lister(settings, recursive, 3))
+    got = file_inventory(spark, str(tmp_path / "deep"), recursive=True).collect()
+    assert {r.path: r.length for r in got} == want and len(got) == 60
+    assert file_inventory(spark, str(tmp_path / "deep")).collect() == []
+    assert [r.length for r in file_inventory(spark, f"{tmp_path}/deep/a3/b3/_c3/f3", recursive=True).collect()] == [3]
+
+
+def test_changed_files_are_new_paths_and_other_sizes_or_times(spark):
+    ddl = "path string, modificationTime timestamp, length bigint"
+    day = [datetime(2024, 1, d) for d in range(1, 10)]
+    seen = spark.createDataFrame([("a", day[1], 1), ("b", day[1], 1), ("c", day[1], 1), ("d", None, 1), ("gone", day[1], 1)], ddl)
+    now = spark.createDataFrame([("a", day[1], 1), ("b", day[0], 1), ("c", day[1], 2), ("d", None, 1), ("old", day[0], 1), ("same", day[1], 1)], ddl)
+    assert [r.path for r in changed_files(now, seen).orderBy("path").collect()] == ["b", "c", "old", "same"]
+    assert changed_files(now, seen.limit(0)).count() == 6 and changed_files(now.limit(0), seen).count() == 0
+
+
+def test_a_listing_made_before_is_not_made_again(spark, tree, tmp_path, monkeypatch):
+    found = file_inventory(spark, tree, recursive=True)
+    monkeypatch.setattr(copy, "file_inventory", None)
+    copy_files(spark, tree, str(tmp_path / "some"), files=found.where("length > 100"))
+    assert set(digests(tmp_path / "some")) == {"_SUCCESS", "a.bin", "z"}

@@ -187,7 +187,7 @@ def test_a_failing_event_log_never_hides_the_error(spark, monkeypatch):
 
 
 def test_failing_mark_fails_the_run_unless_a_full_read_is_asked_for(spark, monkeypatch):
-    def broken(*_):
+    def broken(*_, **__):
         raise RuntimeError("source is down")
 
     monkeypatch.setattr(pipeline, "high_water_text", broken)
@@ -272,6 +272,82 @@ def test_copy_mode_takes_whole_tree_or_only_new_files(spark, tmp_path):
     assert sorted(os.listdir(fresh.event("r2").path)) == ["_SUCCESS", "c.csv"]
 
 
+def put(folder, name, text, day):
+    (folder / name).parent.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text)
+    os.utime(folder / name, (day * 86400, day * 86400))
+
+
+def copied(job, run_id):
+    root = job.event(run_id).path
+    return sorted(os.path.relpath(os.path.join(d, f), root) for d, _, names in os.walk(root) for f in names if f != "_SUCCESS")
+
+
+def test_files_of_equal_and_older_times_are_copied_exactly_once(spark, tmp_path):
+    drop = tmp_path / "drop"
+    put(drop, "a.csv", "a", 5)
+    put(drop, "b.csv", "b", 3)
+    job = Job(spark, read_type="file", source={"path": str(drop), "modified_only": True})
+    assert job.run("r1").record_count == 2
+    put(drop, "same.csv", "x", 5)
+    put(drop, "sub/older.csv", "y", 1)
+    put(drop, "newer.csv", "z", 9)
+    assert job.run("r2").record_count == 3 and copied(job, "r2") == ["newer.csv", "same.csv", "sub/older.csv"]
+    assert job.run("r3").record_count == 0
+    put(drop, "b.csv", "bb", 3)  # another size at the old time
+    put(drop, "a.csv", "c", 2)  # an older time
+    (drop / "newer.csv").unlink()
+    assert job.run("r4").record_count == 2 and copied(job, "r4") == ["a.csv", "b.csv"]
+    assert job.state.checkpoint("job") == "1970-01-10 00:00:00+00:00"
+    put(drop, "newer.csv", "z", 9)  # back again
+    assert job.run("r5").record_count == 1
+
+
+def test_a_repeated_copy_run_repeats_its_own_difference(spark, tmp_path, monkeypatch):
+    drop = tmp_path / "drop"
+    put(drop, "a", "1", 1)
+    job = Job(spark, read_type="file", source={"path": str(drop), "modified_only": True})
+    job.run("r1")
+    put(drop, "b", "2", 1)
+
+    def broken(*_, **__):
+        raise OSError("disk")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "copy_files", broken)
+        with pytest.raises(OSError):
+            job.run("r2")
+    assert job.run("r2").record_count == 1 and copied(job, "r2") == ["b"]
+    put(drop, "c", "3", 1)
+    with pytest.raises(OSError):
+        job.run("r3", publish=broken)  # landed and recorded, but nothing moved
+    put(drop, "d", "4", 1)
+    assert job.run("r3").record_count == 1 and copied(job, "r3") == ["c"]
+    assert job.run("r4").record_count == 1 and copied(job, "r4") == ["d"]
+    assert job.run("r2").record_count == 1 and copied(job, "r2") == ["b"]  # later listings stay
+    assert job.run("r5").record_count == 0
+
+
+def test_a_checkpoint_from_before_listings_bounds_the_first_difference(spark, tmp_path):
+    drop = tmp_path / "drop"
+    put(drop, "old", "1", 1)
+    put(drop, "new", "2", 3)
+    job = Job(spark, read_type="file", source={"path": str(drop), "modified_only": True})
+    job.state.save_checkpoint("job", "1970-01-03 00:00:00+00:00")
+    assert job.run("r1").record_count == 1 and copied(job, "r1") == ["new"]
+    put(drop, "late", "3", 2)
+    assert job.run("r2").record_count == 1 and copied(job, "r2") == ["late"]
+
+
+def test_a_backfill_bound_leaves_later_files_to_the_next_run(spark, tmp_path):
+    drop = tmp_path / "drop"
+    put(drop, "a", "1", 1)
+    put(drop, "b", "2", 5)
+    job = Job(spark, read_type="file", source={"path": str(drop), "modified_only": True})
+    assert job.run("r1", checkpoint_to="1970-01-04 00:00:00+00:00").record_count == 1
+    assert job.run("r2").record_count == 1 and copied(job, "r2") == ["b"]
+
+
 def topic(spark, n):
     return spark.range(n).select(
         F.lit(None).cast("binary").alias("key"),

@@ -100,6 +100,7 @@ def copy_files(
     *,
     modified_after: datetime | str | None = None,
     modified_until: datetime | str | None = None,
+    files: DataFrame | None = None,
     chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Copy every file below ``source`` and return the manifest ``src, dst, bytes``.
@@ -108,14 +109,14 @@ def copy_files(
     chunks copied by different tasks; elsewhere one task streams one file. The source is
     kept, existing files are overwritten, and the bytes are not parsed. Empty files and
     names starting with ``_`` or ``.`` are copied too; ``_SUCCESS`` is written in any case.
+    ``files`` is a listing of the source made before, or a part of one; without it the source is listed here.
     Keys, region and endpoint of an S3 store come from the session's Hadoop configuration.
     """
     target = qualified(spark, destination.rstrip("/"))
     root = qualified(spark, normalize_scheme(source))
     settings = (store_settings(spark, root), store_settings(spark, target))
-    files = incremental_window(
-        file_inventory(spark, source, recursive=True), "modificationTime", modified_after, modified_until
-    )
+    listed = file_inventory(spark, source, recursive=True) if files is None else files
+    files = incremental_window(listed, "modificationTime", modified_after, modified_until)
     size = F.col("length")
     step = F.lit(chunk_bytes).cast("bigint") if is_posix(target) else size
     chunks = files.select(

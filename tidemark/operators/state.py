@@ -26,6 +26,8 @@ EVENT_SCHEMA = (
     "record_count bigint, path string, error string, extra map<string,string>, seq bigint"
 )
 
+LISTING_SCHEMA = "dag_id string, listing string, updated_at timestamp, seq bigint"
+
 Event = dict[str, Any]
 
 
@@ -96,6 +98,7 @@ class RunState:
         self.spark, self.root = spark, root
         self.checkpoint_log = StateLog(spark, f"{root}/checkpoints", CHECKPOINT_SCHEMA)
         self.event_log = StateLog(spark, f"{root}/run_events", EVENT_SCHEMA)
+        self.listing_log = StateLog(spark, f"{root}/listings", LISTING_SCHEMA)
 
     def _own(self, log: StateLog, dag_id: str) -> StateLog:
         folder = f"{log.path}/pipeline={sanitize_run_id(dag_id)}"
@@ -121,6 +124,24 @@ class RunState:
         self._own(self.checkpoint_log, dag_id).append(entry | {"updated_at": now_utc(), "seq": sequence_number()})
         return True
 
+    def listing(self, dag_id: str) -> str | None:
+        """Where the file listing lies that the pipeline has copied everything of; null before the first."""
+        own = self._own(self.listing_log, dag_id)
+        if not own.exists():
+            return None
+        last = newest(own.read().where(F.col("dag_id") == dag_id), "updated_at", "seq")
+        return None if last is None else last.listing
+
+    def keep_listing(self, dag_id: str, files: DataFrame) -> str:
+        """Write a listing down for good and return its path; :meth:`save_listing` makes it the pipeline's own."""
+        path = f"{self.root}/listed_files/pipeline={sanitize_run_id(dag_id)}/listing={sequence_number()}"
+        files.write.parquet(path)
+        return path
+
+    def save_listing(self, dag_id: str, path: str) -> None:
+        entry = {"dag_id": dag_id, "listing": path}
+        self._own(self.listing_log, dag_id).append(entry | {"updated_at": now_utc(), "seq": sequence_number()})
+
     def events(self) -> DataFrame:
         return self.event_log.read()
 

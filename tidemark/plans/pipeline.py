@@ -27,6 +27,7 @@ from tidemark.operators.aggregates import high_water_text, record_count
 from tidemark.operators.conform import conform
 from tidemark.operators.copy import copy_files
 from tidemark.operators.landing import counted, land
+from tidemark.operators.listing import changed_files
 from tidemark.operators.offsets import end_offsets, offset_map_json, offset_range
 from tidemark.operators.state import RunState, now_utc
 from tidemark.operators.upsert import upsert_into
@@ -105,6 +106,7 @@ def run_pipeline(
             "ingestion_date": moment.date(),
             "record_count": result.record_count,
             "path": result.path,
+            **run.notes,
         }
         recorded = state.append_event(event, extra)
         if publish is not None:
@@ -114,6 +116,8 @@ def run_pipeline(
             if advanced is None and result.checkpoint_to is not None:
                 log.warning("%s: bound %s is not above the stored one", run_id, result.checkpoint_to)
             state.save_checkpoint(spec.dag_id, advanced)
+        if run.notes and (before is None or state.listing(spec.dag_id) == run.notes["listed_before"]):
+            state.save_listing(spec.dag_id, run.notes["listing"])
         return result
     except Exception as error:
         failed = event | {"status": "failed", "stop_time": now_utc(), "error": str(error)}
@@ -145,6 +149,8 @@ class _Run:
     end_offsets: Callable[[KafkaSource], OffsetMap] | None = None
     # Type of the checkpoint column, once the source has been seen.
     kinds: list[T.DataType] = field(default_factory=list)
+    # What a file copy has compared: the listing of its source, and the one before.
+    notes: dict[str, str | None] = field(default_factory=dict)
 
     def advanced(self, stored: str | None, reached: str | None) -> str | None:
         """What to store after a run that reached a bound: null unless that is above the stored one.
@@ -326,18 +332,40 @@ class _Run:
         return RunResult(path, low, high, None if seen is None else counted(seen))
 
     def _copy(self, source: PathSource, low: str | None, fixed: str | None) -> RunResult:
-        high, bounded = None, False
-        if source.checkpoint_column or source.modified_only:
+        if not source.modified_only:
             files = file_inventory(self.spark, source.path, recursive=True)
-            self.kinds.append(T.TimestampType())
-            high, bounded = self._mark(files, "modificationTime", fixed)
-        window = (low, high) if source.modified_only and bounded else (None, None)
+            high = self._newest_file(files, fixed) if source.checkpoint_column else None
+            return self._copied(source, files, low, high)
+        repeated = dict(self.before.extra or {}) if self.before is not None else {}
+        if "listing" in repeated:
+            listing, seen, high = repeated["listing"], repeated.get("listed_before"), fixed
+            files = read_files(self.spark, listing)
+        else:
+            files = file_inventory(self.spark, source.path, recursive=True)
+            if fixed is not None:
+                files = incremental_window(files, "modificationTime", None, fixed)
+            high, seen = self._newest_file(files, fixed), self.state.listing(self.spec.dag_id)
+            if self.before is not None:  # landed before listings were kept
+                files = incremental_window(files, "modificationTime", low, high)
+                return self._copied(source, files, low, high)
+            listing = self.state.keep_listing(self.spec.dag_id, files)
+            files = read_files(self.spark, listing)
+        self.notes.update(listing=listing, listed_before=seen)
+        if seen is not None:
+            files = changed_files(files, read_files(self.spark, seen))
+        elif low is not None:  # a checkpoint from before listings were kept
+            files = incremental_window(files, "modificationTime", low, high)
+        return self._copied(source, files, low, high)
+
+    def _newest_file(self, files: DataFrame, fixed: str | None) -> str | None:
+        self.kinds.append(T.TimestampType())
+        return self._mark(files, "modificationTime", fixed)[0]
+
+    def _copied(self, source: PathSource, files: DataFrame, low: str | None, high: str | None) -> RunResult:
         path = self._path()
-        manifest = copy_files(
-            self.spark, source.path, path, modified_after=window[0], modified_until=window[1]
-        )
+        manifest = copy_files(self.spark, source.path, path, files=files)
         count = record_count(manifest).first().cnt if self.spec.count_records else None
-        return RunResult(path, low, high, count)
+        return RunResult(path, low, low if high is None else high, count)
 
     def _kafka(self, source: KafkaSource, low: str | None, fixed: str | None) -> RunResult:
         start = low or source.starting_offsets

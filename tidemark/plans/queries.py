@@ -38,7 +38,7 @@ from tidemark.operators.upsert import read_current, upsert_into
 from tidemark.operators.window import apply_filters, incremental_window
 from tidemark.plans.pipeline import run_pipeline
 from tidemark.plans.spec import PipelineSpec
-from tidemark.session import scratch_path
+from tidemark.session import move_folder, scratch_path
 from tidemark.sources.connector import Read, custom_query, load
 from tidemark.sources.files import read_files
 from tidemark.sources.jdbc import split_predicates
@@ -710,6 +710,31 @@ def pipeline_file_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, landed).drop("ingestion_date", "ingestion_time")
 
 
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def pipeline_changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file tree grows between the runs by files that are older than what was copied before; each arrives once."""
+    root = scratch_path(spark, "changed-files")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    spec = PipelineSpec.from_dict(
+        "orders_parts",
+        {
+            "read_type": "file",
+            "write_type": "hadoop",
+            "source": {"path": f"{root}/drop", "modified_only": True},
+            "sink": {"endpoint": f"{root}/landing", "source_system_name": "sftp"},
+        },
+    )
+    # Every status is written before the first run and enters the tree, with its old time, before its own run.
+    made = land(orders, f"{root}/made", partition_by=["o_orderstatus"])
+    state = RunState(spark, f"{root}/state")
+    for run, status in enumerate(["P", "O", "F", None], 1):
+        if status is not None:
+            move_folder(spark, f"{made}/o_orderstatus={status}", f"{root}/drop/o_orderstatus={status}")
+        run_pipeline(spark, spec, state, f"run_{run}", datetime(2024, 1, 15))
+    landed = "/".join([root, "landing", "sftp", *spec.source.segments()])
+    return read_landing(spark, landed).select("o_orderkey", "o_totalprice", "o_orderstatus")
+
+
 @query("SELECT * FROM events")
 def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, events = scratch_path(spark, "stream"), _file(spark, sf_dir, "events")

@@ -72,7 +72,8 @@ class TableSource:
 class PathSource:
     """A file tree, copied byte for byte (``mode="copy"``) or read as rows (``mode="rows"``).
 
-    ``modified_only`` copies just the files changed since the last run.
+    ``modified_only`` copies just the files that the listing of the last run lacks: new ones, and
+    those with another size or time.
     """
 
     path: str = ""

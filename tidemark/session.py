@@ -70,6 +70,15 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     file_system.delete(parsed, True)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within its file system, making the folder above the new name."""
+    parsed, file_system = _hadoop_path(spark, source)
+    new, _ = _hadoop_path(spark, target)
+    file_system.mkdirs(new.getParent())
+    if not file_system.rename(parsed, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def broadcast_bytes(spark: SparkSession) -> int:
     """The size up to which the session broadcasts a side of a join by itself; -1 for never."""
     jvm_conf = spark._jsparkSession.sessionState().conf()

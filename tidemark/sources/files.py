@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions.paths import normalize_scheme
 from tidemark.operators.landing import check_format
 from tidemark.session import qualified, scratch_path
-from tidemark.sources.stores import LISTING, folder_lister, store_settings
+from tidemark.sources.stores import LISTING, tree_lister, store_settings
 
 
 def read_files(
@@ -40,21 +40,22 @@ def file_inventory(spark: SparkSession, path: str, *, recursive: bool = False) -
     """Rows ``path, modificationTime, length`` of every file under a path, contents unread.
 
     Spark's own listings leave out empty files and names starting with ``_`` or ``.``; here
-    tasks list folder by folder, a level of the tree at a time, and nothing is left out. The
-    listing is kept in the scratch folder; only whether a level has folders reaches the driver.
+    tasks walk the tree and nothing is left out. One task takes a small tree at once; folders it does not reach are
+    dealt to all tasks, which go on likewise. The listing is kept in the scratch folder; only whether folders are left
+    reaches the driver.
     """
     root = qualified(spark, normalize_scheme(path))
-    lister = folder_lister(store_settings(spark, root))
+    lister = tree_lister(store_settings(spark, root), recursive)
     folders = spark.createDataFrame([(root,)], "path string")
-    levels: list[str] = []
+    rounds: list[str] = []
     while True:
-        levels.append(scratch_path(spark, "listing"))
-        tasks = spark.sparkContext.defaultParallelism if len(levels) > 1 else 1
-        folders.repartition(tasks).mapInPandas(lister, LISTING).write.parquet(levels[-1])
-        folders = spark.read.schema(LISTING).parquet(levels[-1]).where("folder").select("path")
+        rounds.append(scratch_path(spark, "listing"))
+        tasks = spark.sparkContext.defaultParallelism if len(rounds) > 1 else 1
+        folders.repartition(tasks).mapInPandas(lister, LISTING).write.parquet(rounds[-1])
+        folders = spark.read.schema(LISTING).parquet(rounds[-1]).where("folder").select("path")
         if not recursive or folders.isEmpty():
             break
-    found = spark.read.schema(LISTING).parquet(*levels)
+    found = spark.read.schema(LISTING).parquet(*rounds)
     return found.where("NOT folder").select("path", "modificationTime", "length")
 
 

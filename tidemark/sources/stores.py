@@ -73,18 +73,25 @@ def open_store(uri: str, settings: Mapping[str, str]):
     return fs.FileSystem.from_uri(f"{scheme}://{authority}")[0], f"{authority}{path}"
 
 
-def folder_lister(settings: Mapping[str, str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """A task function: folders (or single files) in, everything directly in them out.
-
-    Empty files, names that start with ``_`` or ``.`` and such folders are listed like any other.
+def tree_lister(
+    settings: Mapping[str, str], recursive: bool, folders: int = 256
+) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A task function: folders (or single files) in, all files below them out.
+
+    A task walks down to as many ``folders`` as given; those it has not entered come out as rows with ``folder`` set, for
+    other tasks to go on with. Without ``recursive`` no folder below is entered, and none comes out. Empty
+    files, names that start with ``_`` or ``.`` and such folders are listed like any other.
     """
     known = dict(settings)
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
+        entered = 0
         for batch in batches:
-            for uri in batch["path"]:
+            waiting = list(batch["path"])
+            while waiting:
+                uri = waiting.pop()
                 store, path = open_store(uri, known)
                 here = store.get_file_info(path)
                 if here.type == fs.FileType.NotFound:
@@ -94,12 +101,30 @@ def folder_lister(settings: Mapping[str, str]) -> Callable[[Iterator[pd.DataFram
                     names = [uri.rstrip("/") + "/" + entry.base_name for entry in entries]
                 else:
                     entries, names = [here], [uri]
+                entered += 1
+                below = {n for e, n in zip(entries, names) if e.type == fs.FileType.Directory}
+                if recursive and entered < folders:
+                    waiting += below
+                    below = set()
+                rows = [(e, n) for e, n in zip(entries, names) if e.type != fs.FileType.Directory or (recursive and n in below)]
+                if entered >= folders and waiting:
+                    yield pd.DataFrame(
+                        {
+                            "path": waiting,
+                            "modificationTime": pd.to_datetime([0] * len(waiting), unit="us", utc=True),
+                            "length": 0,
+                            "folder": True,
+                        }
+                    )
+                    waiting = []
+                if not rows:
+                    continue
                 yield pd.DataFrame(
                     {
-                        "path": names,
-                        "modificationTime": pd.to_datetime([e.mtime_ns // 1000 for e in entries], unit="us", utc=True),
-                        "length": [e.size or 0 for e in entries],
-                        "folder": [e.type == fs.FileType.Directory for e in entries],
+                        "path": [n for _, n in rows],
+                        "modificationTime": pd.to_datetime([e.mtime_ns // 1000 for e, _ in rows], unit="us", utc=True),
+                        "length": [e.size or 0 for e, _ in rows],
+                        "folder": [e.type == fs.FileType.Directory for e, _ in rows],
                     }
                 )
 
