@@ -235,9 +235,17 @@ class _Version:
         return (reader if self.columns is None else reader.schema(self.columns)).load(folders)
 
 
-def read_current(spark: SparkSession, base: str, file_format: str = "parquet") -> DataFrame | None:
-    """The version a table's pointer names, or null before the first one."""
-    current = _newest(_versions(spark, base))
+def read_current(
+    spark: SparkSession, base: str, file_format: str = "parquet", *, without: str | None = None
+) -> DataFrame | None:
+    """The version a table's pointer names, or null before the first one.
+
+    ``without`` leaves a version out, as a retry of that one does.
+    """
+    entries = _versions(spark, base)
+    if entries is not None and without is not None:
+        entries = entries.where(F.col("version") != without)
+    current = _newest(entries)
     return None if current is None else _Version.of(current).read(spark, file_format)
 
 

@@ -14,6 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from contextlib import ExitStack
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -28,9 +29,10 @@ from tidemark.operators.conform import conform
 from tidemark.operators.copy import copy_files
 from tidemark.operators.landing import counted, land
 from tidemark.operators.listing import changed_files
+from tidemark.operators.lookback import earlier_bound, identity_of, not_landed
 from tidemark.operators.offsets import end_offsets, offset_map_json, offset_range
 from tidemark.operators.state import RunState, now_utc
-from tidemark.operators.upsert import upsert_into
+from tidemark.operators.upsert import read_current, upsert_into
 from tidemark.operators.window import apply_filters, incremental_window
 from tidemark.plans.spec import (
     CONNECTOR,
@@ -135,6 +137,15 @@ def _runtime_settings(spark: SparkSession, spec: PipelineSpec) -> dict[str, str]
     return {k: v for k, v in spec.spark.items() if spark.conf.isModifiable(k)}
 
 
+@dataclass(frozen=True)
+class _Late:
+    """The overlap of a window with earlier ones: above ``floor``, and to be compared with landed rows up to ``known``."""
+
+    column: str
+    floor: str | None
+    known: str
+
+
 @dataclass(frozen=True)
 class _Run:
     spark: SparkSession
@@ -273,7 +284,7 @@ class _Run:
         low: str | None,
         fixed: str | None,
     ) -> RunResult:
-        column, high, bounded = source.checkpoint_column, None, False
+        column, high, bounded, whole = source.checkpoint_column, None, False, rows
         if column:
             self.kinds.append(field_type(rows, column))
             if marked is rows and low is not None:
@@ -288,9 +299,18 @@ class _Run:
                 rows = rows.where(F.col(column).isNull())
             else:
                 rows = incremental_window(rows, column, low, low if high is None else high)
+        late = None
+        if column and bounded and source.incremental and source.lookback:
+            top = low if high is None else high
+            floor = None if low is None else earlier_bound(self.spark, low, self.kinds[-1], source.lookback)
+            if floor is not None:
+                rows = incremental_window(whole, column, floor, top)
+            # A run that is repeated may find rows of its own window among what later runs have landed.
+            known = low if self.before is None else top
+            late = None if known is None else _Late(column, floor, known)
         # A later window keeps few of the rows its tasks scan: gather them into full files.
         scattered = bounded and source.incremental and low is not None
-        return self._land(apply_filters(rows, source.filters), low, high, scattered)
+        return self._land(apply_filters(rows, source.filters), low, high, scattered, late)
 
     # Effects
 
@@ -305,17 +325,63 @@ class _Run:
             sink.endpoint, sink.source_system_name, self.spec.source.segments(), self.moment, self.run_id
         )
 
+    def _without_landed(self, rows: DataFrame, late: _Late) -> DataFrame:
+        """The rows above the checkpoint, and those of the overlap that no run has landed."""
+        sink, column = self.spec.sink, late.column
+        keyed = sink.mode in ("upsert", "merge")
+        keys = list(sink.keys) if keyed else identity_of(rows.schema, self.spec.source.identity, column)
+        if keyed:
+            identity_of(rows.schema, keys, column)
+            version = sanitize_run_id(self.run_id)
+            landed = read_current(self.spark, self._keyed_base(), sink.file_format, without=version)
+        else:
+            landed = self._landed_rows(rows.schema, late)
+        if landed is None:
+            return rows
+        kind = field_type(rows, column)
+        known = typed_literal(late.known, kind)
+        if late.floor is not None:
+            landed = landed.where(F.col(column) > typed_literal(late.floor, kind))
+        if not keyed:
+            landed = landed.where(F.col(column) <= known)
+        above = F.col(column) > known
+        fresh, again = rows.where(above | F.col(column).isNull()), rows.where(F.col(column) <= known)
+        return fresh.unionByName(not_landed(again, landed, keys, column, keyed=keyed))
+
+    def _landed_rows(self, schema: T.StructType, late: _Late) -> DataFrame | None:
+        """What other runs have landed, pruned to those whose bound lies above the overlap's lower one."""
+        kind, state = self.kinds[-1], self.state
+        others = state.events().where((F.col("dag_id") == self.spec.dag_id) & (F.col("run_id") != self.run_id))
+        landed = others.where(F.col("path").isNotNull() & F.col("checkpoint_to").isNotNull())
+        reaching = landed
+        if late.floor is not None:
+            reaching = landed.where(F.col("checkpoint_to").cast(kind) > typed_literal(late.floor, kind))
+        paths = sorted(row.path for row in reaching.select("path").distinct().collect())  # one for each run concerned
+        if not paths:
+            return None
+        sink = self.spec.sink
+        reader = self.spark.read.format(sink.file_format).options(**texts(sink.write_options)).schema(schema)
+        if not sink.partition_by:
+            return reader.load(paths)
+        # Directories below each run's own root are its partitions.
+        return reduce(DataFrame.unionByName, (reader.load(path) for path in paths))
+
+    def _keyed_base(self) -> str:
+        return self._leaf().rsplit("/", 3)[0]
+
     def _land(
-        self, rows: DataFrame, low: str | None, high: str | None, scattered: bool = False
+        self, rows: DataFrame, low: str | None, high: str | None, scattered: bool = False, late: _Late | None = None
     ) -> RunResult:
         sink = self.spec.sink
         for transform in self.transforms:
             rows = rows.transform(transform)
         rows = conform(rows, sink.schema, sink.on_mismatch)
+        if late is not None:
+            rows = self._without_landed(rows, late)
         seen = Observation() if self.spec.count_records else None
         path = self._path()
         if sink.mode in ("upsert", "merge"):
-            base = self._leaf().rsplit("/", 3)[0]
+            base = self._keyed_base()
             version = sanitize_run_id(self.run_id)
             path = upsert_into(
                 self.spark, base, rows, sink.keys, version, sink.order_by,

@@ -665,6 +665,43 @@ def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, landed).select("event_id", "ts", "run_id")
 
 
+@query(
+    "SELECT event_id, ts, CASE WHEN ts > TIMESTAMP '2024-01-20 00:00:00' THEN 'run_3' "
+    "WHEN ts > TIMESTAMP '2024-01-10 00:00:00' THEN CASE WHEN event_id % 5 = 0 THEN 'run_3' ELSE 'run_2' END "
+    "WHEN event_id % 5 = 0 THEN 'run_2' ELSE 'run_1' END AS run_id FROM events"
+)
+def pipeline_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth event arrives a run later than its time says; each lands once."""
+    root, events = scratch_path(spark, "late"), _file(spark, sf_dir, "events").select("event_id", "ts")
+    spec = PipelineSpec.from_dict(
+        "late_events",
+        {
+            "read_type": "connector",
+            "write_type": "hadoop",
+            "source": {
+                "database": "lake",
+                "table": "events",
+                "format": "parquet",
+                "checkpoint_column": "ts",
+                "lookback": "30 days",
+                "identity": ["event_id"],
+            },
+            "sink": {"endpoint": f"{root}/landing", "source_system_name": "lake"},
+        },
+    )
+    state, late = RunState(spark, f"{root}/state"), F.col("event_id") % 5 == 0
+    arrived = F.lit(False)
+    for run, day in enumerate([10, 20], 1):
+        bound = F.lit(f"2024-01-{day}").cast(field_type(events, "ts"))
+        frame = events.where((~late & (F.col("ts") <= bound)) | arrived)
+        run_pipeline(spark, spec, state, f"run_{run}", datetime(2024, 1, day), frame=frame, checkpoint_to=datetime(2024, 1, day))
+        arrived = F.col("ts") <= bound
+    for run in (3, 4):
+        run_pipeline(spark, spec, state, f"run_{run}", datetime(2024, 1, 30), frame=events)
+    landed = "/".join([root, "landing", "lake", *spec.source.segments()])
+    return read_landing(spark, landed).select("event_id", "ts", "run_id")
+
+
 @query(
     f"WITH b AS ({_ENDS_SQL}) SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, {_KAFKA_SQL}, "
     "CASE WHEN event_id < e // 2 THEN 'run_1' ELSE 'run_2' END AS run_id FROM events JOIN b ON user_id % 3 = p"

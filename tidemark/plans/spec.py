@@ -46,6 +46,8 @@ class TableSource:
 
     ``split_column`` reads a relational table over ``split_partitions`` connections. With
     ``incremental=False`` a checkpoint is still taken but the read is not bounded by it.
+    ``lookback`` (an interval, or a number) reads that far below the checkpoint again for late rows;
+    those that have landed are known by ``identity`` (all columns by default) and the checkpoint value.
     """
 
     database: str = ""
@@ -63,6 +65,8 @@ class TableSource:
     split_partitions: int = 64
     fetch_size: int = DEFAULT_FETCH_SIZE
     incremental: bool = True
+    lookback: str | None = None
+    identity: tuple[str, ...] = ()
 
     def segments(self) -> list[str]:
         return [self.database, self.schema or DEFAULT_SCHEMA, self.table]
@@ -73,7 +77,7 @@ class PathSource:
     """A file tree, copied byte for byte (``mode="copy"``) or read as rows (``mode="rows"``).
 
     ``modified_only`` copies just the files that the listing of the last run lacks: new ones, and
-    those with another size or time.
+    those with another size or time. ``lookback`` and ``identity`` are those of a table source.
     """
 
     path: str = ""
@@ -85,6 +89,8 @@ class PathSource:
     read_options: dict[str, Any] = field(default_factory=dict)
     read_schema: str | None = None
     incremental: bool = True
+    lookback: str | None = None
+    identity: tuple[str, ...] = ()
 
     def segments(self) -> list[str]:
         return [key_path(self.path)]
@@ -195,7 +201,15 @@ class PipelineSpec:
 
 def _pick(kind: type, raw: Mapping[str, Any]) -> dict[str, Any]:
     names = {f.name for f in fields(kind)}
-    return {k: v for k, v in raw.items() if k in names and v is not None}
+    picked = {k: v for k, v in raw.items() if k in names and v is not None}
+    for name in ("partition_by", "keys", "order_by", "identity"):
+        if name in picked:
+            picked[name] = tuple(picked[name])
+    if "lookback" in picked:
+        if not raw.get("checkpoint_column"):
+            raise SpecError("a look-back needs a checkpoint_column")
+        picked["lookback"] = str(picked["lookback"])
+    return picked
 
 
 def _source(read_type: str, raw: Mapping[str, Any]) -> Source:
@@ -221,11 +235,7 @@ def _source(read_type: str, raw: Mapping[str, Any]) -> Source:
 
 
 def _sink(raw: Mapping[str, Any]) -> Sink:
-    picked = _pick(Sink, raw)
-    for name in ("partition_by", "keys", "order_by"):
-        if name in picked:
-            picked[name] = tuple(picked[name])
-    sink = Sink(**picked)
+    sink = Sink(**_pick(Sink, raw))
     _require("sink", endpoint=sink.endpoint, source_system_name=sink.source_system_name)
     _one_of("sink mode", sink.mode, SINK_MODES)
     check_format(sink.file_format)
