@@ -84,6 +84,65 @@ def test_linked_sets_share_a_signature(percent):
             assert len(b) == 0 or len(shared) >= max(jaccard.needed(len(s), percent) for s in (a, b) if len(s) == max(len(a), len(b)))
 
 
+def shared_passages(seed, documents, passages=6):
+    """Texts that hold common passages in own surroundings, some of them with near copies."""
+    rng = random.Random(seed)
+    common = [" ".join(f"p{k}x{i}" for i in range(40)) for k in range(passages)]
+    texts = []
+    for d in range(documents):
+        own = [f"d{d}x{i}" for i in range(rng.randrange(120, 260))]
+        parts = [" ".join(own), *rng.sample(common, rng.randrange(1, 3))]
+        rng.shuffle(parts)
+        texts.append(" ".join(parts))
+        if d % 6 == 0:
+            words = texts[-1].split()
+            words[rng.randrange(len(words))] = "changed"
+            texts.append(" ".join(words))
+    return texts
+
+
+def test_common_passages_make_no_large_candidate_groups(spark, monkeypatch):
+    seen = []
+    verify = jaccard.verify
+    monkeypatch.setattr(jaccard, "verify", lambda members, *more: seen.append(members.groupBy("comp").count().agg({"count": "max"}).first()[0]) or verify(members, *more))
+    rows = list(enumerate(shared_passages(2, 150)))
+    df = spark.createDataFrame([(k, t, None) for k, t in rows], SCHEMA)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(df).collect())
+    assert got == brute(rows, 5, 80)
+    assert seen[0] <= 20  # true groups have two sets
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sets_keep_a_shared_signature(percent):
+    """Without their most frequent signatures linked sets still meet, whatever is frequent."""
+    rng = np.random.default_rng(percent)
+    for size in [30, 60, 100, 170, 300, 700]:
+        for _ in range(6):
+            tokens = rng.integers(0, 2**63, size * 2, dtype=np.uint64)
+            gone = next(k for k in range(size, -1, -1) if 100 * (size - k) >= percent * size)
+            a, b = np.sort(tokens[:size]), np.sort(rng.permutation(tokens[:size])[gone:])
+            weight = lambda sig: (int(sig) % 7, int(sig))
+            met = False
+            for band, own in jaccard.filed_signatures(a, percent):
+                for other_band, other in jaccard.filed_signatures(b, percent):
+                    if band == other_band:
+                        k = jaccard.shared_by_band(percent)[band]
+                        assert len(np.intersect1d(own, other)) >= k
+                        both = set(own.tolist()) & set(other.tolist())
+                        met |= bool(set(sorted(map(int, own), key=weight)[: len(own) - k + 1]) & set(sorted(map(int, other), key=weight)[: len(other) - k + 1]) & both)
+            assert met
+
+
+def test_groups_cross_batches(spark):
+    """Signature groups longer than an Arrow batch, repeated rows among them, and single rows at every border."""
+    rows = [(s, h) for s, sets in [(1, 300), (2, 1), (3, 2), (4, 97), (5, 1), (6, 98), (7, 1)] for h in range(sets)]
+    rows += rows[::3]
+    df = spark.createDataFrame([(s, h, None, None, -1) for s, h in rows] + [(9, 9, 5, 5, 0)], "sig long, sh long, key long, th long, n int")
+    got = [(r["sig"], r["sh"]) for r in jaccard.meet(df.coalesce(1)).where("n < 0").collect()]
+    assert sorted(got) == sorted({(s, h) for s, h in rows if s not in (2, 5, 7)})
+    assert jaccard.meet(df).where("n >= 0").count() == 1
+
+
 def test_repeated_rows_and_null_keys(spark):
     rows = [(5, "a b c d e f", None), (5, "a b c d e f", None), (None, "z y x w v", None), (7, None, None), (7, None, None)]
     got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())

@@ -2,8 +2,10 @@
 
 Sets that reach the threshold differ in at most H tokens, with H fixed by their size band. The token universe is hashed
 into segments, so by the pigeonhole principle some segments agree (or, where a segment is allotted a threshold of
-one, differ by one token and meet in a one-deletion neighbourhood). Segment signatures are grouped, sets that meet are
-candidates, and candidates are verified exactly on their tokens.
+one, differ by one token and meet in a one-deletion neighbourhood). More segments are cut than that, so linked sets share
+``k`` signatures at least: each set is left with all but its ``k - 1`` most frequent ones, among which one is still shared
+(the rarest of the shared ones has ``k - 1`` more frequent ones behind it). Signatures of passages that many texts hold are thus never
+met. Sets that meet are candidates, and candidates are verified exactly on their tokens.
 """
 
 from __future__ import annotations
@@ -17,15 +19,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import connected_components, staged
 
 #: Tokens of one block in verification; larger candidate groups are split and compared block by block.
 BLOCK_TOKENS = 2_000_000
-#: Segments with at most so many tokens agree by chance too often.
-LIGHT = 1
+#: Linked sets share one signature more for every so many tokens by which they may differ.
+MARGIN = 12
 #: What a false agreement costs, in signatures.
 FALSE_COST = 40.0
 
@@ -57,7 +59,7 @@ def shingles(text: str | None, n: int) -> np.ndarray:
 class Scheme:
     """How sets of one size band are cut: ``segments``, of which the first ``deleting`` tolerate one token.
 
-    ``spare`` segments more than the pigeonhole needs may be skipped, which is done with light ones; linked sets share
+    ``spare`` segments more than the pigeonhole needs may be skipped, which is done with empty ones; linked sets share
     ``agreeing`` signatures at least.
     """
 
@@ -86,11 +88,11 @@ def scheme_of(percent: int, band: int, low: int, high: int) -> Scheme:
     differ = (high + high * 100 // percent) * (100 - percent) // (100 + percent)
     best = None
     # Larger sets have a few more segments, so that linked ones agree in several; small ones may tolerate tokens instead.
-    agreeing = 2 + differ // 16 if differ >= 4 else 1
+    agreeing = 2 + differ // MARGIN if differ >= 4 else 1
     for deleting in range(0, differ + 2 if agreeing == 1 else 1):
         segments = max(1, deleting, differ + agreeing - deleting)
-        light = (segments - deleting) * math.exp(-low / segments) * (1 + low / segments)
-        spare = math.ceil(light + math.sqrt(light)) if segments - deleting > 1 else 0
+        empty = (segments - deleting) * math.exp(-low / segments)
+        spare = math.ceil(empty + math.sqrt(empty)) if segments - deleting > 1 else 0
         segments = max(1, deleting, differ + agreeing + spare - deleting)
         mean = low / segments
         cost = (segments - deleting) * (1 + FALSE_COST * math.exp(-mean)) + deleting * (1 + mean + FALSE_COST * math.exp(1 - mean))
@@ -111,8 +113,8 @@ def signatures(tokens: np.ndarray, scheme: Scheme) -> np.ndarray:
     ends = np.cumsum(counts)
     sums = running[ends] - running[ends - counts]
     place = np.arange(1, scheme.segments + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    light = (counts <= LIGHT) & (np.arange(scheme.segments) >= scheme.deleting)
-    take = np.ones(scheme.segments, bool) if light.sum() > scheme.spare else ~light
+    empty = (counts == 0) & (np.arange(scheme.segments) >= scheme.deleting)
+    take = np.ones(scheme.segments, bool) if empty.sum() > scheme.spare else ~empty
     out = [_mix(sums[take] + place[take] + seed)]
     if scheme.deleting:
         near = segment < scheme.deleting
@@ -130,8 +132,20 @@ def schemes_of(size: int, percent: int) -> list[Scheme]:
     return out
 
 
+def filed_signatures(tokens: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
+    """Band and distinct signatures for each scheme a set takes part in."""
+    return [(scheme.band, np.unique(signatures(tokens, scheme))) for scheme in schemes_of(len(tokens), percent)]
+
+
 def all_signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
-    return np.unique(np.concatenate([signatures(tokens, scheme) for scheme in schemes_of(len(tokens), percent)]))
+    return np.unique(np.concatenate([found for _, found in filed_signatures(tokens, percent)]))
+
+
+@lru_cache(maxsize=None)
+def shared_by_band(percent: int) -> tuple[int, ...]:
+    """For each band how many signatures of its scheme linked sets share at least, for sets of up to 2 ** 40 tokens."""
+    edges = band_edges(percent, 1 << 40)
+    return tuple(scheme_of(percent, band, low, high - 1).agreeing for band, (low, high) in enumerate(zip(edges, edges[1:])))
 
 
 def needed(size: int, percent: int) -> int:
@@ -144,16 +158,16 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def emit(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``sig, sh, key, th, n`` for ``th, key, text``: a row per document (``n`` set) and a row per signature.
+    """``sig, sh, key, th, n`` for ``th, key, text``: a row per document (``n`` its size) and a row per signature.
 
-    ``sh`` is the hash of a set; equal sets emit signatures once per task, so exact copies are combined before the shuffle.
+    Of a signature ``n`` is -1 less the band of its scheme. ``sh`` is the hash of a set; equal sets emit signatures once per task, so exact copies are combined before the shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         row = 0
         for batch in batches:
-            hashes, sizes, sigs, owners = [], [], [], []
+            hashes, sizes, sigs, owners, bands = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 tokens = shingles(text, words)
                 sh = xxhash.xxh3_64_intdigest(tokens.tobytes())
@@ -161,8 +175,10 @@ def emit(texts: DataFrame, words: int, percent: int) -> DataFrame:
                 sizes.append(len(tokens))
                 if len(tokens) and sh not in seen:
                     seen.add(sh)
-                    sigs.append(all_signatures(tokens, percent))
-                    owners.append(np.full(len(sigs[-1]), sh, np.uint64))
+                    for band, found in filed_signatures(tokens, percent):
+                        sigs.append(found)
+                        owners.append(np.full(len(found), sh, np.uint64))
+                        bands.append(np.full(len(found), -1 - band, np.int32))
             n = len(hashes)
             spread = _mix(np.arange(row, row + n, dtype=np.uint64))
             row += n
@@ -170,70 +186,77 @@ def emit(texts: DataFrame, words: int, percent: int) -> DataFrame:
             names = ["sig", "sh", "key", "th", "n"]
             yield pa.RecordBatch.from_arrays([_signed(spread), _signed(own), batch.column(1), batch.column(0), pa.array(sizes, pa.int32())], names)
             if sigs:
-                sig, owner = np.concatenate(sigs), np.concatenate(owners)
+                sig, owner, band = np.concatenate(sigs), np.concatenate(owners), np.concatenate(bands)
                 for at in range(0, len(sig), 100_000):
                     part = sig[at : at + 100_000]
                     none = pa.nulls(len(part), pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [_signed(part), _signed(owner[at : at + 100_000]), none.cast(batch.column(1).type), none, pa.nulls(len(part), pa.int32())], names
+                        [_signed(part), _signed(owner[at : at + 100_000]), none.cast(batch.column(1).type), none, pa.array(band[at : at + 100_000])], names
                     )
 
     return texts.select("th", "key", "text").mapInArrow(run, f"sig bigint, sh bigint, key {texts.schema['key'].dataType.simpleString()}, th bigint, n int")
 
 
 def meet(rows: DataFrame) -> DataFrame:
-    """``a, sh, key, th, n``: document rows as they are (``a`` null), and a row for each set of a signature that several sets have.
+    """``sig, sh, key, th, n``: document rows as they are (``n`` not negative), and the rows of signatures that several sets have.
 
-    In those ``a`` is the first set of the group (for the first set itself too) and ``n`` how many such rows this one stands for.
-    Groups arrive sorted and are read as a stream, so a signature of very many sets takes no memory.
+    Groups arrive sorted and are read as a stream, of which one row is held back, so a signature of very many sets takes no memory.
     """
+    names = ["sig", "sh", "key", "th", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_sig = last_first = last_sh = None
-        shown = False  # whether the first set of the group read last has been given out
+        held = None  # the last signature row so far, and whether its signature has been given out already
         for batch in batches:
-            is_doc = batch.column(4).is_valid().to_numpy(zero_copy_only=False)
+            is_doc = batch.column(4).to_numpy() >= 0
             docs = batch.filter(pa.array(is_doc))
             if docs.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.nulls(docs.num_rows, pa.int64()), *(docs.column(i) for i in (1, 2, 3, 4))], ["a", "sh", "key", "th", "n"])
-            sig, sh = (batch.column(i).to_numpy()[~is_doc] for i in (0, 1))
+                yield docs
+            sig, sh, n = (batch.column(i).to_numpy()[~is_doc] for i in (0, 1, 4))
             if not len(sig):
                 continue
-            starts = np.concatenate([[sig[0] != last_sig], sig[1:] != sig[:-1]])
-            again = np.concatenate([[sig[0] == last_sig and sh[0] == last_sh], (sig[1:] == sig[:-1]) & (sh[1:] == sh[:-1])])
-            group = np.cumsum(starts)
-            firsts = np.concatenate([[sh[0] if last_first is None else last_first], sh[starts]])
-            first = firsts[group]
-            other = (first != sh) & ~again
-            met = np.unique(group[other])  # groups that several sets share
-            opened = met[~((met == 0) & shown)]
-            a, b = np.concatenate([first[other], firsts[opened]]), np.concatenate([sh[other], firsts[opened]])
-            shown = bool((met == group[-1]).any()) or (shown and group[-1] == 0)
-            last_sig, last_first, last_sh = sig[-1], first[-1], sh[-1]
-            if len(a):
-                pairs, times = np.unique(np.stack([a, b]), axis=1, return_counts=True)
-                n = len(times)
-                none = pa.nulls(n, pa.int64())
+            before_open = False
+            if held is not None:
+                sig, sh, n = (np.concatenate([[old], new]).astype(new.dtype) for old, new in zip(held[:3], (sig, sh, n)))
+                before_open = held[3]
+            # Equal sets file equal signatures in several tasks; they stand next to each other.
+            fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (sh[1:] != sh[:-1])])
+            sig, sh, n = sig[fresh], sh[fresh], n[fresh]
+            like_next = np.concatenate([sig[1:] == sig[:-1], [False]])
+            like_last = np.concatenate([[before_open], sig[1:] == sig[:-1]])
+            out = (like_next | like_last)[:-1]
+            held = (sig[-1], sh[-1], n[-1], bool(like_last[-1]))
+            if out.any():
+                none = pa.nulls(int(out.sum()), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs[0]), pa.array(pairs[1]), none.cast(batch.column(2).type), none, pa.array(times.astype(np.int32))], ["a", "sh", "key", "th", "n"]
+                    [pa.array(sig[:-1][out]), pa.array(sh[:-1][out]), none.cast(batch.column(2).type), none, pa.array(n[:-1][out])], names
                 )
+            key_type = batch.column(2).type
+        if held is not None and held[3]:
+            none = pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([held[0]]), pa.array([held[1]]), none.cast(key_type), none, pa.array([held[2]], pa.int32())], names
+            )
 
     ordered = rows.repartition("sig").sortWithinPartitions("sig", "sh")
-    return ordered.mapInArrow(run, f"a bigint, sh bigint, key {rows.schema['key'].dataType.simpleString()}, th bigint, n int")
+    return ordered.mapInArrow(run, f"sig bigint, sh bigint, key {rows.schema['key'].dataType.simpleString()}, th bigint, n int")
 
 
-def candidate_links(met: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: links between sets that meet, without sets that share too few signatures to link with any.
+def candidate_links(met: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: links from the first set of every signature group to its others, without what cannot make a set link.
 
-    ``a`` may be such a set: it then only stands for the signature that the others share.
+    A set that shares fewer signatures of a scheme than linked ones do leaves that scheme; the others lose as many of their most
+    frequent signatures as linked ones share beyond the first.
     """
-
-    def need(values: pd.Series) -> pd.Series:
-        return values.map({n: needed(int(n), percent) for n in values.unique()}).astype("int32")
-
-    shared = met.groupBy("sh").agg(F.sum("n").alias("shared")).join(sizes, "sh")
-    enough = shared.where(F.col("shared") >= F.pandas_udf(need, "int")("n")).select("sh")
-    return met.join(enough, "sh", "left_semi").select("a", F.col("sh").alias("b")).distinct()
+    least = F.element_at(F.array(*map(F.lit, shared_by_band(percent))), -F.col("n"))
+    own = Window.partitionBy("sh", "n")
+    enough = met.withColumn("shared", F.count("*").over(own)).where(F.col("shared") >= least).select("sig", "sh", "n")
+    enough = staged(enough, "jaccard-enough")
+    often = enough.groupBy("sig").agg(F.count("*").alias("often")).where("often > 1")
+    order = own.orderBy(F.desc("often"), F.desc("sig"))
+    rare = enough.join(often, "sig").withColumn("place", F.row_number().over(order)).where(F.col("place") >= least).select("sig", "sh")
+    rare = staged(rare, "jaccard-rare")
+    firsts = rare.groupBy("sig").agg(F.min("sh").alias("a"), F.count("*").alias("sets")).where("sets > 1").select("sig", "a")
+    return rare.join(firsts, "sig").select("a", F.col("sh").alias("b")).where("a <> b").distinct()
 
 
 def linked(a: int, b: int, common: int, percent: int) -> bool:
@@ -329,10 +352,10 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     """
     texts = df.select(F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("th"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     first = staged(meet(emit(texts, words, percent)), "jaccard-signatures")
-    docs = first.where("a IS NULL").select("key", "th", "sh", "n")
+    docs = first.where("n >= 0").select("key", "th", "sh", "n")
     classes = docs.where("n > 0").groupBy("sh").agg(F.min("th").alias("th"), F.min("n").alias("n"))
-    near = staged(candidate_links(first.where("a IS NOT NULL"), classes.select("sh", "n"), percent), "jaccard-near")
-    candidates = connected_components(near, "jaccard-candidates").withColumnRenamed("node", "sh").join(near.select(F.col("b").alias("sh")).distinct(), "sh")
+    near = candidate_links(first.where("n < 0").select("sig", "sh", "n"), percent)
+    candidates = connected_components(near, "jaccard-candidates").withColumnRenamed("node", "sh")
     # One text for each candidate set; copies are combined in each task before the shuffle.
     sets = classes.join(candidates, "sh").select("sh", F.col("component").alias("comp"), "th", "n")
     sets = staged(sets, "jaccard-sets")
