@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, jaccard, suffix, toxicity
-from tidemark.llm.common import fresh
+from tidemark.llm.common import fresh, staged
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -45,14 +45,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("key"), "text")
-    kept = suffix.remove_repeats(rows, key="key", with_text=True)
+    # Written down first: each task then has one Python worker at a time, as the texts are decoded by another function.
+    kept = staged(suffix.remove_repeats(rows, key="key", with_text=True).select("key", "kept"), "stages-kept")
 
     def decode(batches):
         for batch in batches:
             texts = [data.decode(errors="ignore") for data in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["key", "text"])
 
-    texts = kept.select("key", "kept").mapInArrow(decode, f"key {rows.schema['key'].dataType.simpleString()}, text string")
+    texts = kept.mapInArrow(decode, f"key {rows.schema['key'].dataType.simpleString()}, text string")
     sizes = F.char_length("text").cast(docs.schema["n_chars"].dataType)
     return texts.select(*[F.col("text") if c == "text" else sizes.alias(c) if c == "n_chars" else F.col(f"key.`{c}`") for c in names])
 
