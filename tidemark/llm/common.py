@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,6 +97,26 @@ def connected_components(edges: DataFrame, label: str, max_rounds: int = 60) ->
     return roots.unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("component")))
 
 
+def give_back() -> None:
+    """Return memory that a Python worker has freed to the system: workers live on and serve other functions."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task function that does what ``run`` does, then returns what memory it has freed."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
 def let(value: Column, use) -> Column:
     """``use(value)`` with ``value`` evaluated once for each row, however often ``use`` refers to it."""
     return F.transform(F.array(value), use)[0]

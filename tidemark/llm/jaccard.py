@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, staged
+from tidemark.llm.common import connected_components, giving_back, staged
 
 #: Tokens of one block in verification; larger candidate groups are split and compared block by block.
 BLOCK_TOKENS = 2_000_000
@@ -194,7 +194,7 @@ def emit(texts: DataFrame, words: int, percent: int) -> DataFrame:
                         [_signed(part), _signed(owner[at : at + 100_000]), none.cast(batch.column(1).type), none, pa.array(band[at : at + 100_000])], names
                     )
 
-    return texts.select("th", "key", "text").mapInArrow(run, f"sig bigint, sh bigint, key {texts.schema['key'].dataType.simpleString()}, th bigint, n int")
+    return texts.select("th", "key", "text").mapInArrow(giving_back(run), f"sig bigint, sh bigint, key {texts.schema['key'].dataType.simpleString()}, th bigint, n int")
 
 
 def meet(rows: DataFrame) -> DataFrame:
@@ -238,7 +238,7 @@ def meet(rows: DataFrame) -> DataFrame:
             )
 
     ordered = rows.repartition("sig").sortWithinPartitions("sig", "sh")
-    return ordered.mapInArrow(run, f"sig bigint, sh bigint, key {rows.schema['key'].dataType.simpleString()}, th bigint, n int")
+    return ordered.mapInArrow(giving_back(run), f"sig bigint, sh bigint, key {rows.schema['key'].dataType.simpleString()}, th bigint, n int")
 
 
 def candidate_links(met: DataFrame, percent: int) -> DataFrame:
@@ -329,7 +329,7 @@ def verify(members: DataFrame, words: int, percent: int) -> DataFrame:
         if len(group) > 1:
             yield result(group)
 
-    return met.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "sh").mapInArrow(run, "a bigint, b bigint")
+    return met.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "sh").mapInArrow(giving_back(run), "a bigint, b bigint")
 
 
 def with_set_hash(df: DataFrame, words: int, name: str, text: str = "text") -> DataFrame:

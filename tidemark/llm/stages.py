@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, jaccard, suffix, toxicity
-from tidemark.llm.common import fresh, staged
+from tidemark.llm.common import fresh, give_back, giving_back, staged
+
+#: Pre-tokens that a task of the last stage takes over from earlier ones on its worker.
+KEPT_MEMO = 150_000
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -53,13 +56,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             texts = [data.decode(errors="ignore") for data in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["key", "text"])
 
-    texts = kept.mapInArrow(decode, f"key {rows.schema['key'].dataType.simpleString()}, text string")
+    texts = kept.mapInArrow(giving_back(decode), f"key {rows.schema['key'].dataType.simpleString()}, text string")
     sizes = F.char_length("text").cast(docs.schema["n_chars"].dataType)
     return texts.select(*[F.col("text") if c == "text" else sizes.alias(c) if c == "n_chars" else F.col(f"key.`{c}`") for c in names])
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no 10-word window of a test text occurs."""
+    """The documents in which no 10-word window of a test text occurs.
+
+    Null, empty and wordless texts stay, also where they repeat; an empty benchmark removes nothing.
+    """
     mark = fresh(docs.columns, "mark")
     marked = docs.withColumn(mark, F.struct("doc_id", F.xxhash64("doc_id", "text").alias("h")))
     found = decontaminate.decontaminate(marked, benchmark, key=mark).where("contaminated").select(F.col(f"{mark}.h").alias("h")).distinct()
@@ -67,5 +73,16 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def encoded(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document."""
-    return bpe.token_digests(docs)
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document.
+
+    Null and empty texts have no ids; repeated rows give repeated results; other columns are not looked at.
+    """
+
+    def lean_codec() -> bpe.Codec:
+        give_back()
+        own = bpe.public_codec()
+        if len(own.memo) > KEPT_MEMO:  # what tasks before have left
+            own.memo = dict(own.memo_start)
+        return own
+
+    return bpe.token_digests(docs, make=lean_codec)
