@@ -35,6 +35,42 @@ def test_exact_in_both_forms(log, monkeypatch, n, limit):
     assert [i for (i,) in rows(got, "id")] == brute(log, n)
 
 
+@pytest.mark.parametrize("n", [1, 40, 250, 1800, 10_000])
+@pytest.mark.parametrize("kind", ["bigint", "timestamp", "date", "string"])
+def test_selection_agrees_for_every_type(spark, log, monkeypatch, n, kind):
+    """Ties, nulls in the order column, one hot stream; strings have no cuts and are sorted."""
+    monkeypatch.setattr(retention, "WINDOW_LIMIT", 0)
+    typed = {
+        "bigint": F.col("ts"),
+        "timestamp": F.timestamp_seconds("ts"),
+        "date": F.date_from_unix_date(F.col("ts").cast("int")),
+        "string": F.lpad(F.col("ts").cast("string"), 4, "0"),
+    }[kind]
+    rows_ = log.withColumn("ts", F.when(F.col("id") % 11 != 0, typed))
+    streams = defaultdict(list)
+    for row in rows_.collect():
+        streams[row.stream].append(((row.ts is not None, row.ts if row.ts is not None else 0), row.id))
+    want = sorted(i for entries in streams.values() for _, i in sorted(entries, key=lambda e: (e[0][0], e[0][1] if e[0][0] else 0, e[1]), reverse=True)[:n])
+    assert [i for (i,) in rows(retain_latest(rows_, "stream", ["ts", "id"], n), "id")] == want
+
+
+def test_cuts_that_miss_are_not_used(log, monkeypatch):
+    monkeypatch.setattr(retention, "WINDOW_LIMIT", 0)
+    monkeypatch.setattr(retention, "_ACCURACY", 1)
+    monkeypatch.setattr(retention, "_BROADCAST_STREAMS", 0)
+    assert [i for (i,) in rows(retain_latest(log, "stream", ["ts", "id"], 700), "id")] == brute(log, 700)
+
+
+def test_only_rows_around_the_cut_are_sorted(spark, monkeypatch):
+    monkeypatch.setattr(retention, "WINDOW_LIMIT", 0)
+    sorted_rows = []
+    by_position = retention._by_position
+    monkeypatch.setattr(retention, "_by_position", lambda df, *more: sorted_rows.append(df.count()) or by_position(df, *more))
+    df = spark.range(200_000).select("id", (F.col("id") % 3 != 0).alias("stream"), F.col("id").alias("ts"))
+    assert retain_latest(df, "stream", ["ts"], 40_000).count() == 80_000
+    assert 0 < sorted_rows[0] < 10_000
+
+
 def test_null_is_unbounded_and_zero_keeps_nothing(log):
     assert retain_latest(log, "stream", ["ts", "id"], None).count() == 5000
     assert retain_latest(log, "stream", ["ts", "id"], 0).count() == 0

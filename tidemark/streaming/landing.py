@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.kafka import decode_kafka
 from tidemark.functions.paths import normalize_scheme
-from tidemark.operators.landing import check_format
+from tidemark.operators.landing import balanced, check_format
 from tidemark.sources.connector import Read
 
 
@@ -46,10 +46,13 @@ def land_stream(
     """Land everything that arrived since the last call with the same ``checkpoint``, then stop.
 
     Progress and the file sink's log live in shared folders, so a restart repeats or loses
-    nothing, whichever executor died.
+    nothing, whichever executor died. With ``partition_by`` every batch is rebalanced on those columns as in
+    :func:`land`, so a batch writes a few files for each directory, not one for each task.
     """
     for transform in transforms:
         stream = stream.transform(transform)
+    if partition_by:
+        stream = balanced(stream, partition_by)
     writer = (
         stream.writeStream.format(check_format(file_format))
         .options(**dict(options or {}))
