@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.landing import land
+from tidemark.sources import jdbc
 from tidemark.session import scratch_path
 from tidemark.sources.connector import Read, custom_query, load
 from tidemark.sources.files import (
@@ -19,9 +20,13 @@ from tidemark.sources.jdbc import (
     DIALECTS,
     Dialect,
     bounds_query,
+    column_cuts,
     count_query,
+    equi_depth_predicates,
+    even_split_read,
     jdbc_read,
     max_query,
+    sliced,
     split_options,
     split_predicates,
 )
@@ -270,3 +275,43 @@ def test_storage_settings_are_put_back(spark):
     with s3a_access(spark, {"aws_access_key_id": "now", "aws_secret_access_key": "s"}, bucket="mine"):
         assert hadoop.get("fs.s3a.bucket.mine.access.key") == "now" and hadoop.get("fs.s3a.bucket.mine.secret.key") == "s"
     assert hadoop.get("fs.s3a.bucket.mine.access.key") == "before" and hadoop.get("fs.s3a.bucket.mine.secret.key") is None
+
+
+def test_equi_depth_slices_are_even_on_a_skewed_key(spark):
+    """A third of the rows on one value, half a dozen far outliers, nulls: no slice but the hot value's own is large."""
+    hot = spark.range(3000).select(F.lit(77).cast("bigint").alias("k"))
+    tail = spark.range(6000).select((F.pow(F.col("id") / 10.0, 3)).cast("bigint").alias("k"))
+    df = hot.unionByName(tail).unionByName(spark.range(500).select(F.lit(None).cast("bigint").alias("k")))
+    conditions = equi_depth_predicates("k", column_cuts(df, "k", 16))
+    sizes = {condition: df.where(condition).count() for condition in conditions}
+    assert sum(sizes.values()) == 9500 == sliced(df, conditions).count()
+    assert sizes["k = 77"] >= 3000 and sizes["k IS NULL"] == 500
+    assert max(n for c, n in sizes.items() if c != "k = 77") <= 2 * 9000 // 16
+    width = split_predicates("k", 0, 599**3, 16)
+    assert max(df.where(c).count() for c in width) > 5000  # what equal widths would give
+
+
+def test_equi_depth_conditions_by_type():
+    from datetime import date, datetime
+
+    assert equi_depth_predicates("k", []) == equi_depth_predicates("k", [None]) == ["TRUE"]
+    assert equi_depth_predicates("s", ["b'c", "b'c"]) == ["s < 'b''c'", "s = 'b''c'", "s > 'b''c'", "s IS NULL"]
+    assert equi_depth_predicates("d", [date(2024, 1, 2)]) == ["d < DATE '2024-01-02'", "d >= DATE '2024-01-02'", "d IS NULL"]
+    assert "TIMESTAMP '2024-01-02 03:00:00'" in equi_depth_predicates("t", [datetime(2024, 1, 2, 3)])[0]
+
+
+def test_cuts_are_asked_of_the_database(spark, monkeypatch):
+    read = postgres(table="public.orders", schema="id BIGINT")
+    asked = []
+
+    def fake(_, query):
+        asked.append(query.options["query"])
+        return spark.createDataFrame([(1,), (5,), (5,), (9,)], "cut int")
+
+    monkeypatch.setattr(jdbc, "load", fake)
+    split = even_split_read(spark, read, "id", 4)
+    assert "NTILE(4) OVER (ORDER BY id)" in asked[0] and "FROM public.orders" in asked[0]
+    assert split.predicates == ("id < 5", "id = 5", "id > 5 AND id < 9", "id >= 9", "id IS NULL")
+    assert split.with_options({"a": 1}).predicates == split.predicates and split.options == read.options
+    with pytest.raises(Exception, match="org.postgresql.Driver"):
+        load(spark, split)

@@ -45,7 +45,7 @@ from tidemark.plans.spec import (
 from tidemark.session import runtime_conf
 from tidemark.sources.connector import Read, custom_query, load, texts
 from tidemark.sources.files import file_inventory, read_files
-from tidemark.sources.jdbc import DIALECTS, jdbc_read, max_query, split_read
+from tidemark.sources.jdbc import DIALECTS, even_split_read, jdbc_read, max_query, split_read
 from tidemark.sources.kafka import broker_end_offsets, complete_start, kafka_read
 from tidemark.sources.nosql import cassandra_read, dynamodb_read, mongodb_max, mongodb_read
 from tidemark.sources.storage import s3a_access
@@ -229,7 +229,8 @@ class _Run:
         else:
             top, name = None, ""
         if source.split_column:
-            read = split_read(self.spark, read, source.split_column, source.split_partitions)
+            split = even_split_read if source.split_by == "rows" else split_read
+            read = split(self.spark, read, source.split_column, source.split_partitions)
         rows = load(self.spark, read)
         return self._windowed(source, rows, rows if top is None else top, name, low, fixed)
 

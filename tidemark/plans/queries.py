@@ -41,7 +41,7 @@ from tidemark.plans.spec import PipelineSpec
 from tidemark.session import move_folder, scratch_path
 from tidemark.sources.connector import Read, custom_query, load
 from tidemark.sources.files import read_files
-from tidemark.sources.jdbc import split_predicates
+from tidemark.sources.jdbc import column_cuts, equi_depth_predicates, sliced, split_predicates
 from tidemark.streaming.landing import land_stream, stream_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +146,14 @@ def table_partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select("o_orderkey", "o_totalprice", F.coalesce(*told).alias("split"))
 
 
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def table_equi_depth_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read through slices of about equal numbers of rows, whatever the customers' shares are."""
+    orders = _table(spark, sf_dir, "orders")
+    slices = equi_depth_predicates("o_custkey", column_cuts(orders, "o_custkey", SPLITS))
+    return sliced(orders, slices).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 @query("SELECT count(*) AS cnt FROM orders")
 def table_record_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_count(_table(spark, sf_dir, "orders"))

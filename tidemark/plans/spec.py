@@ -44,7 +44,8 @@ def _one_of(name: str, value: str, known: tuple[str, ...]) -> str:
 class TableSource:
     """A relational table, a store's collection, or any connector's rows.
 
-    ``split_column`` reads a relational table over ``split_partitions`` connections. With
+    ``split_column`` reads a relational table over ``split_partitions`` connections, cut into equal widths of the
+    column, or with ``split_by="rows"`` into slices of about equal numbers of rows. With
     ``incremental=False`` a checkpoint is still taken but the read is not bounded by it.
     ``lookback`` (an interval, or a number) reads that far below the checkpoint again for late rows;
     those that have landed are known by ``identity`` (all columns by default) and the checkpoint value.
@@ -63,6 +64,7 @@ class TableSource:
     format: str = ""
     split_column: str | None = None
     split_partitions: int = 64
+    split_by: str = "width"
     fetch_size: int = DEFAULT_FETCH_SIZE
     incremental: bool = True
     lookback: str | None = None
@@ -225,6 +227,7 @@ def _source(read_type: str, raw: Mapping[str, Any]) -> Source:
         check_format(path.file_format)
         return path
     table = TableSource(**(_pick(TableSource, raw) | {"port": int(raw.get("port") or 0)}))
+    _one_of("split_by", table.split_by, ("width", "rows"))
     needed = {"table": table.table}
     if read_type != "dynamodb":
         needed["database"] = table.database

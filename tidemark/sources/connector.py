@@ -18,10 +18,12 @@ class Read:
     format: str
     options: dict[str, str] = field(default_factory=dict)
     schema: T.StructType | str | None = None
+    # Conditions of a read over several connections, one for each; together they take every row once.
+    predicates: tuple[str, ...] = ()
 
     def with_options(self, more: Mapping[str, object] | None) -> Read:
         """Later options win, so a user's ``read_options`` override a preset."""
-        return Read(self.format, self.options | texts(more), self.schema)
+        return Read(self.format, self.options | texts(more), self.schema, self.predicates)
 
 
 def texts(options: Mapping[str, object] | None) -> dict[str, str]:
@@ -34,6 +36,9 @@ def texts(options: Mapping[str, object] | None) -> dict[str, str]:
 
 
 def load(spark: SparkSession, read: Read) -> DataFrame:
+    if read.predicates and read.format == "jdbc":
+        options = {k: v for k, v in read.options.items() if k not in ("url", "dbtable")}
+        return spark.read.options(**options).jdbc(read.options["url"], read.options["dbtable"], predicates=list(read.predicates))
     reader = spark.read.format(read.format).options(**read.options)
     return (reader.schema(read.schema) if read.schema is not None else reader).load()
 

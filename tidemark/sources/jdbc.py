@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
+from datetime import date, datetime
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.connector import DEFAULT_FETCH_SIZE, Read, load, texts
@@ -144,6 +147,66 @@ def split_predicates(column: str, low: int, high: int, partitions: int) -> list[
     return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
 
 
+def _sql_literal(value: object) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    return f"DATE '{value.isoformat()}'" if isinstance(value, date) else str(value)
+
+
+def equi_depth_predicates(column: str, cuts: Sequence[object]) -> list[str]:
+    """One condition per slice of a read cut at quantiles, so that slices hold about as many rows whatever the values are.
+
+    ``cuts`` are quantiles of the column by equal steps. A value that stands at several of them fills whole slices and
+    gets one of its own, as nulls do; the outer slices are open. Every row is in exactly one slice, also rows that came
+    after the cuts were made.
+    """
+    known = sorted(c for c in cuts if c is not None)
+    if not known:
+        return ["TRUE"]
+    places = sorted(set(known))
+    heavy = {c for c in places if known.count(c) > 1}
+    out, start = [], ""
+    for cut in places:
+        text = _sql_literal(cut)
+        out.append(f"{start}{column} < {text}")
+        if cut in heavy:
+            out.append(f"{column} = {text}")
+        start = f"{column} {'>' if cut in heavy else '>='} {text} AND "
+    return [*out, start.removesuffix(" AND "), f"{column} IS NULL"]
+
+
+def cuts_query(read: Read, column: str, partitions: int) -> Read:
+    """The same read reduced to the smallest value of each of ``partitions`` equal shares of its rows."""
+    kept = {k: v for k, v in read.options.items() if k not in {"dbtable", "customSchema", *PARTITION_OPTIONS}}
+    tiles = f"SELECT {column} AS cut, NTILE({partitions}) OVER (ORDER BY {column}) AS tile FROM {read.options['dbtable']} WHERE {column} IS NOT NULL"
+    return Read("jdbc", kept | {"query": f"SELECT MIN(cut) AS cut FROM ({tiles}) AS tiles GROUP BY tile"})
+
+
+def even_split_read(spark: SparkSession, read: Read, column: str, partitions: int) -> Read:
+    """Turn a one-connection read into parallel ones of about equal numbers of rows.
+
+    The database is asked once for the cuts, by an index scan or a sort of the column there; one row for each
+    slice comes back. The smallest value of all is no cut.
+    """
+    cuts = sorted(row["cut"] for row in load(spark, cuts_query(read, column, partitions)).collect())
+    return replace(read, predicates=tuple(equi_depth_predicates(column, cuts[1:])))
+
+
+def column_cuts(df: DataFrame, column: str, partitions: int, accuracy: int = 10_000) -> list[object]:
+    """Inner quantiles of a column by equal steps, from one scan that combines digests in each task."""
+    steps = [i / partitions for i in range(1, partitions)]
+    if not steps:
+        return []
+    return df.agg(F.percentile_approx(column, steps, accuracy)).first()[0] or []
+
+
+def sliced(df: DataFrame, predicates: Sequence[str]) -> DataFrame:
+    """A frame read slice by slice: each condition reaches a scan of its own, which skips what lies outside."""
+    return reduce(DataFrame.unionByName, (df.where(condition) for condition in predicates))
+
+
 def read_jdbc(spark: SparkSession, read: Read) -> DataFrame:
     """Run a JDBC read."""
     return load(spark, read)
