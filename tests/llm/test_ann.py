@@ -47,6 +47,33 @@ def test_few_candidates_and_none(spark):
     assert ann.search(df, F.col("vec_id") == 9).collect() == []
 
 
+def test_repeated_keys_answer_and_are_found_once(spark):
+    rng = np.random.default_rng(4)
+    rows = [(20, [float(x) for x in rng.normal(size=4).astype(np.float32)], "") for _ in range(25)]
+    rows += [(i, [float(x) for x in rng.normal(size=4).astype(np.float32)], "") for i in range(40, 75) for _ in range(3)]
+    rows += [(90 + i % 2, rows[30][1], "") for i in range(60)]  # rows that repeat whole take no place from others
+    got = collected(ann.search(spark.createDataFrame(rows, SCHEMA).repartition(5), F.col("vec_id") % 20 == 0))
+    assert set(got) == {20, 40, 60}
+    for key, found in got.items():
+        best = {}
+        for other, v, _ in rows:
+            for own in (np.array(q) for k, q, _ in rows if k == key):
+                if other != key:
+                    best[other] = max(best.get(other, -np.inf), float((np.array(v) * own).sum()))
+        want = sorted((-s, other) for other, s in best.items())[:20]
+        assert [v for v, _ in found] == [v for _, v in want]
+        assert np.allclose([s for _, s in found], [-s for s, _ in want], rtol=0, atol=1e-12)
+
+
+def test_products_beyond_doubles(spark):
+    rows = [(i, [1e200 * (i + 1), -1e200 if i % 3 == 2 else 1e200, 1.0], "") for i in range(30)]
+    rows += [(100, [5e-324, 0.0, 1e-300], ""), (101, [1e308, 1e308, 1e308], "")]
+    schema = SCHEMA.replace("array<float>", "array<double>")
+    got = collected(ann.search(spark.createDataFrame(rows, schema), F.col("vec_id") % 20 == 0))
+    assert set(got) == {0, 20, 100} and all(len(v) == 20 for v in got.values())
+    assert [v for v, s in got[0] if s == np.inf][:3] == [1, 3, 4]  # ties by id; 2 has no value and comes after all numbers
+
+
 @pytest.mark.parametrize("clustered", [True, False])
 def test_recall_of_learned_partitions(spark, monkeypatch, clustered):
     monkeypatch.setattr(ann, "PART_SIZE", 250)

@@ -19,8 +19,8 @@ from tidemark.llm.common import staged
 
 #: Vectors the parts are learned from at most: those with the smallest hash of their id.
 SAMPLE = 6144
-#: Vectors a part should hold, and the most parts a sample can tell apart.
-PART_SIZE, MAX_PARTS = 2000, 64
+#: Vectors a part should hold, the fewest parts (if each has LEAST sample vectors to learn from) and the most a sample can tell apart.
+PART_SIZE, MIN_PARTS, MAX_PARTS, LEAST = 2000, 8, 64, 8
 #: Share of true neighbours that held-out sample queries must find; it sets the number of parts a query visits.
 TARGET_RECALL = 0.95
 GRAPH_DEGREE = 12
@@ -38,7 +38,8 @@ def neighbours(vectors: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` largest inner products of each query, itself included if it is among ``vectors``."""
     out = []
     for at in range(0, len(queries), 1024):
-        scores = queries[at : at + 1024] @ vectors.T
+        with np.errstate(all="ignore"):  # products may overflow
+            scores = queries[at : at + 1024] @ vectors.T
         out.append(np.argpartition(-scores, min(k, scores.shape[1] - 1), axis=1)[:, :k])
     return np.concatenate(out)
 
@@ -102,6 +103,12 @@ def balanced_parts(vectors: np.ndarray, parts: int, degree: int = GRAPH_DEGREE)
     return part
 
 
+def directions(vectors: np.ndarray) -> np.ndarray:
+    """The vectors at length one; those of the largest and smallest finite numbers too."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype(np.float32)
+
+
 @dataclass
 class Router:
     """A network with one hidden layer that gives the probability of each part; ``probes`` parts are visited."""
@@ -111,8 +118,7 @@ class Router:
 
     def probabilities(self, vectors: np.ndarray) -> np.ndarray:
         w1, b1, w2, b2 = self.weights
-        norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-        scores = np.maximum((vectors / norms).astype(np.float32) @ w1 + b1, 0) @ w2 + b2
+        scores = np.maximum(directions(vectors) @ w1 + b1, 0) @ w2 + b2
         scores = np.exp(scores - scores.max(axis=1, keepdims=True))
         return scores / scores.sum(axis=1, keepdims=True)
 
@@ -125,7 +131,7 @@ def train_router(vectors: np.ndarray, targets: np.ndarray, hidden: int = 128, ep
     w = [x.astype(np.float32) for x in w]
     m, v, t = [np.zeros_like(x) for x in w], [np.zeros_like(x) for x in w], 0
     router = Router(w, 1)
-    x_all = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
+    x_all = directions(vectors)
     for epoch in range(epochs):
         rate = 3e-3 * (1 - epoch / epochs) + 1e-4
         for rows in np.array_split(rng.permutation(len(vectors)), max(1, len(vectors) // 256)):
@@ -174,8 +180,9 @@ def search(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", ve
 
     Nearness is the inner product in double precision; ties go to the smaller key. Rows whose vector is null, zero, or has
     null or non-finite components, or another than the commonest number of them, take no part. Equal vectors are one entry that keeps
-    its ``k + 1`` smallest keys, all an answer can name. A repeated key answers and is found once; a null key takes no part. With fewer than ``k``
-    other vectors all are returned.
+    its ``k + 1`` smallest keys, all an answer can name. A repeated key answers and is found once, with the largest product of any of its
+    vectors; a null key takes no part. With fewer than ``k`` other vectors all are returned. Products too large for a double are infinite, and
+    those without a value (infinity minus infinity) come last.
 
     Memory: parts are searched in blocks of VECTOR_BLOCK vectors against QUERY_BLOCK queries, so neither large parts
     nor very common vectors meet in one task.
@@ -189,14 +196,17 @@ def search(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", ve
         return df.sparkSession.createDataFrame([], schema)
     rows = rows.where(F.size("v") == widths[0]["d"])
     # Row limits by rank are applied in each task before the shuffle, so a vector of very many rows costs few of them.
-    near = rows.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= keep)
-    entries = staged(near.groupBy("v").agg(F.array_sort(F.collect_set("id")).alias("ids")).withColumn("rep", F.col("ids")[0]), "ann-entries")
+    once = rows.select("v", "id").distinct()  # rows that repeat take no place from other keys
+    near = once.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= keep)
+    entries = near.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    entries = staged(entries.withColumn("rep", F.monotonically_increasing_id()), "ann-entries")  # one number for each vector, fixed once written
     asked = staged(rows.where("q").select("id", "v").distinct().join(entries.select("v", "rep"), "v").select("id", "rep"), "ann-queries")
     total = entries.count()
-    sample = entries.select("rep", "v").orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("v").toArrow()  # bounded
+    first = F.col("ids")[0]
+    sample = entries.orderBy(F.xxhash64(first), first, "v").limit(SAMPLE).select("v").toArrow()  # bounded
     points = _matrix(sample.column("v").combine_chunks())
     parts = 1
-    while parts * 2 <= min(MAX_PARTS, total / PART_SIZE, len(points) / 64):
+    while parts * 2 <= min(MAX_PARTS, max(MIN_PARTS, total / PART_SIZE), len(points) / LEAST):
         parts *= 2
     router = fit_router(points, parts, k, target) if parts > 1 else None
 
@@ -237,17 +247,27 @@ def search(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", ve
         def solve(ids: list[list[int]], points: list, queries: list[int], vectors: list) -> pa.RecordBatch:
             c, q = np.array(points), np.array(vectors)
             out_q, out_id, out_s = [], [], []
-            scores = q @ c.T
-            cut = min(keep, len(c))
-            least = np.partition(scores, len(c) - cut, axis=1)[:, len(c) - cut] if len(c) > cut else scores.min(axis=1)
-            slack = 1e-12 * (1 + np.abs(least))
-            for i, query in enumerate(queries):
-                near = np.flatnonzero(scores[i] >= least[i] - slack[i])
-                exact = (c[near] * q[i]).sum(axis=1)
-                best = sorted((-s, v) for n, s in zip(near.tolist(), exact.tolist()) for v in ids[n])[:keep]
-                out_q += [query] * len(best)
-                out_id += [v for _, v in best]
-                out_s += [-s for s, _ in best]
+            with np.errstate(all="ignore"):  # products may overflow
+                scores = q @ c.T
+                rounding = 1e-15 * (c.shape[1] + 8) * np.linalg.norm(q, axis=1) * np.linalg.norm(c, axis=1).max()
+                for i, query in enumerate(queries):
+                    cut = keep
+                    while True:  # until so many different keys are among the best
+                        least = -np.partition(-scores[i], cut - 1)[cut - 1] if cut < len(c) else -np.inf
+                        if cut >= len(c) or len({v for n in np.flatnonzero(~(scores[i] < least)) for v in ids[n]}) >= keep:
+                            break
+                        cut *= 4
+                    near = np.flatnonzero(~(scores[i] < least - rounding[i]))
+                    best: dict[int, tuple[bool, float]] = {}
+                    for n, s in zip(near.tolist(), (c[near] * q[i]).sum(axis=1).tolist()):
+                        rank = (s != s, -s)
+                        for v in ids[n]:
+                            if v not in best or rank < best[v]:
+                                best[v] = rank
+                    for (_, s), v in sorted((rank, v) for v, rank in best.items())[:keep]:
+                        out_q.append(query)
+                        out_id.append(v)
+                        out_s.append(-s)
             return pa.RecordBatch.from_arrays([pa.array(out_q, pa.int64()), pa.array(out_id, pa.int64()), pa.array(out_s, pa.float64())], ["rep", "vec_id", "score"])
 
         current, ids, points, queries, vectors = None, [], [], [], []
@@ -269,9 +289,12 @@ def search(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", ve
 
     met = stored.unionByName(posed).repartition("part", "vb", "qb").sortWithinPartitions("part", "vb", "qb", "kind")
     found = met.mapInArrow(score, "rep bigint, vec_id bigint, score double")
-    best = Window.partitionBy("rep").orderBy(F.desc("score"), "vec_id")
-    top = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= keep)
-    lists = top.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("r", "vec_id", "score"))).alias("found"))
-    own = asked.join(lists, "rep").select(F.col("id").alias("query_id"), F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("id")), 1, k).alias("found"))
-    ranked = own.select("query_id", F.posexplode("found").alias("place", "hit"))
-    return ranked.select("query_id", (F.col("place") + 1).alias("rank"), "hit.vec_id", "hit.score")
+    # No value (NaN) ranks below every number.
+    value = F.max(F.struct((~F.isnan("score")).alias("valid"), "score")).alias("s")
+    best = Window.partitionBy("rep").orderBy(F.desc("s"), "vec_id")
+    top = found.groupBy("rep", "vec_id").agg(value).withColumn("r", F.row_number().over(best)).where(F.col("r") <= keep)
+    lists = top.groupBy("rep").agg(F.collect_list(F.struct("vec_id", "s.score")).alias("found"))
+    own = asked.join(lists, "rep").select(F.col("id").alias("query_id"), F.explode("found").alias("hit")).select("query_id", "hit.*")
+    answers = own.where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(value)
+    ranked = answers.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("s"), "vec_id"))).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "s.score")
