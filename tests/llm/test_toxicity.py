@@ -55,6 +55,15 @@ def test_labels_of_the_held_out_fold_change_nothing(tables, spark):
     assert one == two
 
 
+def test_scores_do_not_depend_on_the_layout(tables, spark):
+    docs, labels, _ = tables
+    copies = docs.unionByName(docs.where("doc_id < 200").selectExpr("doc_id + 1000 AS doc_id", "concat(text, ' more') AS text", "score"))
+    marks = labels.unionByName(labels.where("doc_id < 200").selectExpr("doc_id + 1000 AS doc_id", "quality", "1 - toxic AS toxic"))
+    spread = copies.repartition(7, F.xxhash64("text")).sortWithinPartitions(F.desc("doc_id"))
+    one, two = ({r["doc_id"]: r["score"] for r in t.score_documents(x, y).collect()} for x, y in ((copies.coalesce(1), marks), (spread, marks.repartition(3))))
+    assert one == two
+
+
 def test_voters_and_label_model():
     rng = np.random.default_rng(0)
     y = rng.random(3000) < 0.2

@@ -82,7 +82,7 @@ class ToxicityModel:
 
     def score(self, text: str | None) -> float:
         hits, _ = self.hits(text)
-        total = sum(self.weights[kind][item] for kind, items in hits.items() for item in items)
+        total = math.fsum(self.weights[kind][item] for kind, items in hits.items() for item in items)  # in any order
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.intercept + total + self.count_weight * math.log1p(sum(map(len, hits.values())))))))
 
 
@@ -95,15 +95,16 @@ def training_rows(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_R
     """``rid, toxic, text``, staged: at most ``max_rows`` labelled ids outside the held-out fold, smallest hash first.
 
     Rows without a label or with a null id or label are left out; an id labelled twice counts as toxic if one label says so. Of the
-    texts of one id the one with the smallest hash stands for it, so there are at most ``max_rows`` rows too.
+    texts of one id the one with the smallest hash stands for it, so there are at most ``max_rows`` rows too. ``rid`` is that id:
+    nothing a model is made of depends on how the rows lie in files and partitions.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = known.where(remainder(F.col("doc_id")) != 2).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    numbered = documents.select("doc_id", "text", F.monotonically_increasing_id().alias("rid")).join(F.broadcast(picked), "doc_id")
+    sample = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     # A minimum is combined in each task, so an id of very many rows is no hot key.
-    least = F.min(F.struct(F.col("text").isNull().alias("none"), F.xxhash64("text").alias("h"), "text", "rid")).alias("r")
-    rows = numbered.groupBy("doc_id").agg(least, F.first("toxic").alias("toxic"))
-    return staged(rows.select("r.rid", F.col("toxic").cast("int").alias("toxic"), "r.text"), "toxicity-rows")
+    least = F.min(F.struct(F.col("text").isNull().alias("none"), F.xxhash64("text").alias("h"), "text")).alias("r")
+    rows = sample.groupBy("doc_id").agg(least, F.first("toxic").alias("toxic"))
+    return staged(rows.select(F.col("doc_id").alias("rid"), F.col("toxic").cast("int").alias("toxic"), "r.text"), "toxicity-rows")
 
 
 def _sketches(text: str | None, n: int = 3) -> list[int]:
@@ -114,7 +115,7 @@ def _sketches(text: str | None, n: int = 3) -> list[int]:
 
 
 def without_copies(rows: DataFrame) -> DataFrame:
-    """The sample with one row of each set of near copies, whose words would look telling by mere repetition."""
+    """The sample with one row of each set of near copies, that of the smallest id: their words would look telling by mere repetition."""
 
     def sketch(texts: pd.Series) -> pd.Series:
         return pd.Series([_sketches(t) for t in texts])
@@ -125,9 +126,9 @@ def without_copies(rows: DataFrame) -> DataFrame:
     for rid, marks in zip(known["rid"], known["s"]):
         marks = set(enumerate(int(m) for m in marks))
         if not marks & seen:
-            kept.append((int(rid),))
+            kept.append((rid,))
         seen |= marks
-    return rows.join(F.broadcast(rows.sparkSession.createDataFrame(kept, "rid bigint")), "rid")
+    return rows.join(F.broadcast(rows.sparkSession.createDataFrame(kept, rows.select("rid").schema)), "rid")
 
 
 def _feature_counts(rows: DataFrame, among: set[str] | None = None) -> DataFrame:
@@ -256,7 +257,8 @@ def fit(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> To
             out.append((votes_of(hits, n_words), [order[k, item] for k, items in hits.items() for item in items]))
         return pd.DataFrame(out, columns=["votes", "places"])
 
-    seen = rows.select(F.pandas_udf(look, "votes array<int>, places array<int>")("text").alias("r")).select("r.*").toPandas()  # bounded sample
+    looked = rows.select("rid", F.pandas_udf(look, "votes array<int>, places array<int>")("text").alias("r")).select("rid", "r.*")
+    seen = looked.toPandas().sort_values("rid")  # bounded sample, in an order of its own
     votes = np.array(seen["votes"].tolist(), dtype=float)
     posterior, voters, _ = label_model(votes, counts["p"] / counts["n"])
     x = np.zeros((len(seen), len(order) + 1), np.float32)
