@@ -64,12 +64,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no 10-word window of a test text occurs.
 
-    Null, empty and wordless texts stay, also where they repeat; an empty benchmark removes nothing.
+    Null, empty and wordless texts stay, also where they repeat; repeated rows and rows of one id are judged by their own texts; an empty
+    benchmark removes nothing.
     """
+    whole = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     mark = fresh(docs.columns, "mark")
-    marked = docs.withColumn(mark, F.struct("doc_id", F.xxhash64("doc_id", "text").alias("h")))
-    found = decontaminate.decontaminate(marked, benchmark, key=mark).where("contaminated").select(F.col(f"{mark}.h").alias("h")).distinct()
-    return docs.join(found, F.xxhash64(docs["doc_id"], docs["text"]) == found["h"], "left_anti")
+    marked = docs.withColumn(mark, F.struct(F.col("doc_id").alias("id"), whole.alias("text")))
+    found = decontaminate.decontaminate(marked, benchmark, key=mark).where("contaminated").select(F.col(mark)["id"].alias("id"), F.col(mark)["text"].alias("text")).distinct()
+    # Row by id and whole text: a clash of short hashes would lose a clean one.
+    same = docs["doc_id"].eqNullSafe(found["id"]) & (F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")) == found["text"])
+    return docs.join(found, same, "left_anti")
 
 
 def encoded(docs: DataFrame) -> DataFrame:
