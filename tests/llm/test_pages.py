@@ -52,6 +52,20 @@ def test_a_missing_end_tag_cuts_nothing_off():
     assert main("<article><p>one<script>var x<p>two</article>") == ["one"]
 
 
+def test_chrome_inside_a_block_leaves_one_line():
+    def main(html):
+        return [x for x, r in zip(*pages.text_lines(f"<article>{html}</article>")) if r == pages.MAIN]
+
+    assert main('<p>k <span class="ad">x</span> l</p>') == ["k l"]
+    assert main('<p>k<span class="ad">x <b>y</b> <span>z</span></span>l &amp;<button>b</button>m</p>') == ["k l & m"]
+    assert main("<button>b</button> end") == ["end"] and main("<label>c</label>") == []
+    assert main('<a class="promo"><div>buy</div><p>now</p></a><p>story</p>') == ["story"]
+    assert main('<p>k <b>a <span class="ad">x</b> l</p><p>next</p>') == ["k a", "next"]  # no end tag: to the end of its block
+    assert main('<p>k <span class="ad">x</p><p>next</p>') == ["k", "next"]
+    lines, regions = pages.text_lines('<nav><p>menu</p></nav><p>one <i class="ad">x</p>two')
+    assert sorted(zip(lines, regions)) == [("menu", pages.CHROME), ("one", pages.UNMARKED), ("two", pages.UNMARKED), ("x", pages.CHROME)]
+
+
 SCHEMA = "page_id bigint, url string, html string, text string"
 
 

@@ -122,10 +122,12 @@ def text_lines(html: str | None) -> tuple[list[str], list[int]]:
     """The text blocks of a page in order, and the region of each.
 
     Character references are decoded, white space within a block becomes one space, empty blocks are left out.
-    Unclosed elements end with the element around them; an unclosed paragraph or list item ends at the next one.
+    Unclosed elements end with the element around them; an unclosed paragraph or list item ends at the next one. Chrome inside a block (an
+    advert in a ``span``, a button, a label) leaves a space in its place, and the block stays one line.
     """
     html = html or ""
-    lines, regions, buffer = [], [], []
+    lines, regions = [], []
+    buffer: list[tuple[str, int]] = []  # the pieces of the block being read, and the region of each
     stack: list[tuple[str, int]] = []
     position, size = 0, len(html)
     closed: dict[str, set[int]] = {}
@@ -134,13 +136,20 @@ def text_lines(html: str | None) -> tuple[list[str], list[int]]:
     def region() -> int:
         return stack[-1][1] if stack else UNMARKED
 
+    def own_end(tag: str) -> int | None:
+        """Where an element just opened ends, if it has an end tag of its own within the element around it."""
+        if tag not in closed:
+            closed[tag] = _closed(html, tag)
+        return _end_of(html, tag, position, {name for name, _ in stack}) if position in closed[tag] else None
+
     def flush() -> None:
-        if buffer:
-            line = " ".join(entities.unescape("".join(buffer)).split())
+        own = next((r for _, r in buffer if r != CHROME), CHROME)
+        for kind in {own, CHROME}:
+            line = " ".join(entities.unescape("".join(piece for piece, r in buffer if (r == CHROME) == (kind == CHROME))).split())
             if line:
                 lines.append(line)
-                regions.append(region())
-            buffer.clear()
+                regions.append(kind)
+        buffer.clear()
 
     while position < size:
         token = _TOKEN.match(html, position)
@@ -148,13 +157,13 @@ def text_lines(html: str | None) -> tuple[list[str], list[int]]:
         tag = token[2]
         if tag is None:
             if html[token.start()] != "<" or token.end() - token.start() == 1:
-                buffer.append(token[0])
+                buffer.append((token[0], region()))
             continue
         tag = tag.lower()
         if tag in _BLOCK:
             flush()
         elif tag == "br":
-            buffer.append(" ")
+            buffer.append((" ", region()))
         within = bool(stack) and stack[-1][0] in _EMBEDDED
         if token[1]:
             if within and tag not in _BLOCK:
@@ -179,9 +188,7 @@ def text_lines(html: str | None) -> tuple[list[str], list[int]]:
                 position = end.end() if end else size
             continue
         if tag in _EMBEDDED:
-            if tag not in closed:
-                closed[tag] = _closed(html, tag)
-            end = _end_of(html, tag, position, {name for name, _ in stack}) if position in closed[tag] else None
+            end = own_end(tag)
             if end is not None:
                 position = end
             elif not within:
@@ -198,7 +205,11 @@ def text_lines(html: str | None) -> tuple[list[str], list[int]]:
         inside = _region_of(tag, token[3], region(), any(r in (MAIN, WRAPPED) for _, r in stack))
         if tag in _BLOCK or inside != region() or any(name == tag for name, _ in stack):
             if tag not in _BLOCK and inside != region():
-                flush()
+                buffer.append((" ", region()))
+                end = own_end(tag)
+                if end is not None:  # whole, with what blocks it holds
+                    position = end
+                    continue
             stack.append((tag, inside))
     flush()
     return lines, regions
