@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import connected_components, giving_back, staged
 
 #: Tokens of one block in verification; larger candidate groups are split and compared block by block.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 #: Linked sets share one signature more for every so many tokens by which they may differ.
 MARGIN = 12
 #: What a false agreement costs, in signatures.
@@ -266,22 +266,27 @@ def linked(a: int, b: int, common: int, percent: int) -> bool:
 def verify_group(ids: list[int], sets: list[np.ndarray], sides: list[int], percent: int) -> list[tuple[int, int]]:
     """Links that connect what is connected among the sets, by exact intersection sizes.
 
-    Pairs that are connected already are skipped. With two sides only pairs across them are compared. Sets are met through their
+    ``sets`` is emptied to save memory. Pairs that are connected already are skipped. With two sides only pairs across them are compared. Sets are met through their
     rarest tokens: two sets that reach the threshold share one among the rarest ``n - ceil(n * percent / 100) + 1`` of each.
     """
     label = np.arange(len(ids))
     two = len(set(sides)) > 1
     sizes = np.array([len(s) for s in sets])
     values, inverse = np.unique(np.concatenate(sets), return_inverse=True)
-    rarity = np.argsort(np.argsort(np.bincount(inverse), kind="stable"), kind="stable")
+    sets.clear()  # ranks stand for tokens from here on, in half the bytes
+    n_values, inverse = len(values), inverse.astype(np.int32)
+    del values
+    rarity = np.empty(n_values, np.int32)
+    rarity[np.argsort(np.bincount(inverse), kind="stable")] = np.arange(n_values, dtype=np.int32)
     ends = np.cumsum(sizes)
     ranked = [np.sort(rarity[inverse[e - n : e]]) for e, n in zip(ends, sizes)]
+    del inverse, rarity
     prefix = [r[: n - -(-n * percent // 100) + 1] for r, n in zip(ranked, sizes)]
     owner = np.repeat(np.arange(len(ids)), [len(p) for p in prefix])
     tokens = np.concatenate(prefix)
     order = np.argsort(tokens, kind="stable")
     tokens, owner = tokens[order], owner[order]
-    side, flag, links = np.array(sides), np.zeros(len(values), np.int32), []
+    side, flag, links = np.array(sides), np.zeros(n_values, np.int32), []
     for x in range(len(ids)):
         near = np.flatnonzero(label[x + 1 :] != label[x]) + x + 1
         near = near[100 * np.minimum(sizes[near], sizes[x]) >= percent * np.maximum(sizes[near], sizes[x])]
@@ -313,7 +318,9 @@ def verify(members: DataFrame, words: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def result(group: list) -> pa.RecordBatch:
-            links = verify_group([g[0] for g in group], [g[1] for g in group], [g[2] for g in group], percent) if len(group) > 1 else []
+            ids, sets, sides = ([g[k] for g in group] for k in range(3))
+            group.clear()
+            links = verify_group(ids, sets, sides, percent)
             return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
 
         current, group = None, []
