@@ -21,6 +21,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import DROPS
+
 #: Memo entries of a worker (pre-token to packed ids); it is emptied when full.
 MEMO = 1_000_000
 #: Characters tokenised at a time, so that token lists stay small; single texts may be longer.
@@ -141,6 +143,9 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+DROPS.append(codec.cache_clear)
+
+
 def public_codec() -> Codec:
     """The codec of the public multilingual vocabulary, read where the worker runs."""
     import public_tokenizers

@@ -97,6 +97,10 @@ def connected_components(edges: DataFrame, label: str, max_rounds: int = 60) ->
     return roots.unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("component")))
 
 
+#: What a worker calls before it serves another operator: each empties a table that an operator keeps from task to task.
+DROPS: list[Callable[[], None]] = []
+
+
 def give_back() -> None:
     """Return memory that a Python worker has freed to the system: workers live on and serve other functions."""
     gc.collect()
@@ -106,10 +110,15 @@ def give_back() -> None:
         trim(0)
 
 
-def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """A task function that does what ``run`` does, then returns what memory it has freed."""
+def giving_back(run: Callable[[Iterator], Iterator]):
+    """A task function that does what ``run`` does, then returns what memory it has freed.
+
+    Tables that other operators keep in the worker (``DROPS``) go first.
+    """
 
-    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def wrapped(batches: Iterator) -> Iterator:
+        for drop in DROPS:
+            drop()
         give_back()
         yield from run(batches)
         give_back()
@@ -117,6 +126,13 @@ def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     return wrapped
 
 
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def let(value: Column, use) -> Column:
     """``use(value)`` with ``value`` evaluated once for each row, however often ``use`` refers to it."""
     return F.transform(F.array(value), use)[0]

@@ -26,6 +26,8 @@ from tidemark.llm.common import connected_components, giving_back, staged
 
 #: Tokens of one block in verification; larger candidate groups are split and compared block by block.
 BLOCK_TOKENS = 1_000_000
+#: Signatures that a task gathers before it hands them on.
+FLUSH = 100_000
 #: Linked sets share one signature more for every so many tokens by which they may differ.
 MARGIN = 12
 #: What a false agreement costs, in signatures.
@@ -157,6 +159,20 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+_ROW = ["sig", "sh", "key", "th", "n"]
+
+
+def _signature_rows(sigs: list[np.ndarray], owners: list[np.ndarray], bands: list[np.ndarray], key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """The signatures gathered, at most FLUSH to a batch; the lists are emptied."""
+    sig, owner, band = np.concatenate(sigs), np.concatenate(owners), np.concatenate(bands)
+    for gathered in (sigs, owners, bands):
+        gathered.clear()
+    for at in range(0, len(sig), FLUSH):
+        part = slice(at, at + FLUSH)
+        none = pa.nulls(len(sig[part]), pa.int64())
+        yield pa.RecordBatch.from_arrays([_signed(sig[part]), _signed(owner[part]), none.cast(key_type), none, pa.array(band[part])], _ROW)
+
+
 def emit(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """``sig, sh, key, th, n`` for ``th, key, text``: a row per document (``n`` its size) and a row per signature.
 
@@ -167,9 +183,9 @@ def emit(texts: DataFrame, words: int, percent: int) -> DataFrame:
         seen: set[int] = set()
         row = 0
         for batch in batches:
-            hashes, sizes, sigs, owners, bands = [], [], [], [], []
-            for text in batch.column(2).to_pylist():
-                tokens = shingles(text, words)
+            hashes, sizes, sigs, owners, bands, waiting = [], [], [], [], [], 0
+            for text in batch.column(2):
+                tokens = shingles(text.as_py(), words)
                 sh = xxhash.xxh3_64_intdigest(tokens.tobytes())
                 hashes.append(sh)
                 sizes.append(len(tokens))
@@ -179,20 +195,17 @@ def emit(texts: DataFrame, words: int, percent: int) -> DataFrame:
                         sigs.append(found)
                         owners.append(np.full(len(found), sh, np.uint64))
                         bands.append(np.full(len(found), -1 - band, np.int32))
+                        waiting += len(found)
+                    if waiting >= FLUSH:
+                        yield from _signature_rows(sigs, owners, bands, batch.column(1).type)
+                        waiting = 0
             n = len(hashes)
             spread = _mix(np.arange(row, row + n, dtype=np.uint64))
             row += n
             own = np.array(hashes, np.uint64)
-            names = ["sig", "sh", "key", "th", "n"]
-            yield pa.RecordBatch.from_arrays([_signed(spread), _signed(own), batch.column(1), batch.column(0), pa.array(sizes, pa.int32())], names)
+            yield pa.RecordBatch.from_arrays([_signed(spread), _signed(own), batch.column(1), batch.column(0), pa.array(sizes, pa.int32())], _ROW)
             if sigs:
-                sig, owner, band = np.concatenate(sigs), np.concatenate(owners), np.concatenate(bands)
-                for at in range(0, len(sig), 100_000):
-                    part = sig[at : at + 100_000]
-                    none = pa.nulls(len(part), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [_signed(part), _signed(owner[at : at + 100_000]), none.cast(batch.column(1).type), none, pa.array(band[at : at + 100_000])], names
-                    )
+                yield from _signature_rows(sigs, owners, bands, batch.column(1).type)
 
     return texts.select("th", "key", "text").mapInArrow(giving_back(run), f"sig bigint, sh bigint, key {texts.schema['key'].dataType.simpleString()}, th bigint, n int")
 

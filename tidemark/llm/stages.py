@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, jaccard, suffix, toxicity
-from tidemark.llm.common import fresh, give_back, giving_back, staged
+from tidemark.llm.common import fresh, give_back, giving_back, sliced, staged
 
 #: Pre-tokens that a task of the last stage takes over from earlier ones on its worker.
 KEPT_MEMO = 150_000
@@ -52,7 +52,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     kept = staged(suffix.remove_repeats(rows, key="key", with_text=True).select("key", "kept"), "stages-kept")
 
     def decode(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [data.decode(errors="ignore") for data in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["key", "text"])
 

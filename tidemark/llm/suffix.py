@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import giving_back, sliced, staged
 from tidemark.llm.sais import permuted_prefixes, suffix_array
 
 LENGTH = 200
@@ -97,7 +97,7 @@ def anchor_rows(texts: DataFrame, length: int, k: int) -> DataFrame:
                 ["anchor", "th", "tk", "first", "windows"],
             )
 
-        for batch in batches:
+        for batch in sliced(batches):
             part, size = [], 0
             for th, tk, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if (th, tk) in seen:
@@ -113,7 +113,7 @@ def anchor_rows(texts: DataFrame, length: int, k: int) -> DataFrame:
                 yield result(part)
 
     long_enough = texts.where(F.octet_length("text") >= length).select("th", "tk", "text")
-    return long_enough.mapInArrow(run, "anchor bigint, th bigint, tk bigint, first bigint, windows int")
+    return long_enough.mapInArrow(giving_back(run), "anchor bigint, th bigint, tk bigint, first bigint, windows int")
 
 
 def repeated_anchors(rows: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ def stretches(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
                     chunk = out[at : at + 20_000]
                     yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in chunk], k) for i, k in enumerate(kinds)], names)
 
-    return once.join(listed, ["th", "tk"]).select("th", "tk", "text", "places").mapInArrow(run, _PART_SCHEMA)
+    return once.join(listed, ["th", "tk"]).select("th", "tk", "text", "places").mapInArrow(giving_back(run), _PART_SCHEMA)
 
 
 def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
@@ -280,7 +280,7 @@ def shard_spans(rows: DataFrame, length: int, shard: int, group: int) -> DataFra
             yield _span_batch(out)
 
     ordered = rows.repartition("anchor").sortWithinPartitions("anchor", "s1", "s2", F.col("part").isNull())
-    return ordered.mapInArrow(run, _SPAN_SCHEMA)
+    return ordered.mapInArrow(giving_back(run), _SPAN_SCHEMA)
 
 
 def overflow_spans(rows: DataFrame, length: int) -> DataFrame:
@@ -368,7 +368,7 @@ def _removed(rows: DataFrame, length: int, k: int, shard: int, group: int, with_
     result = ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for value, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 data = value.encode()
@@ -384,4 +384,4 @@ def _removed(rows: DataFrame, length: int, k: int, shard: int, group: int, with_
 
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text
-    return joined.mapInArrow(cut, schema).withColumnRenamed("key", names[0])
+    return joined.mapInArrow(giving_back(cut), schema).withColumnRenamed("key", names[0])

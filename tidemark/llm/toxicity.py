@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import giving_back, staged
 
 #: Labelled rows a model is fitted on at most: those with the smallest hash of their id.
 MAX_ROWS = 20_000
@@ -141,7 +141,7 @@ def _feature_counts(rows: DataFrame, among: set[str] | None = None) -> DataFrame
                 seen.update(_tagged(text) if among is None else among.intersection(_tagged(text)))
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["feature", "n"])
 
-    return rows.select("text").mapInArrow(count, "feature string, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
+    return rows.select("text").mapInArrow(giving_back(count), "feature string, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 def draw_lexicon(rows: DataFrame, n_rows: int, n_toxic: int) -> dict[str, float]:
@@ -277,10 +277,13 @@ def toxicity_score(model: ToxicityModel, text: Column) -> Column:
     """The score of a text, 0 to 1; null is an empty text. Only the text is read."""
     slim = ToxicityModel(model.intercept, model.count_weight, model.weights)
 
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([slim.score(t) for t in texts], dtype=float)
 
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from giving_back(scored)(batches)
+
     return F.pandas_udf(score, "double")(text.cast("string"))
 
 
