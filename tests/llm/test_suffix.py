@@ -115,3 +115,53 @@ def test_copies_lose_everything_and_short_texts_nothing(spark):
     rows = [(1, "w" + "é" * 120, ""), (1, "w" + "é" * 120, ""), (2, "short", ""), (3, "short", "")]
     got = sorted(tuple(r)[:4] for r in suffix.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == [(1, 241, 241, 1), (1, 241, 241, 1), (2, 5, 0, 0), (3, 5, 0, 0)]
+
+
+def test_induction_takes_few_sweeps_on_repeating_texts(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+    passages = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(20)]
+    parts = [(rng.choice(words) + rng.choice(passages)[rng.randrange(40) :]).encode() for _ in range(300)]
+    raw = b"\xff".join(parts) + b"\xff"
+    sweeps = []
+    place = sais._place
+    monkeypatch.setattr(sais, "_place", lambda *given: (sweeps.append(1), place(*given)))
+    text = np.append(np.frombuffer(raw, np.uint8) + np.uint8(2), np.uint8(0))
+    order = sais.suffix_array(text)
+    data = text.tobytes()
+    assert order.tolist() == sorted(range(len(data)), key=lambda i: data[i:])
+    assert len(sweeps) < 150
+
+
+@pytest.mark.parametrize(("group", "shard"), [(6_000_000, 1_500_000), (200, 1_000)])
+def test_stretches_that_cross_batches(spark, group, shard):
+    texts = made_texts(11, n=15)
+    rows = [(i, t, "clash") for i, t in enumerate(texts)]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    try:
+        got = suffix.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(2), length=32, k=8, shard=shard, group=group).collect()
+    finally:
+        spark.conf.set(name, before)
+    want = expected([(t or "").encode() for t in texts], 32)
+    assert sorted(tuple(r) for r in got) == sorted((i, *w) for i, w in enumerate(want))
+
+
+def test_ranges_of_parts_match_brute_force():
+    for seed in range(30):
+        rng = random.Random(seed)
+        parts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(8, 40))) for _ in range(rng.randrange(1, 6))]
+        flags = brute(parts, 8)
+        got = [bytearray(len(p)) for p in parts]
+        for part, low, high in zip(*(c.tolist() for c in suffix.repeated_ranges(parts, 8))):
+            got[part][low:high] = b"\1" * (high - low)
+        assert got == flags
+
+
+def test_anchors_pass_over_texts_without_a_window():
+    rng = random.Random(9)
+    texts = [bytes(rng.choice(b"abcd") for _ in range(n)) for n in (0, 31, 90, 0, 5, 32, 31)]
+    number, _, first, count = suffix.anchors(texts, 32, 8)
+    windows = sorted((t, i) for t, f, c in zip(number.tolist(), first.tolist(), count.tolist()) for i in range(f, f + c))
+    assert windows == [(t, i) for t, text in enumerate(texts) for i in range(len(text) - 31)]

@@ -72,11 +72,37 @@ def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray, starts: np.nda
     return sa
 
 
+def _sorted_names(names: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of ``names``, of which a prefix is the smaller one, by doubling the length they are compared by.
+
+    Induction would need a sweep for nearly every few names, as there are many different ones; here a round is a sort, and
+    only suffixes that are not told apart yet take part.
+    """
+    n = len(names)
+    order = np.argsort(names, kind="stable")
+    rank = np.zeros(n + 1, np.int64)  # first slot of the suffixes that are equal so far, from 1; 0 is behind the end
+    slots, sorted_by, size = np.arange(n), names[order], 1
+    while True:
+        new = np.ones(len(slots) + 1, bool)
+        new[1:-1] = sorted_by[1:] != sorted_by[:-1]
+        first = np.maximum.accumulate(np.where(new[:-1], np.arange(len(slots)), 0))
+        rank[order[slots]] = slots[first] + 1
+        slots = slots[~(new[:-1] & new[1:])]
+        if not len(slots):
+            return order
+        at = order[slots]
+        sorted_by = rank[at] * (n + 1) + rank[np.minimum(at + size, n)]
+        turn = np.argsort(sorted_by)
+        order[slots], sorted_by = at[turn], sorted_by[turn]
+        size *= 2
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Suffix array of ``text``, whose last symbol is its only 0 and its least.
 
     Suffixes are classified as smaller or larger than their successor; the substrings between leftmost-smaller
-    positions are sorted by one induction, named, and sorted recursively if names repeat; a second induction gives the array.
+    positions are sorted by one induction and named; if names repeat, :func:`_sorted_names` sorts the suffixes of the names; a second
+    induction gives the array.
     """
     n = len(text)
     if n == 1:
@@ -112,7 +138,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         if names[-1] + 1 < len(order):
             named = np.zeros(n, np.int32)
             named[order] = names
-            order = lms[suffix_array(named[lms])]
+            order = lms[_sorted_names(named[lms])]
         lms = order
     return _induce(text, small, lms, starts, ends, larger)
 

@@ -21,9 +21,11 @@ from tidemark.llm.sais import permuted_prefixes, suffix_array
 
 LENGTH = 200
 K = 64
-#: Bytes searched for anchors at a time, bytes of one suffix array, and bytes of one anchor's stretches beyond which they are compared by
-#: window instead (see :func:`overflow_spans`).
+#: Bytes of a text searched for anchors at a time, bytes of one suffix array, and bytes of one anchor's stretches beyond which they are
+#: compared by window instead (see :func:`overflow_spans`).
 CHUNK, SHARD, GROUP = 2_000_000, 1_500_000, 6_000_000
+#: Bytes of short texts searched together (the arrays over them should stay in a core's cache), and places of one batch of stretches.
+BLOCK, PLACES = 250_000, 20_000
 _PLACE_BITS = 23
 
 
@@ -38,8 +40,12 @@ _BYTE = _scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7
 def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
     """Hash of the ``k`` bytes (a power of two) from each position on."""
     out, size, factor = _BYTE[data], 1, 0x9E3779B97F4A7C15
+    spare = np.empty_like(out)
     while size < k:
-        out = out[:-size] * np.uint64(factor) + out[size:]
+        into = spare[: max(0, len(out) - size)]
+        np.multiply(out[:-size], np.uint64(factor), out=into)
+        into += out[size:]
+        out, spare = into, out
         size, factor = size * 2, factor * factor & (1 << 64) - 1
     return _scramble(out)
 
@@ -49,23 +55,27 @@ def anchors(texts: list[bytes], length: int, k: int) -> tuple[np.ndarray, np.nda
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts])
     ends = np.cumsum(sizes)
+    starts = ends - sizes
     hashes = gram_hashes(data, k)
     packed = hashes >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS) | np.arange(len(hashes), dtype=np.uint64)
     grams, width = length - k + 1, 1
-    while width * 2 <= grams:
-        packed = np.minimum(packed[:-width], packed[width:])
-        width *= 2
-    if width < grams:
-        packed = np.minimum(packed[: len(packed) - (grams - width)], packed[grams - width :])
-    anchor = (packed & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
-    owner = np.repeat(np.arange(len(texts)), sizes)[: len(anchor)]
-    inside = np.arange(len(anchor)) + length <= ends[owner]
-    turn = np.ones(len(anchor), bool)
-    turn[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1]) | ~inside[:-1]
-    first = np.flatnonzero(turn & inside)
-    run = np.cumsum(turn & inside) - 1
-    count = np.bincount(run[inside], minlength=len(first))
-    return owner[first], hashes[anchor[first]], first - (ends - sizes)[owner[first]], count
+    spare = np.empty_like(packed)
+    while width < grams:
+        step = min(width, grams - width)
+        packed, spare = np.minimum(packed[:-step], packed[step:], out=spare[: max(0, len(packed) - step)]), packed
+        width += step
+    # Runs begin where the anchor changes, at a text's first window and behind its last.
+    turn = np.ones(len(packed), bool)
+    turn[1:] = packed[1:] != packed[:-1]
+    edges = np.concatenate([starts, ends - length + 1])[np.tile(sizes >= length, 2)]
+    turn[edges[edges < len(turn)]] = True
+    first = np.flatnonzero(turn)
+    count = np.diff(np.append(first, len(turn)))
+    owner = np.searchsorted(ends, first, side="right")
+    inside = first + length <= ends[owner]
+    first, count, owner = first[inside], count[inside], owner[inside]
+    anchor = (packed[first] & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
+    return owner, hashes[anchor], first - starts[owner], count
 
 
 def _pieces(text: bytes, length: int) -> Iterator[tuple[int, bytes]]:
@@ -103,8 +113,8 @@ def anchor_rows(texts: DataFrame, length: int, k: int) -> DataFrame:
                 if (th, tk) in seen:
                     continue
                 seen.add((th, tk))
-                for base, piece in _pieces(text.encode(), length):
-                    if size + len(piece) > CHUNK and part:
+                for base, piece in _pieces(text, length):
+                    if size + len(piece) > BLOCK and part:
                         yield result(part)
                         part, size = [], 0
                     part.append((th, tk, base, piece))
@@ -112,7 +122,7 @@ def anchor_rows(texts: DataFrame, length: int, k: int) -> DataFrame:
             if part:
                 yield result(part)
 
-    long_enough = texts.where(F.octet_length("text") >= length).select("th", "tk", "text")
+    long_enough = texts.where(F.octet_length("text") >= length).select("th", "tk", F.col("text").cast("binary"))
     return long_enough.mapInArrow(giving_back(run), "anchor bigint, th bigint, tk bigint, first bigint, windows int")
 
 
@@ -155,54 +165,79 @@ def stretches(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
     once = texts.groupBy("th", "tk").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen: set[bytes] = set()
         kinds = [pa.int64()] * 6 + [pa.int32(), pa.binary()]
         names = [c.split()[0] for c in _PART_SCHEMA.split(", ")]
+
+        def result(held: list[tuple]) -> pa.RecordBatch:
+            marks, parts = [], []
+            for _, _, data, places in held:
+                for first, windows in zip(places.field(1).to_pylist(), places.field(2).to_pylist()):
+                    part = data[first : first + windows + length - 1]
+                    mark = xxhash.xxh3_128_digest(part)
+                    marks.append(mark)
+                    parts.append(None if mark in seen else part)
+                    seen.add(mark)
+            mark = np.frombuffer(b"".join(marks), np.int64).reshape(-1, 2)
+            sizes = [len(h[3]) for h in held]
+            th, tk = (np.repeat(np.array([h[i] for h in held], np.int64), sizes) for i in (0, 1))
+            anchor, first, windows = (np.concatenate([h[3].field(i).to_numpy(zero_copy_only=False) for h in held]) for i in range(3))
+            columns = [anchor, mark[:, 0], mark[:, 1], th, tk, first, windows, parts]
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names)
+
+        held, size = [], 0
         for batch in batches:
             for row in range(batch.num_rows):
-                th, tk = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-                data = batch.column(2)[row].as_py().encode()
-                out = []
-                here = batch.column(3)[row].values
-                for anchor, first, windows in zip(*(here.field(i).to_pylist() for i in range(3))):
-                    part = data[first : first + windows + length - 1]
-                    mark = xxhash.xxh3_128_intdigest(part)
-                    s1, s2 = (mark >> 64) - (1 << 63), (mark & (1 << 64) - 1) - (1 << 63)
-                    out.append((anchor, s1, s2, th, tk, first, windows, None if (s1, s2) in seen else part))
-                    seen.add((s1, s2))
-                for at in range(0, len(out), 20_000):
-                    chunk = out[at : at + 20_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in chunk], k) for i, k in enumerate(kinds)], names)
-
-    return once.join(listed, ["th", "tk"]).select("th", "tk", "text", "places").mapInArrow(giving_back(run), _PART_SCHEMA)
-
-
-def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
-    """For each stretch which of its windows stand elsewhere in the stretches too, by one suffix array over all of them."""
+                th, tk, data = (batch.column(i)[row].as_py() for i in range(3))
+                places = batch.column(3)[row].values
+                for at in range(0, len(places), PLACES):
+                    held.append((th, tk, data, places[at : at + PLACES]))
+                    size += len(held[-1][3])
+                    if size >= PLACES:
+                        yield result(held)
+                        held, size = [], 0
+        if held:
+            yield result(held)
+
+    return once.join(listed, ["th", "tk"]).select("th", "tk", F.col("text").cast("binary"), "places").mapInArrow(giving_back(run), _PART_SCHEMA)
+
+
+def repeated_ranges(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``part number, low, high``: what the windows cover that stand elsewhere in the parts too, by one suffix array over all of them."""
     joined = b"\xff".join(parts) + b"\xff"  # no byte of UTF-8, so no window crosses it
     text = np.append(np.frombuffer(joined, np.uint8) + np.uint8(2), np.uint8(0))  # 0xff wraps to 1, the end is 0
     before, prefix = permuted_prefixes(text, suffix_array(text))
     hit = np.flatnonzero(prefix >= length)
-    marked = np.zeros(len(text), bool)
+    marked = np.zeros(len(text) + 1, bool)
     marked[hit] = True
     marked[before[hit]] = True
-    starts = np.cumsum([0] + [len(p) + 1 for p in parts[:-1]])
-    return [marked[s : s + len(p) - length + 1] for s, p in zip(starts, parts)]
-
-
-def _runs(flags: np.ndarray, first: int, length: int) -> list[tuple[int, int]]:
-    """The byte ranges that marked windows cover."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], flags, [False]]).astype(np.int8)))
-    return [(first + int(a), first + int(b) + length - 1) for a, b in zip(edges[::2], edges[1::2])]
+    sizes = np.array([len(p) for p in parts])
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    # Common prefixes may reach over the end of a part: only whole windows count, and runs end with them.
+    edges = np.zeros(len(text) + 2, np.int8)
+    edges[starts], edges[starts + sizes - length + 1] = 1, -1
+    marked &= np.cumsum(edges[:-1], dtype=np.int8) > 0
+    turns = np.flatnonzero(marked[1:] != marked[:-1]) + 1
+    low, high = (turns[::2], turns[1::2]) if not marked[0] else (np.append(0, turns[1::2]), turns[::2])
+    part = np.searchsorted(starts, low, side="right") - 1
+    return part, low - starts[part], high - starts[part] + length - 1
 
 
 _SPAN_SCHEMA = "th bigint, tk bigint, low bigint, high bigint, anchor bigint, part binary"
 _SPAN_KINDS = [pa.int64()] * 5 + [pa.binary()]
 
 
+_SPAN_NAMES = [c.split()[0] for c in _SPAN_SCHEMA.split(", ")]
+
+
 def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = [c.split()[0] for c in _SPAN_SCHEMA.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(_SPAN_KINDS)], names)
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(_SPAN_KINDS)], _SPAN_NAMES)
+
+
+def _range_batch(*columns: np.ndarray) -> pa.RecordBatch:
+    """Ranges (``th, tk, low, high``) without anchor and bytes."""
+    rest = [pa.nulls(len(columns[0]), kind) for kind in _SPAN_KINDS[4:]]
+    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), *rest], _SPAN_NAMES)
 
 
 def shard_spans(rows: DataFrame, length: int, shard: int, group: int) -> DataFrame:
@@ -217,14 +252,16 @@ def shard_spans(rows: DataFrame, length: int, shard: int, group: int) -> DataFra
         shard_rows: list[tuple] = []  # anchor, th, tk, first, whole, part
         size = anchor_size = anchor_from = 0
         current, over = None, False
-        stretch: list = []  # places of the current stretch: (anchor, s1, s2), part, rows so far
+        stretch: list = []  # the stretch read last: (anchor, s1, s2), part, its first place, whether it has more
+        passed: list[tuple] = []  # overflow rows
 
-        def solve(rows: list[tuple]) -> list[tuple]:
-            out = []
-            for (_, th, tk, first, whole, part), flags in zip(rows, repeated_windows([r[5] for r in rows], length) if rows else []):
-                if not whole:
-                    out += [(th, tk, low, high, None, None) for low, high in _runs(flags, first, length)]
-            return out
+        def solve(rows: list[tuple]) -> list[pa.RecordBatch]:
+            if not rows:
+                return []
+            part, low, high = repeated_ranges([r[5] for r in rows], length)
+            th, tk, first = (np.array([r[i] for r in rows], np.int64)[part] for i in (1, 2, 3))
+            new = ~np.array([r[4] for r in rows], bool)[part]
+            return [_range_batch(th[new], tk[new], (first + low)[new], (first + high)[new])]
 
         def drop_settled() -> None:
             """Forget the last anchor's stretches if all of them repeat: no other is there to meet them."""
@@ -233,8 +270,8 @@ def shard_spans(rows: DataFrame, length: int, shard: int, group: int) -> DataFra
                 size -= sum(len(r[5]) for r in shard_rows[anchor_from:])
                 del shard_rows[anchor_from:]
 
-        def close() -> list[tuple]:
-            """Take in the stretch read last; give spans or overflow rows that are due."""
+        def close() -> list[pa.RecordBatch]:
+            """Take in the stretch read last; give the spans that are due."""
             nonlocal size, anchor_size, anchor_from, current, over, stretch
             if not stretch:
                 return []
@@ -254,30 +291,40 @@ def shard_spans(rows: DataFrame, length: int, shard: int, group: int) -> DataFra
                 over = True
                 # One row for a stretch that repeats: it is only there for others to meet, and is given twice to count as repeated.
                 for row in shard_rows[anchor_from:]:
-                    out += [(row[1], row[2], row[3], row[3], row[0], row[5])] * (2 if row[4] else 1)
+                    passed.extend([(row[1], row[2], row[3], row[3], row[0], row[5])] * (2 if row[4] else 1))
                 size -= sum(len(r[5]) for r in shard_rows[anchor_from:])
                 del shard_rows[anchor_from:]
             return out
 
         for batch in batches:
-            out = []
-            for anchor, s1, s2, th, tk, first, windows, part in zip(*(c.to_pylist() for c in batch.columns)):
-                if stretch and stretch[0] == (anchor, s1, s2):
-                    if not stretch[3]:
-                        a, b, c, n = stretch[2]
-                        out.append((a, b, c, c + n + length - 1, None, None))
-                        stretch[3] = True
-                    out.append((th, tk, first, first + windows + length - 1, None, None))
-                else:
-                    out += close()
-                    stretch = [(anchor, s1, s2), part, (th, tk, first, windows), False]
-            if out:
-                yield _span_batch(out)
-        out = close()
+            if not batch.num_rows:
+                continue
+            marks = [c.to_numpy() for c in batch.columns[:3]]
+            th, tk, first, windows = (c.to_numpy() for c in batch.columns[3:7])
+            new = np.ones(len(first), bool)
+            new[0] = not stretch or stretch[0] != tuple(int(m[0]) for m in marks)
+            new[1:] = (marks[0][1:] != marks[0][:-1]) | (marks[1][1:] != marks[1][:-1]) | (marks[2][1:] != marks[2][:-1])
+            whole = ~new
+            whole[:-1] |= ~new[1:]
+            if not new[0] and not stretch[3]:
+                a, b, c, n = stretch[2]
+                yield _span_batch([(a, b, c, c + n + length - 1, None, None)])
+                stretch[3] = True
+            if whole.any():
+                yield _range_batch(th[whole], tk[whole], first[whole], (first + windows + length - 1)[whole])
+            heads = np.flatnonzero(new)
+            parts = batch.column(7).take(pa.array(heads)).to_pylist()
+            for *mark, part, a, b, c, n, again in zip(*(m[heads].tolist() for m in marks), parts, *(v[heads].tolist() for v in (th, tk, first, windows, whole))):
+                yield from close()
+                stretch = [tuple(mark), part, (a, b, c, n), again]
+            if passed:
+                yield _span_batch(passed)
+                passed.clear()
+        yield from close()
+        if passed:
+            yield _span_batch(passed)
         drop_settled()
-        out += solve(shard_rows)
-        if out:
-            yield _span_batch(out)
+        yield from solve(shard_rows)
 
     ordered = rows.repartition("anchor").sortWithinPartitions("anchor", "s1", "s2", F.col("part").isNull())
     return ordered.mapInArrow(giving_back(run), _SPAN_SCHEMA)
@@ -321,16 +368,20 @@ def overflow_spans(rows: DataFrame, length: int) -> DataFrame:
     return spread.mapInArrow(meet, _SPAN_SCHEMA)
 
 
-def cover(spans: list[tuple[int, int]], size: int, length: int) -> list[tuple[int, int]]:
-    """Maximal runs of the union of ``spans`` within a text of ``size`` bytes; none in texts shorter than a window."""
-    out: list[list[int]] = []
-    for low, high in sorted(spans) if size >= length else []:
-        high = min(high, size)
-        if out and low <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], high)
-        else:
-            out.append([low, high])
-    return [(a, b) for a, b in out]
+def cover(row: np.ndarray, low: np.ndarray, high: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``row, low, high``: maximal runs of the union of the spans of each row's text, whose size is given; none in texts shorter than a window."""
+    long_enough = sizes[row] >= length
+    row, low, high = row[long_enough], low[long_enough], np.minimum(high, sizes[row])[long_enough]
+    # Texts are laid one behind the other with a byte between them, so no run reaches into the next one.
+    start = np.cumsum(sizes + 1) - sizes - 1
+    low, high = low + start[row], high + start[row]
+    order = np.argsort(low)
+    row, low, high = row[order], low[order], np.maximum.accumulate(high[order])
+    opens = np.ones(len(low), bool)
+    opens[1:] = low[1:] > high[:-1]
+    at = np.flatnonzero(opens)
+    row = row[at]
+    return row, low[at] - start[row], high[np.append(at, len(low))[1:] - 1] - start[row]
 
 
 def find_spans(texts: DataFrame, length: int = LENGTH, k: int = K, shard: int = SHARD, group: int = GROUP) -> DataFrame:
@@ -364,19 +415,25 @@ def _keyed(text: Column) -> list[Column]:
 
 def _removed(rows: DataFrame, length: int, k: int, shard: int, group: int, with_text: bool, names: list[str]) -> DataFrame:
     spans = find_spans(rows.select("th", "tk", "text"), length, k, shard, group)
-    joined = rows.join(spans, ["th", "tk"], "left").select("key", "text", "spans")
+    joined = rows.join(spans, ["th", "tk"], "left").select("key", F.col("text").cast("binary"), "spans")
     result = ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
+            texts = batch.column(1).to_pylist()
+            sizes = np.array([len(t) for t in texts], np.int64)
+            spans = batch.column(2)
+            owner = np.repeat(np.arange(len(texts)), spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            found = spans.flatten()
+            row, low, high = cover(owner, *(found.field(i).to_numpy(zero_copy_only=False) for i in range(2)), sizes, length)
+            upto = np.searchsorted(row, np.arange(len(texts) + 1))
+            low, high = low.tolist(), high.tolist()
             out = []
-            for value, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                data = value.encode()
-                runs = cover([(s["low"], s["high"]) for s in spans or ()], len(data), length)
-                kept, at = [], 0
-                for low, high in runs:
-                    kept.append(data[at:low])
-                    at = high
+            for number, data in enumerate(texts):
+                kept, at, runs = [], 0, range(upto[number], upto[number + 1])
+                for run in runs:
+                    kept.append(data[at : low[run]])
+                    at = high[run]
                 left = b"".join([*kept, data[at:]])
                 out.append((len(data), len(data) - len(left), len(runs), hashlib.sha256(left).hexdigest(), left))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()][: 4 + with_text]
